@@ -1,0 +1 @@
+"""Empty on purpose: the pipeline is batch only, every table is rebuilt by full overwrite or upsert."""
