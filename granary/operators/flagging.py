@@ -67,12 +67,14 @@ class TableSpec:
 def flag(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Normalise the text columns and mark, never drop, the rows that break a rule."""
     tidy = df.withColumns({name: how(name) for name, how in spec.tidy.items()})
-    offences = [(rule.code, F.expr(rule.offence)) for rule in spec.rules]
-    codes = F.concat_ws(", ", *[F.when(offence, F.lit(code)) for code, offence in offences])
+    marks = {f"_breaks_{i}": F.coalesce(F.expr(rule.offence), F.lit(False))
+             for i, rule in enumerate(spec.rules)}
+    codes = F.concat_ws(", ", *[F.when(F.col(mark), F.lit(rule.code))
+                                for mark, rule in zip(marks, spec.rules)])
     # A conjunction instead of "reason is null": readers that only want valid rows
     # then need no string work, and its null checks reach the file scan.
-    clean = reduce(lambda a, b: a & b, [~F.coalesce(offence, F.lit(False)) for _, offence in offences])
-    return tidy.select(
+    clean = reduce(lambda a, b: a & b, [~F.col(mark) for mark in marks])
+    return tidy.withColumns(marks).select(
         *[F.col(name) for name in spec.names],
         F.nullif(codes, F.lit("")).alias(REASON),
         clean.alias(VALID),

@@ -8,6 +8,7 @@ Three rules decide the form of every join in this library:
 * both sides are unique on the key: a plain join.
 """
 
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,8 +19,8 @@ MAX_HOT_KEYS = 10_000
 def estimated_bytes(df: DataFrame) -> int | None:
     """The optimizer's size estimate, an upper bound for joins; None if unknown."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except (AttributeError, Py4JError):
         return None
 
 
@@ -50,6 +51,19 @@ def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return hashes.select(F.explode("h_freqItems").alias(_HOT))
 
 
+def hottest_share(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row: the share of all rows that the most frequent key holds.
+
+    Exact if any key is hot; below that it is only known to be small.
+    """
+    hashes = df.select(F.xxhash64(*keys).alias(_HOT))
+    counted = hashes.join(F.broadcast(hot_keys(df, keys)), _HOT, "left_semi").groupBy(_HOT).agg(
+        F.count("*").alias("n"))
+    total = hashes.agg(F.count("*").alias("total"))
+    return counted.agg(F.max("n").alias("top")).crossJoin(total).select(
+        F.coalesce(F.col("top") / F.nullif("total", F.lit(0)), F.lit(0.0)).alias("share"))
+
+
 def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner",
               hot_from: DataFrame | None = None, salts: int | None = None,
               spread: Column | None = None, condition: Column | None = None) -> DataFrame:

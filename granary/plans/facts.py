@@ -5,11 +5,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.functions.calendar import date_attributes, days_between
-from granary.functions.money import add_up, exact, exact_sum, ratio
+from granary.functions.calendar import days_between
+from granary.functions.money import add_up, exact_sum, ratio
 from granary.operators.joins import row_number_in_scan, skew_join, without_match
 from granary.operators.keys import or_unknown, surrogate_key
-from granary.sources import vocab
 
 
 # --- transaction facts --------------------------------------------------------------------
@@ -23,16 +22,17 @@ def fact_returns(returns: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def fact_payments(payments: DataFrame, orders: DataFrame) -> DataFrame:
-    """One row per order with its payment; both sides hold one row per order."""
+    """One row per payment."""
     header = orders.select("order_id", F.col("order_date").alias("date_key"),
                            F.col("customer_id").alias("customer_key"))
-    return payments.join(header, "order_id").select(
+    return skew_join(payments, header, ["order_id"], spread=row_number_in_scan()).select(
         "date_key", "customer_key", "order_id", "payment_method", "payment_value", "installments")
 
 
 def fact_shipments(shipments: DataFrame, orders: DataFrame) -> DataFrame:
+    """One row per shipment."""
     header = orders.select("order_id", F.col("customer_id").alias("customer_key"))
-    return shipments.join(header, "order_id").select(
+    return skew_join(shipments, header, ["order_id"]).select(
         F.col("ship_date").alias("date_key"), "customer_key", "order_id", "delivery_date", "shipping_fee",
         days_between(F.col("ship_date"), F.col("delivery_date")).alias("days_in_transit"))
 

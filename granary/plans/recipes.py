@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from granary.functions.calendar import days_between
 from granary.functions.money import add_up, exact, exact_sum, ratio, total
-from granary.operators.joins import row_number_in_scan, skew_join, without_match
+from granary.operators.joins import is_small, row_number_in_scan, skew_join, without_match
 from granary.sources import vocab
 
 
@@ -92,11 +92,19 @@ def weekend_vs_weekday(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 def promo_effectiveness(fact: DataFrame, dim_promotion: DataFrame,
                         keys_from: DataFrame | None = None) -> DataFrame:
-    per_order = fact.groupBy("promo_key", "order_id").agg(
-        exact_sum("gross_amount").alias("gross"), exact_sum("discount_amount").alias("discount"),
-        exact_sum("net_amount").alias("net"))
+    """Orders and money per promotion, "no promotion" included.
+
+    A promotion table within the broadcast limit is joined line by line. Beyond
+    it lines shrink to one row per promotion and order first, because "no
+    promotion" may hold most of them.
+    """
+    amounts = {"gross": "gross_amount", "discount": "discount_amount", "net": "net_amount"}
     promotions = dim_promotion.select(F.col("promo_id").alias("promo_key"), "promo_name", "promo_type")
-    return (skew_join(per_order, promotions, ["promo_key"], hot_from=keys_from)
+    lines = fact.select("promo_key", "order_id",
+                        *[exact(column).alias(name) for name, column in amounts.items()])
+    if not is_small(promotions):
+        lines = lines.groupBy("promo_key", "order_id").agg(*[F.sum(name).alias(name) for name in amounts])
+    return (skew_join(lines, promotions, ["promo_key"], hot_from=keys_from)
             .groupBy("promo_name", "promo_type")
             .agg(F.countDistinct("order_id").alias("num_orders"), add_up("gross").alias("before_discount"),
                  add_up("discount").alias("total_discount"), add_up("net").alias("revenue"))

@@ -8,27 +8,9 @@ that checks the results; the braces name the given tables.
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Line amounts in whole cents, so that both engines see the same numbers.
-_LINES = """
-select order_id, product_id, supplier_id, quantity, unit_cents, unit_cents * quantity as gross_cents,
-  cast((unit_cents * quantity * pct - (unit_cents * quantity * pct) % 100) / 100 as bigint) as discount_cents,
-  pct, tax, ship_day, line_no, order_id * 7 + line_no as n
-from (
-  select l_orderkey as order_id, l_partkey as product_id, l_suppkey as supplier_id,
-    cast(l_quantity as bigint) as quantity, l_linenumber as line_no,
-    cast((cast(round(l_extendedprice * 100) as bigint)
-          - cast(round(l_extendedprice * 100) as bigint) % cast(l_quantity as bigint))
-         / cast(l_quantity as bigint) as bigint) as unit_cents,
-    cast(round(l_discount * 100) as int) as pct, cast(round(l_tax * 100) as int) as tax,
-    cast(l_shipdate as date) as ship_day
-  from {lineitem}
-  where_clause
-) as cents
-"""
-
-
-def _lines(condition: str = "") -> str:
-    return _LINES.replace("where_clause", f"where {condition}" if condition else "")
+# Numbers each line, for the faults below; lines of one order get different numbers.
+_LINE = "(l_orderkey * 7 + l_linenumber)"
+_PERCENT = "cast(floor(l_discount * 100 + 0.5) as int)"
 
 
 def _code(expression: str, values: dict) -> str:
@@ -136,15 +118,18 @@ from (select o_orderkey, o_custkey, o_orderdate, {_METHOD_OF_PRIORITY} as method
       from {{orders}}) as base
 """
 
+# Prices are cut to whole cents and discounts to whole units.
 ORDER_ITEMS = f"""
-select order_id, case when n % 199 = 1 then null else product_id end as product_id,
-  case when n % 193 = 2 then 0 when n % 191 = 3 then null else quantity end as quantity,
-  case when n % 181 = 4 then null when n % 197 = 5 then -1.0 else cast(unit_cents as double) / 100 end as unit_price,
-  case when n % 179 = 6 then -5.0 when pct = 0 and line_no % 2 = 1 then null
-       else cast(discount_cents as double) / 100 end as discount_amount,
-  case when pct > 0 then concat(' PROMO-', lpad(cast(pct as string), 4, '0')) when line_no = 1 then '   ' end as promo_id,
-  case when pct = 10 and tax = 8 then 'PROMO-0011' when line_no = 2 then '' end as promo_id_2
-from ({_lines()}) as line
+select l_orderkey as order_id, case when {_LINE} % 199 = 1 then null else l_partkey end as product_id,
+  case when {_LINE} % 193 = 2 then 0 when {_LINE} % 191 = 3 then null else cast(l_quantity as bigint) end as quantity,
+  case when {_LINE} % 181 = 4 then null when {_LINE} % 197 = 5 then -1.0
+       else cast(floor(l_extendedprice / l_quantity * 100) as double) / 100 end as unit_price,
+  case when {_LINE} % 179 = 6 then -5.0 when l_discount < 0.005 and l_linenumber % 2 = 1 then null
+       else cast(floor(l_extendedprice * l_discount) as double) end as discount_amount,
+  case when l_discount > 0.005 then concat(' PROMO-', lpad(cast({_PERCENT} as string), 4, '0'))
+       when l_linenumber = 1 then '   ' end as promo_id,
+  case when l_discount > 0.095 and l_tax > 0.075 then 'PROMO-0011' when l_linenumber = 2 then '' end as promo_id_2
+from {{lineitem}}
 """
 
 PAYMENTS = f"""
@@ -166,15 +151,17 @@ from (select l_orderkey as order_id, cast(min(l_shipdate) as date) as first_day,
 """
 
 RETURNS = f"""
-select concat('RET-', cast(order_id as string), '-', cast(line_no as string), '-', cast(product_id as string), ' ') as return_id,
-  case when n % 173 = 1 then null else order_id end as order_id,
-  case when n % 167 = 2 then null else product_id end as product_id,
-  case when n % 163 = 3 then null else ship_day end as return_date,
-  case when n % 157 = 4 then 'other' when n % 151 = 5 then null else
-  {_code("supplier_id % 5", {0: "changed_mind", 1: "Defective", 2: "late_delivery", 3: "not_as_described", 4: " wrong_size"})} end as return_reason,
-  case when n % 149 = 6 then 0 when n % 61 = 7 then quantity + 5 else quantity end as return_quantity,
-  case when n % 139 = 8 then -1.0 else cast(gross_cents - discount_cents as double) / 100 end as refund_amount
-from ({_lines("l_returnflag = 'R'")}) as line
+select concat('RET-', cast(l_orderkey as string), '-', cast(l_linenumber as string), '-', cast(l_partkey as string), ' ') as return_id,
+  case when {_LINE} % 173 = 1 then null else l_orderkey end as order_id,
+  case when {_LINE} % 167 = 2 then null else l_partkey end as product_id,
+  case when {_LINE} % 163 = 3 then null else cast(l_shipdate as date) end as return_date,
+  case when {_LINE} % 157 = 4 then 'other' when {_LINE} % 151 = 5 then null else
+  {_code("l_suppkey % 5", {0: "changed_mind", 1: "Defective", 2: "late_delivery", 3: "not_as_described", 4: " wrong_size"})} end as return_reason,
+  case when {_LINE} % 149 = 6 then 0 when {_LINE} % 61 = 7 then cast(l_quantity as bigint) + 5
+       else cast(l_quantity as bigint) end as return_quantity,
+  case when {_LINE} % 139 = 8 then -1.0
+       else cast(floor(l_extendedprice - l_extendedprice * l_discount) as double) end as refund_amount
+from {{lineitem}} where l_returnflag = 'R'
 """
 
 # Reviews and web traffic come from `events`, whose days are moved back by
@@ -203,16 +190,16 @@ select case when n % 211 = 0 then null else month_end end as snapshot_date, prod
   cast(case when n % 107 = 7 then 3 when sold < 10 then 1 else 0 end as int) as overstock_flag,
   cast(case when n % 103 = 8 then 4 when sold > 40 then 1 else 0 end as int) as reorder_flag,
   case when n % 101 = 9 then -0.5 else cast(sold as double) / 2000 end as sell_through_rate,
-  concat(' ', p_name) as product_name,
-  case when n % 97 = 10 then 'misc' else {_CATEGORY_OF_TYPE} end as category,
-  case when n % 89 = 11 then 'luxury' else {_SEGMENT_OF_BRAND} end as segment,
+  product_name, case when n % 97 = 10 then 'misc' else category end as category,
+  case when n % 89 = 11 then 'luxury' else segment end as segment,
   cast(year(month_end) + case when n % 83 = 12 then 1 else 0 end as int) as year,
   cast(case when n % 79 = 13 then 13 else month(month_end) end as int) as month
 from (select l_partkey as product_id, last_day(cast(l_shipdate as date)) as month_end,
         cast(sum(cast(l_quantity as bigint)) as bigint) as sold,
         l_partkey * 12 + min(month(l_shipdate)) as n
       from {{lineitem}} group by l_partkey, last_day(cast(l_shipdate as date))) as sales
-join {{part}} on p_partkey = product_id
+join (select p_partkey, concat(' ', p_name) as product_name, {_CATEGORY_OF_TYPE} as category,
+        {_SEGMENT_OF_BRAND} as segment from {{part}}) as goods on p_partkey = product_id
 """
 
 SALES_DAILY = """

@@ -6,6 +6,8 @@ from math import ceil
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from granary.operators.joins import is_small
+
 # Row counts and the partition size at which a layout changes.
 MONTH_MIN_ROWS = 500_000
 YEAR_MIN_ROWS = 40_000
@@ -29,11 +31,13 @@ class Layout:
         return f"_{self.kind}"
 
 
-def choose_layout(rows: int, size_bytes: int, date_column: str | None = None,
-                  date_months: int = 0, join_key: str | None = None) -> Layout:
+def choose_layout(rows: int, size_bytes: int, date_column: str | None = None, date_months: int = 0,
+                  join_key: str | None = None, hottest_share: float = 0.0) -> Layout:
     """Pick the finest layout that still gives partitions of a useful size.
 
     The number of buckets follows the size, so one bucket stays one task's work.
+    A table whose hottest key overfills a bucket stays plain: one task reads a
+    whole bucket, while `skew_join` can split the rows of a plain table.
     """
     if date_column:
         if rows > MONTH_MIN_ROWS and size_bytes >= max(date_months, 1) * MIN_PARTITION_BYTES:
@@ -41,7 +45,9 @@ def choose_layout(rows: int, size_bytes: int, date_column: str | None = None,
         if rows >= YEAR_MIN_ROWS:
             return Layout("year", date_column)
     elif join_key and rows >= YEAR_MIN_ROWS:
-        return Layout("bucket", join_key, max(DEFAULT_BUCKETS, ceil(size_bytes / BUCKET_BYTES)))
+        buckets = max(DEFAULT_BUCKETS, ceil(size_bytes / BUCKET_BYTES))
+        if hottest_share <= 1 / buckets:
+            return Layout("bucket", join_key, buckets)
     return Layout()
 
 
@@ -50,17 +56,18 @@ def create_namespace(spark: SparkSession, name: str) -> None:
 
 
 def _laid_out(df: DataFrame, layout: Layout) -> DataFrame:
-    """Add the partition column and gather its values.
+    """Gather the rows of a partition or bucket, so that each gets few files.
 
-    REBALANCE gathers rows by partition without one task per value: AQE splits
-    a month that holds a third of the table and merges the small ones.
+    REBALANCE does so without one task per value: AQE splits a month or bucket
+    that holds a third of the table and merges the small ones. Plain tables
+    are written as they come, small ones as one file.
     """
     if layout.kind in PARTITION_FORMATS:
         label = F.date_format(layout.column, PARTITION_FORMATS[layout.kind])
         return df.withColumn(layout.partition, label).hint("rebalance", layout.partition)
-    if layout.kind == "plain":
-        return df.hint("rebalance")
-    return df
+    if layout.kind == "bucket":
+        return df.hint("rebalance", layout.buckets, layout.column)
+    return df.coalesce(1) if is_small(df) else df
 
 
 def _writer(df: DataFrame, layout: Layout):
