@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions.money import ratio
-from granary.operators.joins import orphan_count
+from granary.operators.joins import orphan_count, row_number_in_scan, skew_join
 
 
 def _all(parts: list[DataFrame]) -> DataFrame:
@@ -64,15 +64,12 @@ def coverage(parent: DataFrame, children: dict[str, DataFrame], key: str) -> Dat
 def copies_agree(left: DataFrame, right: DataFrame, key: str, column: str) -> DataFrame:
     """Compare two copies of a column over an inner join on `key`; `right` is unique on it.
 
-    Rows with the same key and value are counted before the join.
+    `left` comes straight from a scan (see `row_number_in_scan`).
     """
-    counted = left.groupBy(key, column).agg(F.count("*").alias("n"))
-    both = counted.join(right.select(key, F.col(column).alias("copy")), key)
-    differs = F.col(column) != F.col("copy")
-    return both.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("compared_rows"),
-        F.coalesce(F.sum(F.when(differs, F.col("n"))), F.lit(0)).alias("differing_rows"),
-    )
+    both = skew_join(left.select(key, column), right.select(key, F.col(column).alias("copy")), [key],
+                     spread=row_number_in_scan())
+    return both.agg(F.count("*").alias("compared_rows"),
+                    F.count_if(F.col(column) != F.col("copy")).alias("differing_rows"))
 
 
 def fan_out(left: DataFrame, right: DataFrame, key: list[str], grain: list[str]) -> DataFrame:

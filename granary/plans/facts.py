@@ -85,6 +85,13 @@ def role_playing_dates(orders_fact: DataFrame, dim_date: DataFrame) -> DataFrame
 
 # --- periodic snapshot --------------------------------------------------------------------
 
+def fact_inventory(inventory: DataFrame) -> DataFrame:
+    """One row per product and month. Stock is semi-additive; rates are left to their parts."""
+    return inventory.select(
+        F.col("snapshot_date").alias("date_key"), F.col("product_id").alias("product_key"),
+        "stock_on_hand", "units_received", "units_sold", "stockout_days")
+
+
 def inventory_last(inventory: DataFrame) -> DataFrame:
     """Stock per category: the last value of each product, then the sum over products."""
     last = inventory.groupBy("product_id").agg(

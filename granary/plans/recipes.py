@@ -62,18 +62,22 @@ def star_four_dims(fact: DataFrame, dim_date: DataFrame, dim_customer: DataFrame
                    dim_promotion: DataFrame, year: int, keys_from: dict[str, DataFrame] | None = None) -> DataFrame:
     """Weekend orders and revenue of one year by region, category and promotion type.
 
-    Lines shrink to one row per order, product and promotion before they meet
-    the dimensions. `keys_from` names cheap frames to look for hot keys in.
+    Dimensions within the broadcast limit are joined line by line. If one is
+    larger, lines first shrink to one row per order, customer, product and
+    promotion. `keys_from` names cheap frames to look for hot keys in.
     """
     keys_from = keys_from or {}
+    dimensions = {
+        "promo_key": dim_promotion.select(F.col("promo_id").alias("promo_key"), "promo_type"),
+        "product_key": dim_product.select(F.col("product_id").alias("product_key"), "category"),
+        "customer_key": dim_customer.select(F.col("customer_id").alias("customer_key"), "region"),
+    }
     days = dim_date.filter((F.col("year") == year) & F.col("is_weekend")).select("date_key", "year")
-    lines = (fact.join(days, "date_key")
-             .groupBy("year", "order_id", "customer_key", "product_key", "promo_key")
-             .agg(exact_sum("net_amount").alias("net")))
-    customers = dim_customer.select(F.col("customer_id").alias("customer_key"), "region")
-    products = dim_product.select(F.col("product_id").alias("product_key"), "category")
-    promotions = dim_promotion.select(F.col("promo_id").alias("promo_key"), "promo_type")
-    for key, dimension in (("promo_key", promotions), ("product_key", products), ("customer_key", customers)):
+    lines = fact.join(days, "date_key").select("year", "order_id", *dimensions,
+                                               exact("net_amount").alias("net"))
+    if not all(is_small(dimension) for dimension in dimensions.values()):
+        lines = lines.groupBy("year", "order_id", *dimensions).agg(F.sum("net").alias("net"))
+    for key, dimension in dimensions.items():
         lines = skew_join(lines, dimension, [key], hot_from=keys_from.get(key))
     return (lines.groupBy("year", "region", "category", "promo_type")
             .agg(F.countDistinct("order_id").alias("num_orders"), add_up("net").alias("revenue"))
@@ -213,12 +217,11 @@ def discount_promo_consistency(items: DataFrame) -> DataFrame:
 
 
 def list_price_match(items: DataFrame, products: DataFrame) -> DataFrame:
-    """Lines sold at exactly the current list price."""
-    per_price = items.groupBy("product_id", "unit_price").agg(F.count("*").alias("n"))
-    both = skew_join(per_price, products.select("product_id", "price"), ["product_id"])
-    same = F.sum(F.when(F.col("unit_price") == F.col("price"), F.col("n")).otherwise(0))
-    return both.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("num_lines"),
-                    F.coalesce(same, F.lit(0)).alias("at_list_price"))
+    """Lines of known products, and those sold at exactly the current list price."""
+    both = skew_join(items.select("product_id", "unit_price"), products.select("product_id", "price"),
+                     ["product_id"], spread=row_number_in_scan())
+    return both.agg(F.count("*").alias("num_lines"),
+                    F.count_if(F.col("unit_price") == F.col("price")).alias("at_list_price"))
 
 
 # --- days ---------------------------------------------------------------------------------

@@ -7,14 +7,13 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.functions.money import ratio
+from granary.functions.calendar import day_spine
 from granary.operators import history, keys, profile, quality
 from granary.operators.flagging import REASON, reason_histogram, valid_counts
 from granary.plans import build, checks, facts, recipes
-from granary.plans.gold import dim_date, dim_promotion
+from granary.plans.gold import dim_promotion
 from granary.plans.lake import CALENDAR, Lake
 from granary.plans.silver import silver
-from granary.functions.calendar import day_spine
 from granary.session import scratch_dir
 from granary.sources.files import bronze_from, ingest, ingest_report
 from granary.sources.specs import SPECS
@@ -28,7 +27,8 @@ QUERIES: dict[str, Callable[[Lake], DataFrame]] = {}
 
 
 def query(make: Callable[[Lake], DataFrame]):
-    QUERIES[make.__name__] = make
+    """Register under the function's name; `_q` ends names that would hide a library function."""
+    QUERIES[make.__name__.removesuffix("_q")] = make
     return make
 
 
@@ -60,7 +60,7 @@ _register_models()
 
 
 @query
-def valid_counts_per_table(lake):
+def valid_counts_q(lake):
     return _union([valid_counts(lake.bronze(name)).select(F.lit(name).alias("table_name"), "*")
                    for name in SPECS])
 
@@ -105,7 +105,7 @@ def csv_orders(lake):
 
 
 @query
-def ingest_report_sales_daily(lake):
+def ingest_report_q(lake):
     return ingest_report(_ingested(lake, "sales_daily"), SPECS["sales_daily"])
 
 
@@ -499,6 +499,11 @@ def role_playing_dates(lake):
     return facts.role_playing_dates(orders_fact, lake.dim_date)
 
 
+@query
+def fact_inventory(lake):
+    return facts.fact_inventory(lake.silver("inventory"))
+
+
 @query
 def fact_inventory_last(lake):
     return facts.inventory_last(lake.silver("inventory"))
@@ -556,8 +561,6 @@ def bus_matrix(lake):
     orders = lake.silver("orders")
     dated = {"dim_date": "date_key"}
     buyer, product = {"dim_customer": "customer_key"}, {"dim_product": "product_key"}
-    inventory = lake.silver("inventory").select(F.col("snapshot_date").alias("date_key"),
-                                                F.col("product_id").alias("product_key"))
     fact_frames = {
         "fact_order_items": (lake.stored(lake.fact, "fact"),
                              {**dated, **buyer, **product, "dim_promotion": "promo_key"}),
@@ -565,7 +568,7 @@ def bus_matrix(lake):
         "fact_shipments": (facts.fact_shipments(lake.silver("shipments"), orders), {**dated, **buyer}),
         "fact_returns": (facts.fact_returns(lake.silver("returns"), orders), {**dated, **buyer, **product}),
         "fact_reviews": (facts.fact_reviews(lake.silver("reviews")), {**dated, **buyer, **product}),
-        "fact_inventory": (inventory, {**dated, **product}),
+        "fact_inventory": (facts.fact_inventory(lake.silver("inventory")), {**dated, **product}),
         "fact_web_traffic": (facts.fact_web_traffic(lake.silver("web_traffic")), dated),
     }
     dimensions = {"dim_date": (lake.dim_date, "date_key"), "dim_customer": (lake.dim_customer, "customer_id"),

@@ -7,7 +7,6 @@ Q: dict[str, str] = {}
 
 # --- layers -----------------------------------------------------------------------------------
 
-_NOTES = {"sales_daily": ", _margin_negative"}
 for _t in TABLES:
     Q[f"bronze_{_t}"] = (f"select *, _invalid_reason is null as _is_valid, '{_t}' as _source_file from b_{_t}")
     Q[f"silver_{_t}"] = f"select * from s_{_t}"
@@ -24,7 +23,7 @@ def _each(template: str, names=TABLES) -> str:
     return "\nunion all\n".join(template.format(t=name) for name in names)
 
 
-Q["valid_counts_per_table"] = _each("""
+Q["valid_counts"] = _each("""
 select '{t}' as table_name, count(*) as total_rows, count(*) filter (where _invalid_reason is null) as valid_rows,
   count(*) filter (where _invalid_reason is not null) as invalid_rows from b_{t}""")
 Q["invalid_reason_histogram"] = _each("""
@@ -40,7 +39,7 @@ Q["csv_roundtrip"] = """
 select sale_date, revenue, cogs, _invalid_reason, _invalid_reason is null as _is_valid, _margin_negative
 from b_sales_daily"""
 Q["csv_orders"] = "select *, _invalid_reason is null as _is_valid from b_orders"
-Q["ingest_report_sales_daily"] = """
+Q["ingest_report"] = """
 select 'sales_daily' as table_name, count(*) as total_rows,
   count(*) filter (where _invalid_reason is null) as valid_rows,
   count(*) filter (where _invalid_reason is not null) as invalid_rows,
@@ -144,9 +143,6 @@ select o.order_status, count(*) as num_orders, count(s.order_id) as num_shipped,
   cast(sum(datediff('day', s.ship_date, s.delivery_date)) as double)
     / count(datediff('day', s.ship_date, s.delivery_date)) as avg_delivery_days
 from b_orders o left join b_shipments s on o.order_id = s.order_id group by o.order_status"""
-_PAIRS = """
-bought as (select order_id, product_id, sum(quantity) as n from b_order_items group by 1, 2),
-returned as (select order_id, product_id, sum(return_quantity) as n from b_returns group by 1, 2)"""
 Q["returns_by_product"] = """
 select p.product_name, cast(sum(b.n) as bigint) as units_sold, cast(coalesce(sum(r.n), 0) as bigint) as units_returned
 from (select order_id, product_id, sum(quantity) as n from b_order_items group by 1, 2) as b
@@ -336,6 +332,9 @@ select a.is_weekend as order_weekend, b.is_weekend as ship_weekend, c.is_weekend
   count(*) as num_orders, cast(sum(f.total_days) as double) / count(f.total_days) as avg_total_days
 from f_orders f join d_date a on f.order_date = a.date_key left join d_date b on f.ship_date = b.date_key
 left join d_date c on f.delivery_date = c.date_key group by 1, 2, 3"""
+Q["fact_inventory"] = """
+select snapshot_date as date_key, product_id as product_key, stock_on_hand, units_received, units_sold, stockout_days
+from s_inventory"""
 Q["fact_inventory_last"] = """
 select category, count(*) as num_products, cast(sum(stock_on_hand) as bigint) as stock_on_hand
 from (select category, stock_on_hand,
