@@ -9,11 +9,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from granary.functions.calendar import day_spine
 from granary.operators.quality import check_grain, run_checks
 from granary.plans import gold
-from granary.plans.checks import GRAIN_CHECK, MODEL_CHECKS, SOURCE_CHECKS
+from granary.plans.checks import GRAIN_CHECK, SOURCE_CHECKS, model_checks
 from granary.plans.silver import silver
-from granary.sources.tables import write_folder
 
 RESULT_SCHEMA = "model string, kind string, status string, failed_checks bigint"
 
@@ -50,13 +50,16 @@ def _failures(results: list) -> int:
     return sum(row["status"] == "fail" for row in results)
 
 
-def build(spark: SparkSession, bronze: dict[str, DataFrame], calendar: DataFrame,
-          target: str) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Build everything below `target`; returns the report and the frames that were built.
+def build(spark: SparkSession, bronze: dict[str, DataFrame], calendar: tuple[str, str],
+          store: Callable[[DataFrame, str], DataFrame]) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Build all models; returns the report and the frames that were built.
 
+    `calendar` is the first day of the date dimension and the day after its last.
+    `store` writes a table model under its name and returns what was stored.
     A relationship check whose parent was not built cannot run and is left out.
     """
-    frames: dict[str, DataFrame] = {"calendar": calendar}
+    frames: dict[str, DataFrame] = {"calendar": day_spine(spark, *calendar)}
+    declared = model_checks(calendar)
     report: list[tuple] = []
     for name, checks in SOURCE_CHECKS.items():
         failed = _failures(run_checks(name, bronze[name], checks, {}).collect())
@@ -71,9 +74,9 @@ def build(spark: SparkSession, bronze: dict[str, DataFrame], calendar: DataFrame
             continue
         df = model.make(*[frames[name] for name in model.inputs])
         if model.is_table:
-            df = write_folder(df, f"{target}/{model.name}")
+            df = store(df, model.name)
         frames[model.name] = df
-        checks = [check for check in MODEL_CHECKS[model.name]
+        checks = [check for check in declared[model.name]
                   if check.parent is None or check.parent in frames]
         results = run_checks(model.name, df, checks, frames)
         if model.name == GRAIN_CHECK[0]:

@@ -1,8 +1,10 @@
 """The declared data checks: 112 column checks and the grain check, per model.
 
-Fixed values. The year range of `dim_date` is that of the calendar in `lake`.
+Fixed values, but for the years of `dim_date`, which follow its calendar.
 """
 
+from datetime import date, timedelta
+
 from granary.operators.quality import Check, accepted, in_range, not_null, related, unique
 from granary.sources import vocab
 
@@ -49,52 +51,60 @@ SILVER_CHECKS = {
     ],
 }
 
-GOLD_CHECKS = {
-    "dim_customer": [
-        not_null("customer_id"), unique("customer_id"),
-        not_null("region"), accepted("region", vocab.REGIONS), not_null("city"),
-        accepted("gender", vocab.GENDERS), accepted("acquisition_channel", vocab.CHANNELS),
-        not_null("signup_year"),
-    ],
-    "dim_date": [
-        not_null("date_key"), unique("date_key"), not_null("year"),
-        in_range("year", low=1994, high=2001),
-        in_range("quarter", low=1, high=4), in_range("month", low=1, high=12),
-        in_range("day_of_week", low=1, high=7), not_null("is_weekend"),
-    ],
-    "dim_product": [
-        not_null("product_id"), unique("product_id"), not_null("product_name"),
-        not_null("category"), accepted("category", vocab.CATEGORIES), accepted("size", vocab.SIZES),
-        not_null("current_list_price"), in_range("current_list_price", above=0),
-        in_range("current_list_margin", low=0),
-    ],
-    "dim_promotion": [
-        not_null("promo_id"), unique("promo_id"), not_null("promo_name"),
-        accepted("promo_type", (*vocab.PROMO_TYPES, vocab.NO_PROMO_CODE)), not_null("is_stackable"),
-    ],
-    "fact_order_items": [
-        not_null("date_key"), related("date_key", "dim_date", "date_key"),
-        not_null("customer_key"), related("customer_key", "dim_customer", "customer_id"),
-        not_null("product_key"), related("product_key", "dim_product", "product_id"),
-        not_null("promo_key"), related("promo_key", "dim_promotion", "promo_id"),
-        not_null("order_id"), accepted("order_status", vocab.ORDER_STATUSES),
-        not_null("quantity"), in_range("quantity", above=0),
-        not_null("gross_amount"), in_range("gross_amount", low=0),
-        not_null("net_amount"), in_range("net_amount", low=0),
-        not_null("unit_price"), in_range("unit_price", above=0),
-    ],
-    "gold_orders_daily": [
-        not_null("order_date"), unique("order_date"),
-        not_null("num_orders"), in_range("num_orders", above=0),
-    ],
-    "gold_revenue_daily": [
-        not_null("order_date"), unique("order_date"),
-        not_null("num_orders"), in_range("num_orders", above=0), in_range("num_units", above=0),
-        not_null("revenue"), in_range("revenue", low=0), in_range("total_discount", low=0),
-    ],
-}
 
-MODEL_CHECKS: dict[str, list[Check]] = {**SILVER_CHECKS, **GOLD_CHECKS}
+def gold_checks(calendar: tuple[str, str]) -> dict[str, list[Check]]:
+    """`calendar` is the first day of the date dimension and the day after its last."""
+    first_year = date.fromisoformat(calendar[0]).year
+    last_year = (date.fromisoformat(calendar[1]) - timedelta(days=1)).year
+    return {
+        "dim_customer": [
+            not_null("customer_id"), unique("customer_id"),
+            not_null("region"), accepted("region", vocab.REGIONS), not_null("city"),
+            accepted("gender", vocab.GENDERS), accepted("acquisition_channel", vocab.CHANNELS),
+            not_null("signup_year"),
+        ],
+        "dim_date": [
+            not_null("date_key"), unique("date_key"), not_null("year"),
+            in_range("year", low=first_year, high=last_year),
+            in_range("quarter", low=1, high=4), in_range("month", low=1, high=12),
+            in_range("day_of_week", low=1, high=7), not_null("is_weekend"),
+        ],
+        "dim_product": [
+            not_null("product_id"), unique("product_id"), not_null("product_name"),
+            not_null("category"), accepted("category", vocab.CATEGORIES), accepted("size", vocab.SIZES),
+            not_null("current_list_price"), in_range("current_list_price", above=0),
+            in_range("current_list_margin", low=0),
+        ],
+        "dim_promotion": [
+            not_null("promo_id"), unique("promo_id"), not_null("promo_name"),
+            accepted("promo_type", (*vocab.PROMO_TYPES, vocab.NO_PROMO_CODE)), not_null("is_stackable"),
+        ],
+        "fact_order_items": [
+            not_null("date_key"), related("date_key", "dim_date", "date_key"),
+            not_null("customer_key"), related("customer_key", "dim_customer", "customer_id"),
+            not_null("product_key"), related("product_key", "dim_product", "product_id"),
+            not_null("promo_key"), related("promo_key", "dim_promotion", "promo_id"),
+            not_null("order_id"), accepted("order_status", vocab.ORDER_STATUSES),
+            not_null("quantity"), in_range("quantity", above=0),
+            not_null("gross_amount"), in_range("gross_amount", low=0),
+            not_null("net_amount"), in_range("net_amount", low=0),
+            not_null("unit_price"), in_range("unit_price", above=0),
+        ],
+        "gold_orders_daily": [
+            not_null("order_date"), unique("order_date"),
+            not_null("num_orders"), in_range("num_orders", above=0),
+        ],
+        "gold_revenue_daily": [
+            not_null("order_date"), unique("order_date"),
+            not_null("num_orders"), in_range("num_orders", above=0), in_range("num_units", above=0),
+            not_null("revenue"), in_range("revenue", low=0), in_range("total_discount", low=0),
+        ],
+    }
+
+
+def model_checks(calendar: tuple[str, str]) -> dict[str, list[Check]]:
+    return {**SILVER_CHECKS, **gold_checks(calendar)}
+
 
 # Fact rows must equal the silver rows the fact is made from.
 GRAIN_CHECK = ("fact_order_items", "silver_order_items")

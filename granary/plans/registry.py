@@ -7,15 +7,14 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.functions.calendar import day_spine
 from granary.operators import history, keys, profile, quality
 from granary.operators.flagging import REASON, reason_histogram, valid_counts
-from granary.plans import build, checks, facts, recipes
+from granary.plans import build, checks, facts, pipeline, recipes
 from granary.plans.gold import dim_promotion
 from granary.plans.lake import CALENDAR, Lake
 from granary.plans.silver import silver
 from granary.session import scratch_dir
-from granary.sources.files import bronze_from, ingest, ingest_report
+from granary.sources.files import bronze_from, ingest
 from granary.sources.specs import SPECS
 from granary.sources.tables import (Layout, append_run, between_dates, upsert, write_folder, write_table)
 
@@ -106,7 +105,11 @@ def csv_orders(lake):
 
 @query
 def ingest_report_q(lake):
-    return ingest_report(_ingested(lake, "sales_daily"), SPECS["sales_daily"])
+    """All 13 tables from CSV to bronze."""
+    files = {name: _as_csv(lake, name) for name in SPECS}
+    target = scratch_dir(lake.spark, "bronze")
+    _, report = pipeline.ingest_all(lake.spark, files, lambda name: f"{target}/{name}")
+    return report
 
 
 @query
@@ -230,7 +233,7 @@ def quality_suite(lake):
     results = [quality.run_checks(name, lake.bronze(name), declared, {})
                for name, declared in checks.SOURCE_CHECKS.items()]
     results += [quality.run_checks(name, models[name], declared, models)
-                for name, declared in checks.MODEL_CHECKS.items()]
+                for name, declared in checks.model_checks(CALENDAR).items()]
     fact, base = checks.GRAIN_CHECK
     return _union([*results, quality.check_grain(fact, models[fact], models[base])])
 
@@ -238,8 +241,7 @@ def quality_suite(lake):
 @query
 def gated_build(lake):
     bronze = {name: lake.bronze(name) for name in checks.SOURCE_CHECKS}
-    report, _ = build.build(lake.spark, bronze, day_spine(lake.spark, *CALENDAR),
-                            scratch_dir(lake.spark, "gold"))
+    report, _ = build.build(lake.spark, bronze, CALENDAR, lake.stored)
     return report
 
 

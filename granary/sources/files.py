@@ -1,13 +1,13 @@
 """CSV input with an explicit schema, audit columns and the ingest job."""
 
-from dataclasses import replace
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from granary.operators.flagging import TableSpec, flag, valid_counts
-from granary.sources.tables import write_folder
+from granary.sources.tables import Layout, write_folder
 
 DATE_FORMAT = "yyyy-MM-dd"
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
@@ -43,15 +43,16 @@ def bronze_from(df: DataFrame, spec: TableSpec, source_file: str) -> DataFrame:
     return with_audit(flag(df, spec), source_file)
 
 
-def ingest(spark: SparkSession, spec: TableSpec, source: str, target: str, **csv_options) -> DataFrame:
-    """CSV to a bronze folder in the spec's layout; source and target are free to choose.
+def ingest(spark: SparkSession, spec: TableSpec, source: str, target: str,
+           write: Callable[[DataFrame, str, Layout], DataFrame] = write_folder, **csv_options) -> DataFrame:
+    """CSV to a bronze table in the spec's layout; source and target are free to choose.
 
-    Bucketed specs are written without buckets here, because buckets need a
-    catalog table (`write_table`).
+    `write` is `write_folder`, `write_table` or `write_iceberg`. A plain folder
+    cannot record buckets, so bucketed specs go there without them.
     """
     bronze = bronze_from(read_csv(spark, source, spec, **csv_options), spec, source)
-    layout = replace(spec.layout, kind="plain") if spec.layout.kind == "bucket" else spec.layout
-    written = write_folder(bronze, target, layout)
+    unbucketed = write is write_folder and spec.layout.kind == "bucket"
+    written = write(bronze, target, Layout() if unbucketed else spec.layout)
     if written.isEmpty():
         raise ValueError(f"{source} gave no rows; are its files hidden by a leading '_' or '.'?")
     return written

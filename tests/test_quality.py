@@ -5,12 +5,12 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from granary.functions.calendar import day_spine
 from granary.operators import quality as q
 from granary.plans import build, checks
 from granary.plans.lake import CALENDAR
 from granary.operators.flagging import flag
 from granary.sources.specs import SPECS
+from granary.sources.tables import write_folder
 from test_rules import CLEAN
 
 
@@ -50,7 +50,7 @@ def test_grain(spark):
 
 
 def test_number_of_declared_checks():
-    declared = [*checks.SOURCE_CHECKS.values(), *checks.MODEL_CHECKS.values()]
+    declared = [*checks.SOURCE_CHECKS.values(), *checks.model_checks(CALENDAR).values()]
     assert sum(map(len, declared)) == 112
 
 
@@ -70,7 +70,8 @@ def _build(spark, tmp_path, changes=None):
     day = datetime.date(1999, 5, 17)
     usual = {"orders": {"order_date": day}, "customers": {"signup_date": day}, "order_items": {"unit_price": 2.0}}
     merged = {name: {**usual.get(name, {}), **(changes or {}).get(name, {})} for name in CLEAN}
-    report, frames = build.build(spark, _bronze(spark, merged), day_spine(spark, *CALENDAR), str(tmp_path))
+    report, frames = build.build(spark, _bronze(spark, merged), CALENDAR,
+                                 lambda df, name: write_folder(df, f"{tmp_path}/{name}"))
     return {row.model: row.status for row in report.collect()}, frames
 
 
