@@ -56,12 +56,11 @@ def hottest_share(df: DataFrame, keys: list[str]) -> DataFrame:
 
     Exact if any key is hot; below that it is only known to be small.
     """
-    hashes = df.select(F.xxhash64(*keys).alias(_HOT))
-    counted = hashes.join(F.broadcast(hot_keys(df, keys)), _HOT, "left_semi").groupBy(_HOT).agg(
-        F.count("*").alias("n"))
-    total = hashes.agg(F.count("*").alias("total"))
-    return counted.agg(F.max("n").alias("top")).crossJoin(total).select(
-        F.coalesce(F.col("top") / F.nullif("total", F.lit(0)), F.lit(0.0)).alias("share"))
+    hot = F.broadcast(hot_keys(df, keys).withColumnRenamed(_HOT, "hot"))
+    counted = (df.select(F.xxhash64(*keys).alias("h")).join(hot, F.col("h") == F.col("hot"), "left")
+               .groupBy("hot").agg(F.count("*").alias("n")))
+    top, rows = F.max(F.when(F.col("hot").isNotNull(), F.col("n"))), F.sum("n")
+    return counted.agg(F.coalesce(top / rows, F.lit(0.0)).alias("share"))
 
 
 def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner",

@@ -79,24 +79,19 @@ def fan_out(left: DataFrame, right: DataFrame, key: list[str], grain: list[str])
     The rows are computed from counts per key; the joins themselves are never run.
     Products of counts are decimals, and a total beyond 64 bits raises an error.
     """
-    def joined_rows(on: list[str]):
+    def joined(on: list[str], form: str) -> DataFrame:
         n_left = left.groupBy(*on).agg(F.count("*").alias("n_left"))
         n_right = right.groupBy(*on).agg(F.count("*").alias("n_right"))
         matches = F.greatest(F.coalesce("n_right", F.lit(1)), F.lit(1)).cast("decimal(19,0)")
         product = F.col("n_left").cast("decimal(19,0)") * matches
-        return n_left.join(n_right, on, "left").agg(F.sum(product).cast("bigint").alias("joined_rows"))
-
-    def labelled(df: DataFrame, form: str) -> DataFrame:
-        return df.select(F.lit(form).alias("join_form"), "joined_rows")
-
-    base = left.agg(F.count("*").alias("joined_rows"))
-    forms = _all([labelled(joined_rows(key), "by " + ", ".join(key)),
-                  labelled(joined_rows(grain), "by " + ", ".join(grain)),
-                  labelled(base, "aggregated first")])
-    total = left.agg(F.count("*").alias("left_rows"))
-    return forms.crossJoin(total).select(
-        "join_form", "left_rows", "joined_rows",
-        (F.col("joined_rows") - F.col("left_rows")).alias("extra_rows"))
+        return n_left.join(n_right, on, "left").agg(
+            F.sum("n_left").alias("left_rows"), F.sum(product).cast("bigint").alias("joined_rows"),
+        ).select(F.lit(form).alias("join_form"), "*")
+
+    first = left.agg(F.count("*").alias("left_rows")).select(
+        F.lit("aggregated first").alias("join_form"), "left_rows", F.col("left_rows").alias("joined_rows"))
+    forms = _all([joined(key, "by " + ", ".join(key)), joined(grain, "by " + ", ".join(grain)), first])
+    return forms.withColumn("extra_rows", F.col("joined_rows") - F.col("left_rows"))
 
 
 def time_coverage(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:

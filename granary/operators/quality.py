@@ -83,10 +83,12 @@ def unexpected_values(df: DataFrame, check: Check) -> DataFrame:
 
 
 def grain_breach(fact: DataFrame, base: DataFrame) -> DataFrame:
-    """One row with both counts if they differ, else no row. Both sides have one row."""
-    counts = fact.agg(F.count("*").alias("fact_rows")).crossJoin(
-        base.agg(F.count("*").alias("silver_rows")))
-    return counts.filter("fact_rows <> silver_rows")
+    """One row with both counts if they differ, else no row."""
+    sides = fact.select(F.lit("fact").alias("side")).unionAll(base.select(F.lit("silver").alias("side")))
+    return sides.agg(
+        F.count_if(F.col("side") == "fact").alias("fact_rows"),
+        F.count_if(F.col("side") == "silver").alias("silver_rows"),
+    ).filter("fact_rows <> silver_rows")
 
 
 def _result(counted: DataFrame, model: str, column: str, kind: str, failing: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from granary.functions.calendar import days_between
 from granary.functions.money import add_up, exact_sum, ratio
 from granary.operators.joins import row_number_in_scan, skew_join, without_match
-from granary.operators.keys import or_unknown, surrogate_key
+from granary.operators.keys import UNKNOWN_MEMBER, or_unknown, surrogate_key
 
 
 # --- transaction facts --------------------------------------------------------------------
@@ -242,8 +242,10 @@ def orders_as_of(orders: DataFrame, history: DataFrame) -> DataFrame:
 
 def surrogate_key_audit(history: DataFrame, placed: DataFrame) -> DataFrame:
     """Versions against distinct keys (equal: no collision), and orders with the unknown member."""
-    keys = history.select(surrogate_key("customer_id", "valid_from").alias("k")).agg(
-        F.count("*").alias("num_versions"), F.countDistinct("k").alias("num_keys"))
-    unknown = placed.agg(F.count("*").alias("num_orders"),
-                         F.count_if(F.col("customer_sk") == -1).alias("unknown_member_orders"))
-    return keys.crossJoin(unknown)
+    keyed = history.select(surrogate_key("customer_id", "valid_from").alias("k")).agg(
+        F.count("*").alias("versions"), F.countDistinct("k").alias("distinct keys"))
+    orders = placed.agg(F.count("*").alias("orders"),
+                        F.count_if(F.col("customer_sk") == UNKNOWN_MEMBER).alias("unknown member orders"))
+    return reduce(DataFrame.unionByName, [
+        frame.select(F.lit(name).alias("measure"), F.col(name).alias("num_rows"))
+        for frame in (keyed, orders) for name in frame.columns])

@@ -3,7 +3,7 @@
 Whatever joins two many-sides aggregates both to the common grain first.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions.calendar import days_between
@@ -128,16 +128,17 @@ def no_promo_share(fact: DataFrame) -> DataFrame:
 
 def null_key_loss(items: DataFrame, dim_promotion: DataFrame) -> DataFrame:
     """Lines that survive an inner join to promotions with the raw key and with the extra member."""
-    per_key = items.groupBy("promo_id").agg(F.count("*").alias("n"))
-    members = dim_promotion.select("promo_id")
+    per_key = items.groupBy(F.col("promo_id").alias("raw_key")).agg(F.count("*").alias("n")).withColumn(
+        "promo_id", F.coalesce("raw_key", F.lit(vocab.NO_PROMO)))
+    known = dim_promotion.select("promo_id", F.lit(True).alias("known"))
 
-    def surviving(keys: DataFrame, name: str) -> DataFrame:
-        return keys.join(members, "promo_id").agg(F.coalesce(F.sum("n"), F.lit(0)).alias(name))
+    def lines(condition) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
 
-    raw = surviving(per_key, "kept_with_null_key")
-    filled = surviving(per_key.withColumn("promo_id", F.coalesce("promo_id", F.lit(vocab.NO_PROMO))),
-                       "kept_with_member")
-    return items.agg(F.count("*").alias("num_lines")).crossJoin(raw).crossJoin(filled)
+    return per_key.join(known, "promo_id", "left").agg(
+        lines(F.lit(True)).alias("num_lines"),
+        lines(F.col("known") & F.col("raw_key").isNotNull()).alias("kept_with_null_key"),
+        lines(F.col("known")).alias("kept_with_member"))
 
 
 # --- shipping -----------------------------------------------------------------------------

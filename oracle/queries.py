@@ -413,10 +413,13 @@ Q["scd2_customers"] = "select * from customer_history"
 Q["scd2_incremental"] = "select * from customer_history"
 Q["scd2_asof_lookup"] = "select * from orders_as_of"
 Q["surrogate_keys"] = """
-select (select count(*) from customer_history) as num_versions,
-  (select count(*) from (select distinct customer_id, valid_from from customer_history) as k) as num_keys,
-  (select count(*) from orders_as_of) as num_orders,
-  (select count(*) from orders_as_of where is_unknown) as unknown_member_orders"""
+select 'versions' as measure, count(*) as num_rows from customer_history
+union all
+select 'distinct keys', count(*) from (select distinct customer_id, valid_from from customer_history) as k
+union all
+select 'orders', count(*) from orders_as_of
+union all
+select 'unknown member orders', count(*) from orders_as_of where is_unknown"""
 Q["scd_variants"] = """
 select customer_id, first(zip order by snapshot_date) as type0_zip, last(zip order by snapshot_date) as type1_zip,
   last(zip order by snapshot_date) as current_zip,

@@ -24,7 +24,8 @@ def test_query(name, spark, folder, db):
 
 @pytest.mark.parametrize("name", [
     "dim_customer", "fact_order_items", "star_four_dims", "promo_effectiveness", "orders_by_region",
-    "revenue_by_category", "scd2_asof_lookup", "region_two_ways", "fact_returns", "list_price_match"])
+    "revenue_by_category", "scd2_asof_lookup", "region_two_ways", "fact_returns", "list_price_match",
+    "redundant_column", "fact_payments", "fact_shipments"])
 def test_query_without_broadcast(name, spark, folder, db, no_broadcast):
     assert differences(QUERIES[name](spark, folder), db, ORACLES[name]) == ""
 
