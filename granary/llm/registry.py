@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.llm import hash_index, minhash, mixing, packing, simhash, token_blocks
+from granary.llm import hash_index, line_join, minhash, mixing, packing, simhash, token_blocks
 from granary.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_digest(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op7_line_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_join.line_digest(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_digest(table(spark, sf_dir, "documents"))
 
@@ -41,6 +45,6 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_token_blocks, op3_hash_index, op4_packing, op8_simhash, op9_mixing, op10_minhash)}
+    op1_token_blocks, op3_hash_index, op4_packing, op7_line_join, op8_simhash, op9_mixing, op10_minhash)}
 
 ORACLES: dict[str, str] = {"op3_hash_index": hash_index.ORACLE}
