@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.llm import hash_index, line_join, minhash, mixing, packing, simhash, token_blocks
+from granary.llm import hash_index, html_tree, line_join, minhash, mixing, packing, quality_pu, simhash, token_blocks, toxic_crf
 from granary.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op1_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_blocks.token_file_digest(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op2_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_pu.quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_hash_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_index.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -28,6 +32,14 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_digest(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op5_toxic_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxic_crf.toxicity_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_html_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_tree.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op7_line_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_join.line_digest(table(spark, sf_dir, "documents"))
 
@@ -45,6 +57,6 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_token_blocks, op3_hash_index, op4_packing, op7_line_join, op8_simhash, op9_mixing, op10_minhash)}
+    op1_token_blocks, op2_quality_pu, op3_hash_index, op4_packing, op5_toxic_crf, op6_html_tree, op7_line_join, op8_simhash, op9_mixing, op10_minhash)}
 
 ORACLES: dict[str, str] = {"op3_hash_index": hash_index.ORACLE}
