@@ -1,10 +1,10 @@
 """Toxic spans by a linear-chain conditional random field.
 
 Labels come per document, so tokens are labelled first: a word or the beginning
-of a word that occurs in toxic documents far more often than in clean ones
-(by the G-test), and is the strongest such sign of `EXPLAINS` documents, marks
-the tokens of toxic documents that carry it: a word that merely sits beside a
-stronger sign, as in copies of one document, explains none. The field
+of a word that occurs in toxic documents far more often than in clean ones, by
+the G-test, marks the tokens of toxic documents that carry it. Its toxic
+occurrences count once per preceding word, since copies of a document repeat
+all its words and prove nothing. The field
 learns from windows around such tokens and from ordinary ones. Its features are
 words and beginnings of words; its two states are ordinary and toxic.
 
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from granary.llm.common import whole_text
 
 MOST_DOCS, MOST_SIGNS, MOST_WINDOWS, WINDOW = 8000, 20_000, 6, 8
-EVIDENCE, EXPLAINS, PREFIXES = 24.0, 2, (4, 5, 6)
+EVIDENCE, PREFIXES = 24.0, (4, 5, 6)
 NOTED, SPAN, THRESHOLD = 0.1, 0.5, 0.3
 REMEMBERED, GROUP_TOKENS = 500_000, 1_000_000
 _WORD = re.compile(r"\w+")
@@ -179,25 +179,33 @@ def train(docs: DataFrame, labels: DataFrame, most_docs: int = MOST_DOCS) -> Fie
     n_toxic, n_clean = all_docs[0], all_docs[1] - all_docs[0]
     if not n_toxic or not n_clean:
         return Field()
-    a, c = F.col("toxic"), F.col("clean")
     share = n_toxic / (n_toxic + n_clean)
 
-    def part(n: Column, expected: Column) -> Column:
-        return F.when(n > 0, n * F.log(n / expected)).otherwise(0.0)
+    def evidence(a: Column, c: Column) -> Column:
+        def part(n: Column, expected: Column) -> Column:
+            return F.when(n > 0, n * F.log(n / expected)).otherwise(0.0)
 
-    g = 2 * (part(a, (a + c) * share) + part(c, (a + c) * (1 - share)))
-    strong = counted.filter((F.col("sign") != "") & (a >= 3) & (a / n_toxic > 10 * c / n_clean)).withColumn("g", g)
-    chosen = [r["sign"] for r in strong.filter(F.col("g") > EVIDENCE).orderBy(F.desc("g"), "sign").limit(MOST_SIGNS).collect()]
-    rank = {s: k for k, s in enumerate(chosen)}
+        g = 2 * (part(a, (a + c) * share) + part(c, (a + c) * (1 - share)))
+        return F.when((a >= 3) & (a / n_toxic > 10 * c / n_clean), g).otherwise(0.0)
 
-    def strongest(batches):
-        for batch in batches:
-            best = Counter(min(found) for text in batch["text"][batch["toxic"] == 1]
-                           if (found := {rank[s] for w in set(_WORD.findall(text)) for s in signs(w) if s in rank}))
-            yield pd.DataFrame({"rank": list(best), "docs": list(best.values())}).astype("int64")
+    strong = counted.filter(F.col("sign") != "").withColumn("g", evidence(F.col("toxic"), F.col("clean"))).filter(
+        F.col("g") > EVIDENCE).orderBy(F.desc("g"), "sign").limit(MOST_SIGNS)
+    clean = {r["sign"]: r["clean"] for r in strong.collect()}
 
-    explains = rows.mapInPandas(strongest, "rank long, docs long").groupBy("rank").agg(F.sum("docs").alias("docs"))
-    chosen = [chosen[r["rank"]] for r in explains.filter(F.col("docs") >= EXPLAINS).orderBy("rank").collect()]
+    def places(batches):
+        for batch in batches:
+            out = set()
+            for text in batch["text"][batch["toxic"] == 1]:
+                before = ""
+                for word in _WORD.findall(text):
+                    out.update((s, clean[s], before) for s in signs(word) if s in clean)
+                    before = word
+            yield pd.DataFrame(sorted(out), columns=["sign", "clean", "before"])
+
+    apart = rows.mapInPandas(places, "sign string, clean long, before string").groupBy("sign", "clean").agg(
+        F.count_distinct("before").alias("toxic"))
+    chosen = [r["sign"] for r in apart.withColumn("g", evidence(F.col("toxic"), F.col("clean"))).filter(
+        F.col("g") > EVIDENCE).orderBy(F.desc("g"), "sign").collect()]
     if not chosen:
         return Field()
     number = {s: k for k, s in enumerate(chosen)}
