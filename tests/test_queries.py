@@ -13,11 +13,11 @@ def db(folder):
     return connect(folder)
 
 
-def test_names_agree():
-    assert set(QUERIES) == set(ORACLES)
+def test_every_sql_has_a_query():
+    assert set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query(name, spark, folder, db):
     assert differences(QUERIES[name](spark, folder), db, ORACLES[name]) == ""
 
