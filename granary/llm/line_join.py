@@ -8,14 +8,15 @@ itself removed makes no difference. Lines without words are always kept.
 Equal lines are combined first, so copies make no pairs. The words of each
 distinct line are put in order of rarity; two similar lines share a word of
 their prefixes, which is the join key. Pairs must then pass the length filter,
-the positional filter and a comparison of 128-bit word signatures, all exact,
-before Jaccard is verified on the words.
+the positional filter and a comparison of parity signatures (each word flips
+one of 64 bits, so signatures differ in no more bits than lines in words), all
+exact, before Jaccard is verified on the words.
 
-Rarity is a count per hash bucket, so its table has a fixed size; any fixed
-order gives the same result, rarity only makes the groups small.
+Rarity is a count per hash bucket over all lines, so its table has a fixed
+size; any fixed order gives the same result, rarity only keeps groups small.
 
 A null text counts as empty. A null doc_id comes after all others. Rows that
-repeat doc_id and text have the same lines removed.
+share a doc_id count as one document: equal lines at the same place stay in each.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -26,12 +27,19 @@ from granary.llm.common import GAP, stored, whole_text
 SIMILARITY = 0.8
 RARITY_BUCKETS = 1 << 18
 FILTER_WORDS = 1 << 16
+LAST = (1 << 63) - 1
+WORD = "[^\\x20\\x09-\\x0D]"
 
 
 def words_of(line: Column) -> Column:
     return F.array_distinct(F.array_remove(F.split(line, GAP + "+"), ""))
 
 
+def _one(number: Column) -> Column:
+    """The bit that the low six bits of a number name."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), number.bitwiseAND(F.lit(63)).cast("int"))
+
+
 def _dense(counts: DataFrame, size: int, value: Column, kind: str) -> Column:
     """A constant array of `size` entries from (slot, ...) rows; slots without a row are zero."""
     slots = counts.sparkSession.range(size).withColumnRenamed("id", "slot")
@@ -39,130 +47,116 @@ def _dense(counts: DataFrame, size: int, value: Column, kind: str) -> Column:
     return full.agg(F.transform(F.sort_array(F.collect_list(F.struct("slot", "v"))), lambda x: x["v"])).scalar()
 
 
-def distinct_lines(docs: DataFrame) -> DataFrame:
-    """Each distinct line with words once, at its first place: rid, doc_id, doc_hash, line_no, line."""
-    rows = docs.select("doc_id", F.xxhash64(whole_text()).alias("doc_hash"), F.posexplode(
-        F.split(whole_text(), "\n", -1)).alias("line_no", "line")).filter(F.regexp_like("line", F.lit("[^\\x20\\x09-\\x0D]")))
-    place = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc_hash", "line_no"))
-    first = rows.groupBy("line").agg(place.alias("place"))
-    return stored(first.select(F.monotonically_increasing_id().alias("rid"), "place.*", "line"), "lines")
+def _lines(docs: DataFrame) -> DataFrame:
+    """All lines with words: id (doc_id, null as the largest), line_no, line."""
+    rows = docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("id"),
+                       F.posexplode(F.split(whole_text(), "\n", -1)).alias("line_no", "line"))
+    return rows.filter(F.regexp_like("line", F.lit(WORD)))
 
 
-def prefixes(lines: DataFrame, similarity: float) -> DataFrame:
-    """A row for each prefix word: key, rid, number of words, place in the order, signature."""
+def rarities(lines: DataFrame) -> Column:
+    """A constant array with the level of rarity of each bucket of words, 0 to 127."""
     words = lines.select(F.explode(words_of(F.col("line"))).alias("w"))
     counts = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(RARITY_BUCKETS)).alias("slot")).agg(F.count("*").alias("n"))
-    level = F.least(F.lit(127), F.floor(5 * F.log2(F.col("n") + 1)))
-    rarity = _dense(counts, RARITY_BUCKETS, level, "tinyint")
+    return _dense(counts, RARITY_BUCKETS, F.least(F.lit(127), F.floor(5 * F.log2(F.col("n") + 1))), "tinyint")
+
+
+def prefixes(lines: DataFrame, similarity: float) -> DataFrame:
+    """A row for each prefix word of each distinct line, at its first place: key, id, line_no, words, rank, signature."""
+    place = F.min(F.struct("id", "line_no")).alias("place")
+    first = lines.groupBy("line").agg(place).select("place.*", "line").withColumn("rarity", rarities(lines))
 
     def ordered(word: Column) -> Column:
         h = F.xxhash64(word)
         rank = F.element_at(F.col("rarity"), (F.pmod(h, F.lit(RARITY_BUCKETS)) + 1).cast("int"))
         return F.shiftleft(rank.cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
 
-    def signature(half: int) -> Column:
-        bits = F.aggregate("words", F.lit(0).cast("long"), lambda s, k: s.bitwiseOR(F.when(
-            F.shiftright(k, 6).bitwiseAND(F.lit(1)) == half, F.call_function("shiftleft", F.lit(1).cast("long"),
-            k.bitwiseAND(F.lit(63)).cast("int"))).otherwise(F.lit(0).cast("long"))))
-        return F.coalesce(bits, F.lit(0).cast("long"))
-
-    sets = (lines.withColumn("rarity", rarity)
-            .select("rid", F.sort_array(F.transform(words_of(F.col("line")), ordered)).alias("words")))
+    sets = first.select("id", "line_no", F.sort_array(F.transform(words_of(F.col("line")), ordered)).alias("words"))
     # coalesce keeps the join from testing each of these for null, which would compute them once more
     n = F.coalesce(F.size("words"), F.lit(0))
     kept = n - F.ceil(n * similarity - 1e-9).cast("int") + 1
-    sized = sets.select("rid", n.alias("n"), signature(0).alias("s0"), signature(1).alias("s1"),
+    parity = F.aggregate("words", F.lit(0).cast("long"), lambda s, k: s.bitwiseXOR(_one(k)))
+    sized = sets.select("id", "line_no", n.alias("n"), F.coalesce(parity, F.lit(0).cast("long")).alias("parity"),
                         F.coalesce(F.slice("words", F.lit(1), kept), F.array().cast("array<long>")).alias("prefix"))
-    return sized.select("rid", "n", "s0", "s1", F.posexplode_outer("prefix").alias("at", "key"))
+    return sized.select("id", "line_no", "n", "parity", F.posexplode_outer("prefix").alias("at", "key"))
 
 
 def candidates(rows: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of distinct lines that pass all filters."""
+    """Places (id, line_no) and (id2, line_no2), the earlier first, of distinct lines that pass all filters."""
     a, b = rows.alias("a"), rows.alias("b")
     both = F.col("a.n") + F.col("b.n")
     least = F.ceil(both * (similarity / (1 + similarity)) - 1e-9)
-    rest = 1 + F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at")) - 1
-    apart = (F.bit_count(F.col("a.s0").bitwiseXOR(F.col("b.s0"))) + F.bit_count(F.col("a.s1").bitwiseXOR(F.col("b.s1"))))
-    fits = ((F.col("a.key") == F.col("b.key")) & (F.col("a.rid") < F.col("b.rid"))
+    rest = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
+    apart = F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity")))
+    before = (F.col("a.id") < F.col("b.id")) | (F.col("a.id") == F.col("b.id")) & (F.col("a.line_no") < F.col("b.line_no"))
+    fits = ((F.col("a.key") == F.col("b.key")) & before
             & (F.least(F.col("a.n"), F.col("b.n")) >= F.greatest(F.col("a.n"), F.col("b.n")) * similarity - 1e-9)
             & (rest >= least) & (apart <= both - 2 * least))
-    return a.join(b, fits).select(F.col("a.rid").alias("a"), F.col("b.rid").alias("b")).distinct()
+    return a.join(b, fits).select("a.id", "a.line_no", F.col("b.id").alias("id2"), F.col("b.line_no").alias("line_no2")).distinct()
 
 
-def similar_lines(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Verified pairs (earlier, later) of rids, stored.
+def resembling_lines(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(id, line_no, line_hash) of first occurrences that resemble an earlier line, stored.
 
     Only the text of lines that occur in a candidate pair is shuffled. A bit
-    table of fixed size sifts the others out; the join then decides exactly.
+    table of fixed size sifts the others out; the joins then decide exactly.
     """
     pairs = stored(candidates(prefixes(lines, similarity), similarity), "line-pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
-    bits = FILTER_WORDS * 64
-
-    def slot(rid: Column) -> Column:
-        return F.pmod(F.xxhash64(rid), F.lit(bits))
-
-    word = F.shiftright(slot(F.col("rid")), 6)
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), slot(F.col("rid")).bitwiseAND(F.lit(63)).cast("int"))
-    marks = wanted.groupBy(word.alias("slot")).agg(F.bit_or(bit).alias("bits"))
+    places = pairs.select("id", "line_no").union(pairs.select("id2", "line_no2"))
+    slot = F.pmod(F.xxhash64("id", "line_no"), F.lit(FILTER_WORDS * 64))
+    word = F.shiftright(slot, 6)
+    marks = places.groupBy(word.alias("slot")).agg(F.bit_or(_one(slot)).alias("bits"))
     table = _dense(marks, FILTER_WORDS, F.col("bits"), "long")
-    seen = F.element_at(F.col("table"), (word + 1).cast("int")).bitwiseAND(bit) != 0
-    some = lines.withColumn("table", table).filter(seen).drop("table").join(wanted, "rid", "left_semi")
-    some = stored(some.select("rid", words_of(F.col("line")).alias("words"),
-                              F.struct("no_id", "doc_id", "doc_hash", "line_no").alias("place")), "line-words")
-    x = some.select(F.col("rid").alias("a"), F.col("words").alias("x"), F.col("place").alias("p"))
-    y = some.select(F.col("rid").alias("b"), F.col("words").alias("y"), F.col("place").alias("q"))
-    common = F.size(F.array_intersect("x", "y"))
-    alike = pairs.join(x, "a").join(y, "b").filter(
-        common >= similarity * (F.size("x") + F.size("y") - common) - 1e-9)
-    return stored(alike.select(F.when(F.col("p") < F.col("q"), F.col("a")).otherwise(F.col("b")).alias("earlier"),
-                               F.when(F.col("p") < F.col("q"), F.col("b")).otherwise(F.col("a")).alias("later")),
-                  "line-links")
-
-
-def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, doc_hash and the text that is left, one row per distinct (doc_id, text): kept_text, n_kept, n_near.
-
-    What is left of a document are its first occurrences of lines that no
-    earlier line resembles, and its lines without words. n_near counts the
-    first occurrences that were removed.
+    seen = F.element_at(F.col("table"), (word + 1).cast("int")).bitwiseAND(_one(slot)) != 0
+    texts = lines.withColumn("table", table).filter(seen).drop("table")
+    other = texts.select(F.col("id").alias("id2"), F.col("line_no").alias("line_no2"), F.col("line").alias("line2"))
+    both = pairs.join(texts, ["id", "line_no"]).select("id2", "line_no2", "line").join(other, ["id2", "line_no2"])
+    common = F.size(F.array_intersect(words_of(F.col("line")), words_of(F.col("line2"))))
+    size = F.size(words_of(F.col("line"))) + F.size(words_of(F.col("line2")))
+    alike = both.filter(common >= similarity * (size - common) - 1e-9)
+    return stored(alike.select(F.col("id2").alias("id"), F.col("line_no2").alias("line_no"),
+                               F.xxhash64("line2").alias("line_hash")).distinct(), "line-links")
+
+
+def kept_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Per id: kept and near, the numbers of lines that stay and of first occurrences that go as near matches.
+
+    Lines without words are not listed, they always stay. What repeats an
+    earlier line is in neither list.
     """
-    lines = distinct_lines(docs)
-    later = similar_lines(lines, similarity).select(F.col("later").alias("rid")).distinct().withColumn("near", F.lit(1))
-    firsts = lines.join(later, "rid", "left").select("doc_id", "doc_hash", "line_no", "line", "near")
-    text = whole_text()
-    blanks = docs.select("doc_id", F.xxhash64(text).alias("doc_hash"), F.filter(
-        F.transform(F.split(text, "\n", -1), lambda x, i: F.struct(i.alias("line_no"), x.alias("line"))),
-        lambda x: ~F.regexp_like(x["line"], F.lit("[^\\x20\\x09-\\x0D]"))).alias("blanks"),
-        F.size(F.split(text, "\n", -1)).alias("n_lines"))
-    kept = F.sort_array(F.collect_list(F.when(F.col("near").isNull(), F.struct("line_no", "line"))))
-    found = firsts.groupBy("doc_id", "doc_hash").agg(kept.alias("kept"), F.count("near").alias("n_near"))
-    one = blanks.groupBy("doc_id", "doc_hash").agg(F.any_value("blanks").alias("blanks"),
-                                                   F.any_value("n_lines").alias("n_lines"))
-    found = found.select(F.col("doc_id").alias("_id"), F.col("doc_hash").alias("_hash"), "kept", "n_near")
-    joined = one.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("doc_hash") == F.col("_hash")), "left")
-    none = F.array().cast("array<struct<line_no:int,line:string>>")
-    whole = F.sort_array(F.concat(F.col("blanks"), F.coalesce("kept", none)))
-    return joined.select("doc_id", "doc_hash", "n_lines", F.size(whole).alias("n_kept"),
-                         F.coalesce("n_near", F.lit(0)).alias("n_near"),
-                         F.array_join(F.transform(whole, lambda x: x["line"]), "\n").alias("kept_text"))
+    lines = _lines(docs)
+    near = resembling_lines(lines, similarity).withColumn("near", F.lit(True))
+    firsts = lines.groupBy(F.md5("line").alias("key")).agg(F.min(F.struct(
+        "id", "line_no", F.xxhash64("line").alias("line_hash"))).alias("p")).select("p.*")
+    marked = firsts.join(near, ["id", "line_no", "line_hash"], "left")
+    numbers = lambda keep: F.sort_array(F.collect_list(F.when(keep, F.struct("line_no", "line_hash"))))
+    return marked.groupBy("id").agg(numbers(F.col("near").isNull()).alias("kept"),
+                                    numbers(F.col("near").isNotNull()).alias("near"))
 
 
 def line_digest(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Per document: n_lines, n_kept, n_near and the hash of the text that is left."""
-    left = dedup_lines(docs, similarity).select(
-        F.col("doc_id").alias("_id"), F.col("doc_hash").alias("_hash"), F.col("n_lines").cast("long"),
-        F.col("n_kept").cast("long"), F.col("n_near").cast("long"), F.sha2("kept_text", 256).alias("kept_sha256"))
-    rows = docs.select("doc_id", F.xxhash64(whole_text()).alias("doc_hash"))
-    return rows.join(left, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("doc_hash") == F.col("_hash"))).select(
-        "doc_id", "n_lines", "n_kept", "n_near", "kept_sha256")
+    """Per document: n_lines, n_near and the numbers of the lines that stay, from 0."""
+    text = F.split(whole_text(), "\n", -1)
+    blank = F.array_compact(F.transform(text, lambda x, i: F.when(~F.regexp_like(x, F.lit(WORD)), i)))
+    rows = docs.select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("id"), F.size(text).cast("long").alias("n_lines"),
+                       blank.alias("blank"))
+    found = kept_lines(docs, similarity)
+    numbers = F.transform(F.coalesce("kept", F.array().cast("array<struct<line_no:int,line_hash:bigint>>")),
+                          lambda x: x["line_no"])
+    return rows.join(found, "id", "left").select(
+        "doc_id", "n_lines", F.coalesce(F.size("near"), F.lit(0)).cast("long").alias("n_near"),
+        F.sort_array(F.array_distinct(F.concat("blank", numbers))).alias("kept_lines"))
 
 
 def without_repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The documents, all columns, with what is left of their text and its n_chars."""
-    left = dedup_lines(docs, similarity).select(F.col("doc_id").alias("_llm_id"), F.col("doc_hash").alias("_llm_hash"),
-                                                F.col("kept_text").alias("_llm_text"))
-    rest = docs.withColumn("_llm_key", F.xxhash64(whole_text())).drop("text")
-    joined = rest.join(left, rest["doc_id"].eqNullSafe(left["_llm_id"]) & (rest["_llm_key"] == left["_llm_hash"]))
-    out = joined.withColumns({"text": F.col("_llm_text"), "n_chars": F.length("_llm_text").cast("long")})
-    return out.select(*docs.columns)
+    found = kept_lines(docs, similarity).select(F.col("id").alias("_llm_id"), F.col("kept").alias("_llm_kept"))
+    keyed = docs.withColumn("_llm_key", F.coalesce("doc_id", F.lit(LAST)))
+    both = keyed.join(found, F.col("_llm_key") == F.col("_llm_id"), "left")
+    lines = F.transform(F.split(whole_text(), "\n", -1),
+                        lambda x, i: F.struct(x.alias("line"), i.alias("line_no"), F.xxhash64(x).alias("line_hash")))
+    stays = F.array_join(F.transform(F.filter(lines, lambda x: ~F.regexp_like(x["line"], F.lit(WORD)) | F.coalesce(
+        F.array_contains("_llm_kept", F.struct(x["line_no"].alias("line_no"), x["line_hash"].alias("line_hash"))),
+        F.lit(False))), lambda x: x["line"]), "\n")
+    out = both.withColumn("_llm_text", stays)
+    return out.withColumns({"text": F.col("_llm_text"), "n_chars": F.length("_llm_text").cast("long")}).select(*docs.columns)
