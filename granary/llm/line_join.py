@@ -95,13 +95,12 @@ def candidates(rows: DataFrame, similarity: float) -> DataFrame:
     return a.join(b, fits).select("a.id", "a.line_no", F.col("b.id").alias("id2"), F.col("b.line_no").alias("line_no2")).distinct()
 
 
-def resembling_lines(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(id, line_no, line_hash) of first occurrences that resemble an earlier line, stored.
+def verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
+    """(id, line_no, line_hash) of the later lines of pairs whose words are similar, stored.
 
-    Only the text of lines that occur in a candidate pair is shuffled. A bit
-    table of fixed size sifts the others out; the joins then decide exactly.
+    Only the text of lines that occur in a pair is shuffled. A bit table of
+    fixed size sifts the others out; the joins then decide exactly.
     """
-    pairs = stored(candidates(prefixes(lines, similarity), similarity), "line-pairs")
     places = pairs.select("id", "line_no").union(pairs.select("id2", "line_no2"))
     slot = F.pmod(F.xxhash64("id", "line_no"), F.lit(FILTER_WORDS * 64))
     word = F.shiftright(slot, 6)
@@ -118,6 +117,21 @@ def resembling_lines(lines: DataFrame, similarity: float = SIMILARITY) -> DataFr
                                F.xxhash64("line2").alias("line_hash")).distinct(), "line-links")
 
 
+def resembling_lines(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(id, line_no, line_hash) of first occurrences that resemble an earlier line.
+
+    One similar earlier line is enough, so the earliest candidate of each line
+    is verified first, and the others only of lines which that leaves open.
+    """
+    pairs = stored(candidates(prefixes(lines, similarity), similarity), "line-pairs")
+    later = ["id2", "line_no2"]
+    first = pairs.groupBy(*later).agg(F.min(F.struct("id", "line_no")).alias("p")).select("p.*", *later)
+    done = verified(first, lines, similarity)
+    closed = done.select(F.col("id").alias("id2"), F.col("line_no").alias("line_no2"))
+    open_pairs = pairs.join(closed, later, "left_anti").join(first, ["id", "line_no", *later], "left_anti")
+    return done.union(verified(stored(open_pairs, "line-pairs-open"), lines, similarity))
+
+
 def kept_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Per id: kept and near, the numbers of lines that stay and of first occurrences that go as near matches.
 
