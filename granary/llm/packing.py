@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.llm.common import stored, whole_text
-from granary.llm.tokens import Encoder
+from granary.llm.tokens import worker_encoder
 
 LIMIT = 2048
 PIECES = ("doc_id long, start long, length int, doc_tokens long, part int, at long, ids binary")
@@ -29,7 +29,7 @@ def cut_documents(docs: DataFrame, vocabulary: str, end_id: int = 1, limit: int
     rows = docs.select("doc_id", whole_text().alias("text"), F.spark_partition_id().alias("part"))
 
     def pieces(batches):
-        encoder, seen = Encoder(vocabulary), np.zeros(limit + 1, np.int64)
+        encoder, seen = worker_encoder(vocabulary), np.zeros(limit + 1, np.int64)
         for batch in batches:
             for k in range(0, len(batch), 500):
                 some = batch.iloc[k:k + 500]

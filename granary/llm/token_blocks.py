@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.llm.common import whole_text
-from granary.llm.tokens import Encoder
+from granary.llm.tokens import worker_encoder
 from granary.session import scratch_dir
 
-BLOCK = 512
+BLOCK = 2048
 PERCENTILE = 0.9
 SEGMENT_IDS = 1 << 17
 _HEAD = np.dtype([("low", "<u4"), ("size", "<u2"), ("width", "u1"), ("odd", "<u2")])
@@ -26,10 +26,6 @@ SEGMENTS = ("shard int, segment int, first_id long, n_tokens long, doc_ids array
             "block_starts array<int>, payload binary")
 
 
-def _widths(values: np.ndarray) -> np.ndarray:
-    return np.ceil(np.log2(values.astype(np.float64) + 1)).astype(np.int64)
-
-
 def _bits(values: np.ndarray, width: int) -> np.ndarray:
     """The low `width` bits of each value, lowest first."""
     raw = values.astype("<u4").view(np.uint8).reshape(-1, 4)
@@ -43,7 +39,8 @@ def pack_blocks(ids: np.ndarray, block: int = BLOCK, percentile: float = PERCENT
         part = ids[k:k + block].astype(np.uint32)
         low = int(part.min())
         rest = part - np.uint32(low)
-        width = int(_widths(np.array([np.quantile(rest, percentile, method="higher")]))[0])
+        common = min(int(percentile * len(rest)), len(rest) - 1)
+        width = int(np.partition(rest, common)[common]).bit_length()
         odd = np.flatnonzero(rest >> np.uint32(width)) if width < 32 else np.empty(0, np.int64)
         head = np.array([(low, len(part), width, len(odd))], _HEAD).tobytes()
         packed = np.packbits(_bits(rest, width).ravel(), bitorder="little").tobytes()
@@ -87,7 +84,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int =
     rows = rows.withColumn("shard", F.spark_partition_id())
 
     def segments(batches):
-        encoder, number, before, held, size, shard = Encoder(vocabulary), 0, 0, [], 0, 0
+        encoder, number, before, held, size, shard = worker_encoder(vocabulary), 0, 0, [], 0, 0
 
         def segment():
             ids = np.concatenate([x for _, x in held])

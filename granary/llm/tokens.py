@@ -8,6 +8,8 @@ ones only; a full memory is emptied. The ids equal those of the whole text.
 
 import os
 import re
+import sys
+import types
 
 import numpy as np
 
@@ -105,3 +107,12 @@ class Encoder:
         if len(self.pieces) > REMEMBERED:
             self._empty()
         return flat, np.diff(bounds)
+
+
+def worker_encoder(path: str) -> Encoder:
+    """This worker's encoder. It outlives a task, since Spark gives a worker one task after another."""
+    memory = sys.modules.setdefault("granary_worker_memory", types.ModuleType("granary_worker_memory"))
+    encoders = memory.__dict__.setdefault("encoders", {})
+    if path not in encoders:
+        encoders[path] = Encoder(path)
+    return encoders[path]
