@@ -9,15 +9,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 AMOUNT = "decimal(18,4)"
+TOTAL = "decimal(38,4)"
 
 
 def exact(amount: Column | str) -> Column:
     return (F.col(amount) if isinstance(amount, str) else amount).cast(AMOUNT)
 
 
+def exact_total(amount: Column | str) -> Column:
+    """A finished total as decimal, wide enough for any sum of amounts."""
+    return (F.col(amount) if isinstance(amount, str) else amount).cast(TOTAL)
+
+
 def exact_sum(amount: Column | str) -> Column:
     """A decimal total, still addable; use it in pre-aggregates."""
-    return F.sum(exact(amount))
+    return F.sum(exact(amount)).cast(TOTAL)
 
 
 def total(amount: Column | str) -> Column:

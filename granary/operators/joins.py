@@ -4,89 +4,64 @@ Three rules decide the form of every join in this library:
 
 * only an aggregate of the many side is wanted: aggregate by the join key first.
   The map-side combine turns a hot key into one row per task;
-* the rows of the many side are wanted: `skew_join`;
+* the rows of the many side are wanted: `skew_join`. It is a plain join, whose
+  skewed partitions adaptive execution splits and whose buckets it keeps; only
+  keys that the caller names as hot are salted;
 * both sides are unique on the key: a plain join.
 """
 
-from py4j.protocol import Py4JError
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _SALT, _HOT = "_salt", "_hot_hash"
-MAX_HOT_KEYS = 10_000
+MIN_SHARE = 1e-4
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate, an upper bound for joins; None if unknown."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except (AttributeError, Py4JError):
-        return None
+def hot_keys(df: DataFrame, keys: list[str], share: float | None = None) -> DataFrame:
+    """Hashes of the keys that hold more than `share` of all rows, and their number of rows.
 
-
-def broadcast_limit(spark: SparkSession) -> int:
-    text = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold")).lower().rstrip("b")
-    for unit, factor in (("k", 1 << 10), ("m", 1 << 20), ("g", 1 << 30)):
-        if text.endswith(unit):
-            return int(text[:-1]) * factor
-    return int(text)
-
-
-def is_small(df: DataFrame) -> bool:
-    """True if Spark itself will broadcast `df`, by its own size limit."""
-    size = estimated_bytes(df)
-    return size is not None and 0 <= size <= broadcast_limit(df.sparkSession)
-
-
-def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Hashes of every key that fills more than a quarter of an average shuffle partition.
-
-    Frequent items are found in one pass with bounded memory. The result holds
-    all such keys, perhaps some others, and never more than MAX_HOT_KEYS rows,
-    so it is safe to broadcast.
+    The default share is a quarter of an average shuffle partition, though never
+    below MIN_SHARE, so there are at most 1 / MIN_SHARE of them and the result
+    is safe to broadcast. One pass finds candidates with bounded memory, a
+    second counts them exactly; keys that are not hot are not reported.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    support = max(1 / MAX_HOT_KEYS, 1 / (4 * max(partitions, 25)))
-    hashes = df.select(F.xxhash64(*keys).alias("h")).stat.freqItems(["h"], support)
-    return hashes.select(F.explode("h_freqItems").alias(_HOT))
+    share = max(MIN_SHARE, 1 / (4 * partitions) if share is None else share)
+    hashes = df.select(F.xxhash64(*keys).alias("h"))
+    candidates = hashes.stat.freqItems(["h"], share).select(F.explode("h_freqItems").alias(_HOT))
+    counted = (hashes.join(F.broadcast(candidates), F.col("h") == F.col(_HOT), "left")
+               .groupBy(_HOT).agg(F.count("*").alias("rows")))
+    total = counted.agg(F.sum("rows")).scalar()
+    return (counted.select(_HOT, "rows", total.alias("all_rows"))
+            .filter(F.col(_HOT).isNotNull() & (F.col("rows") > share * F.col("all_rows"))))
 
 
 def hottest_share(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One row: the share of all rows that the most frequent key holds.
-
-    Exact if any key is hot; below that it is only known to be small.
-    """
-    hot = F.broadcast(hot_keys(df, keys).withColumnRenamed(_HOT, "hot"))
-    counted = (df.select(F.xxhash64(*keys).alias("h")).join(hot, F.col("h") == F.col("hot"), "left")
-               .groupBy("hot").agg(F.count("*").alias("n")))
-    top, rows = F.max(F.when(F.col("hot").isNotNull(), F.col("n"))), F.sum("n")
-    return counted.agg(F.coalesce(top / rows, F.lit(0.0)).alias("share"))
+    """One row: the share of all rows that the most frequent key holds, 0 if none is hot."""
+    return hot_keys(df, keys).agg(F.coalesce(F.max(F.col("rows") / F.col("all_rows")), F.lit(0.0)).alias("share"))
 
 
-def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner",
-              hot_from: DataFrame | None = None, salts: int | None = None,
-              spread: Column | None = None, condition: Column | None = None) -> DataFrame:
+def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", hot: DataFrame | None = None,
+              salts: int | None = None, spread: Column | None = None, condition: Column | None = None) -> DataFrame:
     """Inner or left join of a many side with a side of few rows per key.
 
-    A right side within the broadcast limit is joined as is. Otherwise the left
-    rows of hot keys are spread over `salts` shuffle groups and the right rows
-    of these keys, only these, are repeated once per group.
-
-    `hot_from` is a cheap frame with the same key columns to look for hot keys
-    in; it only steers the spreading. `spread` numbers the rows; the default, a
-    hash of the row, gives the same groups when a task is run again. A left
-    side that may hold many identical rows passes `row_number_in_scan()`.
-    `condition` is an extra match condition on left and right columns.
+    Without `hot` this is a plain join. `hot`, from `hot_keys` or from stored
+    statistics, names the hashes of keys to salt: their left rows are spread
+    over `salts` shuffle groups, and their right rows, only these, are repeated
+    once per group. `spread` numbers the rows; the default, a hash of the row,
+    gives the same groups when a task is run again. A left side that may hold
+    many identical rows passes `row_number_in_scan()`. `condition` is an extra
+    match condition on left and right columns.
     """
     if how not in ("inner", "left"):
         raise ValueError("skew_join does inner and left joins")
-    if is_small(right):
+    if hot is None:
         return _joined(left, right, on, how, condition)
     groups = salts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = F.broadcast(hot_keys(left if hot_from is None else hot_from, on))
+    named = F.broadcast(hot.select(_HOT))
 
     def marked(side: DataFrame) -> DataFrame:
-        return side.join(hot, F.xxhash64(*[side[key] for key in on]) == hot[_HOT], "left")
+        return side.join(named, F.xxhash64(*[side[key] for key in on]) == named[_HOT], "left")
 
     is_hot = F.col(_HOT).isNotNull()
     number = F.xxhash64(*left.columns) if spread is None else spread

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions.money import ratio
-from granary.operators.joins import orphan_count, row_number_in_scan, skew_join
+from granary.operators.joins import orphan_count, skew_join
 
 
 def _all(parts: list[DataFrame]) -> DataFrame:
@@ -66,8 +66,7 @@ def copies_agree(left: DataFrame, right: DataFrame, key: str, column: str) -> Da
 
     `left` comes straight from a scan (see `row_number_in_scan`).
     """
-    both = skew_join(left.select(key, column), right.select(key, F.col(column).alias("copy")), [key],
-                     spread=row_number_in_scan())
+    both = skew_join(left.select(key, column), right.select(key, F.col(column).alias("copy")), [key])
     return both.agg(F.count("*").alias("compared_rows"),
                     F.count_if(F.col(column) != F.col("copy")).alias("differing_rows"))
 

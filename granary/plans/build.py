@@ -1,7 +1,8 @@
 """The gated build: sources are checked, then each model is built and checked.
 
-A model whose inputs failed or were skipped is skipped. Only the check results,
-a few rows per model, come back to the driver.
+A model whose inputs did not pass is skipped. A check whose parent was skipped
+cannot run: it is reported as skipped and its model as unchecked, which is not
+passing. Only the check results, a few rows per model, come back to the driver.
 """
 
 from collections.abc import Callable
@@ -16,6 +17,7 @@ from granary.plans.checks import GRAIN_CHECK, SOURCE_CHECKS, model_checks
 from granary.plans.silver import silver
 
 RESULT_SCHEMA = "model string, kind string, status string, failed_checks bigint"
+CHECK_SCHEMA = "model string, column_name string, check_name string, failing_rows bigint, status string"
 
 
 @dataclass(frozen=True)
@@ -51,18 +53,22 @@ def _failures(results: list) -> int:
 
 
 def build(spark: SparkSession, bronze: dict[str, DataFrame], calendar: tuple[str, str],
-          store: Callable[[DataFrame, str], DataFrame]) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Build all models; returns the report and the frames that were built.
+          store: Callable[[DataFrame, str], DataFrame]) -> tuple[DataFrame, DataFrame, dict[str, DataFrame]]:
+    """Build all models; returns the report, every check's result, and the frames that were built.
 
     `calendar` is the first day of the date dimension and the day after its last.
     `store` writes a table model under its name and returns what was stored.
-    A relationship check whose parent was not built cannot run and is left out.
+    A model is built, failed, skipped or unchecked; only after the first does
+    what depends on it follow.
     """
     frames: dict[str, DataFrame] = {"calendar": day_spine(spark, *calendar)}
     declared = model_checks(calendar)
     report: list[tuple] = []
+    checked: list[tuple] = []
     for name, checks in SOURCE_CHECKS.items():
-        failed = _failures(run_checks(name, bronze[name], checks, {}).collect())
+        results = run_checks(name, bronze[name], checks, {}).collect()
+        checked += [tuple(row) for row in results]
+        failed = _failures(results)
         report.append((name, "source", "failed" if failed else "checked", failed))
         if not failed:
             frames[name] = bronze[name]
@@ -71,18 +77,23 @@ def build(spark: SparkSession, bronze: dict[str, DataFrame], calendar: tuple[str
         kind = "table" if model.is_table else "view"
         if not passed.issuperset(model.inputs):
             report.append((model.name, kind, "skipped", 0))
+            checked += [(model.name, check.column, check.kind, None, "skipped") for check in declared[model.name]]
+            if model.name == GRAIN_CHECK[0]:
+                checked.append((model.name, "*", "grain", None, "skipped"))
             continue
         df = model.make(*[frames[name] for name in model.inputs])
         if model.is_table:
             df = store(df, model.name)
         frames[model.name] = df
-        checks = [check for check in declared[model.name]
-                  if check.parent is None or check.parent in frames]
-        results = run_checks(model.name, df, checks, frames)
+        lost = [check for check in declared[model.name] if check.parent and check.parent not in frames]
+        results = run_checks(model.name, df, [check for check in declared[model.name] if check not in lost], frames)
         if model.name == GRAIN_CHECK[0]:
             results = results.unionByName(check_grain(model.name, df, frames[GRAIN_CHECK[1]]))
-        failed = _failures(results.collect())
-        report.append((model.name, kind, "failed" if failed else "built", failed))
-        if not failed:
+        rows = results.collect()
+        checked += [tuple(row) for row in rows]
+        checked += [(model.name, check.column, check.kind, None, "skipped") for check in lost]
+        failed = _failures(rows)
+        report.append((model.name, kind, "failed" if failed else "unchecked" if lost else "built", failed))
+        if not failed and not lost:
             passed.add(model.name)
-    return spark.createDataFrame(report, RESULT_SCHEMA), frames
+    return spark.createDataFrame(report, RESULT_SCHEMA), spark.createDataFrame(checked, CHECK_SCHEMA), frames

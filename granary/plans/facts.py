@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from granary.functions.calendar import days_between
 from granary.functions.money import add_up, exact_sum, ratio
-from granary.operators.joins import row_number_in_scan, skew_join, without_match
+from granary.operators.joins import skew_join, without_match
 from granary.operators.keys import UNKNOWN_MEMBER, or_unknown, surrogate_key
 
 
@@ -16,7 +16,7 @@ from granary.operators.keys import UNKNOWN_MEMBER, or_unknown, surrogate_key
 def fact_returns(returns: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per return, on the same date, product and customer keys as the sales fact."""
     buyers = orders.select("order_id", F.col("customer_id").alias("customer_key"))
-    return skew_join(returns, buyers, ["order_id"], "left", spread=row_number_in_scan()).select(
+    return skew_join(returns, buyers, ["order_id"], "left").select(
         F.col("return_date").alias("date_key"), F.col("product_id").alias("product_key"), "customer_key",
         "return_id", "order_id", "return_reason", "return_quantity", "refund_amount")
 
@@ -25,7 +25,7 @@ def fact_payments(payments: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per payment."""
     header = orders.select("order_id", F.col("order_date").alias("date_key"),
                            F.col("customer_id").alias("customer_key"))
-    return skew_join(payments, header, ["order_id"], spread=row_number_in_scan()).select(
+    return skew_join(payments, header, ["order_id"]).select(
         "date_key", "customer_key", "order_id", "payment_method", "payment_value", "installments")
 
 
@@ -178,8 +178,7 @@ def region_two_ways(orders: DataFrame, geography: DataFrame, dim_customer: DataF
     """Orders by the region they went to and by the region the customer lives in now."""
     places = geography.select("zip", F.col("region").alias("order_region"))
     homes = dim_customer.select("customer_id", F.col("region").alias("customer_region"))
-    sent = skew_join(orders.select("zip", "customer_id"), places, ["zip"], "left",
-                     spread=row_number_in_scan())
+    sent = skew_join(orders.select("zip", "customer_id"), places, ["zip"], "left")
     per_customer = sent.groupBy("customer_id", "order_region").agg(F.count("*").alias("n"))
     return (per_customer.join(homes, "customer_id", "left")
             .groupBy("order_region", "customer_region").agg(F.sum("n").alias("num_orders")))
@@ -234,7 +233,7 @@ def orders_as_of(orders: DataFrame, history: DataFrame) -> DataFrame:
     in_force = (F.col("order_date") >= F.col("valid_from")) & (
         F.col("valid_to").isNull() | (F.col("order_date") < F.col("valid_to")))
     placed = orders.select("order_id", "customer_id", "order_date")
-    return skew_join(placed, versions, ["customer_id"], "left", spread=row_number_in_scan(),
+    return skew_join(placed, versions, ["customer_id"], "left",
                      condition=in_force).select(
         "order_id", "customer_id", "order_date", "customer_zip", "valid_from",
         or_unknown("customer_sk").alias("customer_sk"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from granary.functions.calendar import date_attributes, year_month
 from granary.functions.money import add_up, exact_sum, ratio
-from granary.operators.joins import row_number_in_scan, skew_join
+from granary.operators.joins import skew_join
 from granary.sources import vocab
 
 
@@ -22,7 +22,7 @@ def dim_customer(customers: DataFrame, geography: DataFrame) -> DataFrame:
     City is the customer's own, region and district are those of the zip.
     """
     places = geography.select("zip", "region", "district")
-    return skew_join(customers, places, ["zip"], "left", spread=row_number_in_scan()).select(
+    return skew_join(customers, places, ["zip"], "left").select(
         "customer_id", "gender", "age_group", "acquisition_channel", "signup_date",
         F.year("signup_date").alias("signup_year"),
         year_month(F.col("signup_date")).alias("signup_year_month"),
@@ -61,7 +61,7 @@ def fact_order_items(items: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per order line."""
     header = orders.select("order_id", "order_date", "customer_id", "order_status",
                            "payment_method", "device_type", "order_source")
-    lines = skew_join(items, header, ["order_id"], spread=row_number_in_scan())
+    lines = skew_join(items, header, ["order_id"])
     return lines.select(
         F.col("order_date").alias("date_key"),
         F.col("customer_id").alias("customer_key"),

@@ -43,7 +43,7 @@ def run(spark: SparkSession, sources: dict[str, str], target: str, calendar: tup
     `calendar` is the first day of the date dimension and the day after its last.
     """
     bronze, ingested = ingest_all(spark, sources, lambda name: f"{target}/bronze/{name}", **csv_options)
-    report, frames = build(spark, bronze, calendar,
+    report, _, frames = build(spark, bronze, calendar,
                            lambda df, name: write_folder(df, f"{target}/gold/{name}"))
     publish({f"bronze_{name}": table for name, table in bronze.items()})
     publish({name: df for name, df in frames.items() if name not in bronze})

@@ -51,11 +51,10 @@ def ingest(spark: SparkSession, spec: TableSpec, source: str, target: str,
     cannot record buckets, so bucketed specs go there without them.
     """
     bronze = bronze_from(read_csv(spark, source, spec, **csv_options), spec, source)
-    unbucketed = write is write_folder and spec.layout.kind == "bucket"
-    written = write(bronze, target, Layout() if unbucketed else spec.layout)
-    if written.isEmpty():
+    if bronze.isEmpty():  # before anything is written: the old table stays
         raise ValueError(f"{source} gave no rows; are its files hidden by a leading '_' or '.'?")
-    return written
+    unbucketed = write is write_folder and spec.layout.kind == "bucket"
+    return write(bronze, target, Layout() if unbucketed else spec.layout)
 
 
 def ingest_report(bronze: DataFrame, spec: TableSpec) -> DataFrame:

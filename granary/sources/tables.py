@@ -2,12 +2,11 @@
 
 from dataclasses import dataclass
 from math import ceil
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.operators.joins import is_small
-
 # Row counts and the partition size at which a layout changes.
 MONTH_MIN_ROWS = 500_000
 YEAR_MIN_ROWS = 40_000
@@ -60,14 +59,14 @@ def _laid_out(df: DataFrame, layout: Layout) -> DataFrame:
 
     REBALANCE does so without one task per value: AQE splits a month or bucket
     that holds a third of the table and merges the small ones. Plain tables
-    are written as they come, small ones as one file.
+    are written as they come.
     """
     if layout.kind in PARTITION_FORMATS:
         label = F.date_format(layout.column, PARTITION_FORMATS[layout.kind])
         return df.withColumn(layout.partition, label).hint("rebalance", layout.partition)
     if layout.kind == "bucket":
         return df.hint("rebalance", layout.buckets, layout.column)
-    return df.coalesce(1) if is_small(df) else df
+    return df
 
 
 def _writer(df: DataFrame, layout: Layout):
@@ -80,11 +79,34 @@ def _writer(df: DataFrame, layout: Layout):
 
 
 def write_folder(df: DataFrame, path: str, layout: Layout = Layout()) -> DataFrame:
-    """Replace a parquet folder and return it; a re-run gives the same rows."""
+    """Replace a parquet folder and return it; a re-run gives the same rows.
+
+    The rows go to a new folder beside it, which takes its place once it is
+    complete. A write that fails leaves the old folder as it was.
+    """
     if layout.kind == "bucket":
         raise ValueError("buckets are kept in the catalog: use write_table")
-    _writer(df, layout).save(path)
-    return df.sparkSession.read.parquet(path)
+    spark = df.sparkSession
+    fresh = f"{path.rstrip('/')}.new-{uuid4().hex}"
+    _writer(df, layout).save(fresh)
+    _take_place(spark, fresh, path)
+    return spark.read.parquet(path)
+
+
+def _take_place(spark: SparkSession, fresh: str, path: str) -> None:
+    """Rename the complete folder `fresh` to `path`; the old one is set aside first and deleted last."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    target, aside = hadoop.Path(path), hadoop.Path(f"{path.rstrip('/')}.old-{uuid4().hex}")
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    had = files.exists(target)
+    if had and not files.rename(target, aside):
+        raise OSError(f"{path} cannot be set aside")
+    if not files.rename(hadoop.Path(fresh), target):
+        if had:
+            files.rename(aside, target)
+        raise OSError(f"{path} cannot be replaced")
+    if had:
+        files.delete(aside, True)
 
 
 def write_table(df: DataFrame, name: str, layout: Layout = Layout(), path: str | None = None) -> DataFrame:
@@ -119,8 +141,12 @@ def append_run(df: DataFrame, path: str, run_id: str) -> None:
 def upsert(base: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of `changes` replace base rows with the same keys; new keys are added.
 
+    A key that `changes` holds twice is an error, as no row of the two is the newer.
     Write the result to a new folder, never over the one `base` is read from.
     """
+    twice = changes.groupBy(*keys).count().filter("count > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"changes repeat the key {tuple(twice[0])[:-1]}")
     changed = changes.select(*keys).distinct()
     return base.join(changed, keys, "left_anti").unionByName(changes)
 

@@ -188,32 +188,33 @@ from b_sales_daily"""
 
 # --- profiles -----------------------------------------------------------------------------------
 
-_EDGES = """customers.zip geography.zip
-orders.zip geography.zip
-orders.customer_id customers.customer_id
-reviews.customer_id customers.customer_id
-order_items.order_id orders.order_id
-payments.order_id orders.order_id
-shipments.order_id orders.order_id
-returns.order_id orders.order_id
-reviews.order_id orders.order_id
-order_items.product_id products.product_id
-returns.product_id products.product_id
-reviews.product_id products.product_id
-inventory.product_id products.product_id
-order_items.promo_id promotions.promo_id
-order_items.promo_id_2 promotions.promo_id"""
-
-
-def _edge_sql(edge: str) -> str:
-    (child, column), (parent, key) = [side.split(".") for side in edge.split()]
+_EDGES = (
+    ("customers", "zip", "geography", "zip"),
+    ("orders", "zip", "geography", "zip"),
+    ("orders", "customer_id", "customers", "customer_id"),
+    ("reviews", "customer_id", "customers", "customer_id"),
+    ("order_items", "order_id", "orders", "order_id"),
+    ("payments", "order_id", "orders", "order_id"),
+    ("shipments", "order_id", "orders", "order_id"),
+    ("returns", "order_id", "orders", "order_id"),
+    ("reviews", "order_id", "orders", "order_id"),
+    ("order_items", "product_id", "products", "product_id"),
+    ("returns", "product_id", "products", "product_id"),
+    ("reviews", "product_id", "products", "product_id"),
+    ("inventory", "product_id", "products", "product_id"),
+    ("order_items", "promo_id", "promotions", "promo_id"),
+    ("order_items", "promo_id_2", "promotions", "promo_id"),
+)
+
+
+def _edge_sql(child: str, column: str, parent: str, key: str) -> str:
     return f"""
 select '{child}' as child, '{column}' as child_column, '{parent}' as parent, count(*) as orphan_rows
 from s_{child} c left join s_{parent} p on c.{column} = p.{key}
 where p.{key} is null and c.{column} is not null"""
 
 
-Q["fk_orphans"] = "\nunion all\n".join(_edge_sql(edge) for edge in _EDGES.splitlines())
+Q["fk_orphans"] = "\nunion all\n".join(_edge_sql(*edge) for edge in _EDGES)
 Q["silver_orphan_lines"] = """
 select count(*) as orphan_rows from s_order_items i left join s_orders o on i.order_id = o.order_id
 where o.order_id is null"""
@@ -447,32 +448,57 @@ _INPUTS = {
 }
 
 
-def _ancestors(model: str) -> set:
-    found = set()
+def _parents(model: str) -> list[str]:
+    return [check.parent for check in MODEL_CHECKS.get(model, ()) if check.parent]
+
+
+def _blockers(model: str) -> set[str]:
+    """The models and sources whose failure keeps this one from being built."""
+    found: set[str] = set()
     for name in _INPUTS.get(model, ()):
-        found |= {name} | _ancestors(name)
+        found |= {name} | _blockers(name)
+        for parent in _parents(name):
+            found |= _blockers(parent)
     return found
 
 
-def _gated_sql() -> str:
+def _gate_sql() -> str:
+    """The suite as the gate sees it: a check that cannot run is skipped."""
     rows = []
-    for name in checks.SOURCE_CHECKS:
-        rows.append(f"select '{name}' as model, 'source' as kind, "
-                    f"case when f > 0 then 'failed' else 'checked' end as status, f as failed_checks "
-                    f"from (select count(*) filter (where status = 'fail' and model = '{name}') as f from suite)")
     for model in _INPUTS:
-        before = ", ".join(f"'{name}'" for name in sorted(_ancestors(model))) or "''"
-        parents = [c.parent for c in MODEL_CHECKS[model] if c.parent]
-        assert set(parents) <= set(_INPUTS)
+        for check in MODEL_CHECKS[model]:
+            blockers = _blockers(model) | (_blockers(check.parent) if check.parent else set())
+            rows += [(model, check.column, check.kind, name) for name in sorted(blockers)]
+    grain = checks.GRAIN_CHECK[0]
+    rows += [(grain, "*", "grain", name) for name in sorted(_blockers(grain))]
+    values = ", ".join(str(row) for row in sorted(set(rows)))
+    return f"""with suite as ({_suite}), failed as (select distinct model from suite where status = 'fail'),
+blockers(model, column_name, check_name, blocker) as (values {values}),
+gate as (select s.model, s.column_name, s.check_name, case when b.n is null then s.failing_rows end as failing_rows,
+  case when b.n is null then s.status else 'skipped' end as status
+  from suite s left join (select b.model, b.column_name, b.check_name, count(*) as n
+                          from blockers b join failed f on f.model = b.blocker group by all) as b
+    on b.model = s.model and b.column_name = s.column_name and b.check_name = s.check_name)
+"""
+
+
+def _gated_sql() -> str:
+    rows = [f"select '{name}' as model, 'source' as kind, case when f > 0 then 'failed' else 'checked' end as status, "
+            f"f as failed_checks from (select count(*) filter (where status = 'fail') as f from gate where model = '{name}')"
+            for name in checks.SOURCE_CHECKS]
+    for model in _INPUTS:
+        assert set(_parents(model)) <= set(_INPUTS)
         kind = "view" if model.startswith("silver") else "table"
+        before = ", ".join(f"'{name}'" for name in sorted(_blockers(model))) or "''"
         rows.append(
-            f"select '{model}', '{kind}', case when before > 0 then 'skipped' when f > 0 then 'failed' else 'built' end, "
-            f"case when before > 0 then 0 else f end from (select "
-            f"count(*) filter (where status = 'fail' and model in ({before})) as before, "
-            f"count(*) filter (where status = 'fail' and model = '{model}') as f from suite)")
+            f"select '{model}', '{kind}', case when (select count(*) from failed where model in ({before})) > 0 then 'skipped' "
+            f"when f > 0 then 'failed' when l > 0 then 'unchecked' else 'built' end, f from (select "
+            f"count(*) filter (where status = 'fail') as f, count(*) filter (where status = 'skipped') as l "
+            f"from gate where model = '{model}')")
     return "\nunion all\n".join(rows)
 
 
 ORACLES = {name: with_views(text) for name, text in Q.items()}
 _suite = with_views(Q["quality_suite"])
-ORACLES["gated_build"] = f"with suite as ({_suite})\n{_gated_sql()}"
+ORACLES["gated_build"] = _gate_sql() + _gated_sql()
+ORACLES["gated_checks"] = _gate_sql() + "select * from gate"

@@ -21,7 +21,7 @@ VIEWS["b_customers"] = """
 select *, nullif(concat_ws(', ',
   case when signup_date is null then 'signup_date_missing' end,
   case when zip is null then 'zip_missing' end,
-  case when gender <> 'female' and gender <> 'male' and gender <> 'non-binary' then 'gender_unknown' end,
+  case when gender not in ('female', 'male', 'non-binary') then 'gender_unknown' end,
   case when age_group not in ('18-24', '25-34', '35-44', '45-54', '55+') then 'age_group_unknown' end,
   case when acquisition_channel not in ('direct', 'email_campaign', 'organic_search', 'paid_search', 'referral', 'social_media')
        then 'channel_unknown' end), '') as _invalid_reason

@@ -54,6 +54,29 @@ def test_hidden_file_fails_loudly(spark, tmp_path):
         ingest(spark, SPECS["sales_daily"], hidden, str(tmp_path / "out"))
 
 
+def _old_rows(spark, tmp_path, name):
+    target = str(tmp_path / "bronze")
+    ingest(spark, SPECS["sales_daily"], _csv(tmp_path, "Date,Revenue,COGS\n2020-01-02,1.5,2\n2020-01-03,1,1\n", "a.csv"), target)
+    with pytest.raises(Exception):
+        ingest(spark, SPECS["sales_daily"], name, target)
+    return spark.read.parquet(target).count(), sorted(p.name for p in tmp_path.iterdir() if p.is_dir())
+
+
+def test_an_empty_or_hidden_source_leaves_the_good_table(spark, tmp_path):
+    empty = _csv(tmp_path, "Date,Revenue,COGS\n", "empty.csv")
+    assert _old_rows(spark, tmp_path, empty) == (2, ["bronze"])
+    hidden = _csv(tmp_path, "Date,Revenue,COGS\n2020-01-02,1.5,2\n", "_sales.csv")
+    assert _old_rows(spark, tmp_path, hidden) == (2, ["bronze"])
+
+
+def test_a_write_that_fails_leaves_the_good_table(spark, tmp_path):
+    target = str(tmp_path / "t")
+    write_folder(spark.range(5), target)
+    with pytest.raises(Exception):
+        write_folder(spark.range(100).withColumn("x", F.assert_true(F.col("id") < 90)), target)
+    assert spark.read.parquet(target).count() == 5
+
+
 def test_layout_choice():
     mb = 1 << 20
     assert choose_layout(646_945, 200 * mb, "order_date", 140) == Layout("month", "order_date")
