@@ -193,23 +193,34 @@ def feature_rows(pages: list[Page]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
 
 @dataclass
 class Model:
-    """Weights of the node features, and per kind of child the log potentials of (child, parent) states."""
+    """Weights of the node features, and log potentials of (child, parent) states.
+
+    Edges differ by kind of child, and by whether the parent is the body: its
+    children are judged for themselves, others hardly leave their parent.
+    """
     weights: np.ndarray
-    edges: np.ndarray  # kinds x 2 x 2, [child state][parent state]
+    edges: np.ndarray  # 2 * kinds x 2 x 2, [child state][parent state]
 
 
 def usual_model() -> Model:
     weights = np.array([USUAL.get(n, 0.0) for n in NAMES])
-    edges = np.zeros((len(KINDS), 2, 2))
-    edges[:, 0, 0] = edges[:, 1, 1] = 1.0
-    edges[_KIND["text"]] *= 2
+    edges = np.zeros((2 * len(KINDS), 2, 2))
+    edges[:len(KINDS), 0, 0] = edges[:len(KINDS), 1, 1] = 1.0
+    edges[:len(KINDS), 1, 0] = -8.0
+    edges[[_KIND["article"], _KIND["main"]], 1, 0] = 0.0
     return Model(weights, edges)
 
 
+def edge_kinds(x: np.ndarray, parent: np.ndarray) -> np.ndarray:
+    kind = x[:, :len(KINDS)].argmax(1)
+    top = np.isin(kind[parent], [_KIND["html"], _KIND["body"]]) | (parent < 0)
+    return kind + len(KINDS) * top
+
+
 def marginals(model: Model, x: np.ndarray, parent: np.ndarray, depth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """P(content) of every node, and the joint of each node with its parent, by sum-product in log space."""
     own = np.stack([np.zeros(len(x)), x @ model.weights], axis=1)
-    pair = model.edges[x[:, :len(KINDS)].argmax(1)]
+    pair = model.edges[edge_kinds(x, parent)]
     up, below = np.zeros((len(x), 2)), own.copy()
     levels = [np.flatnonzero(depth == d) for d in range(int(depth.max()) + 1)]
     for level in reversed(levels[1:]):
@@ -242,7 +253,7 @@ def fit(x, parent, depth, truth, steps: int = STEPS) -> Model:
     """Penalised maximum likelihood with Adam; the gradient is what is seen less what the marginals expect."""
     start = usual_model()
     model = Model(start.weights.copy(), start.edges.copy())
-    kind = x[:, :len(KINDS)].argmax(1)
+    kind = edge_kinds(x, parent)
     linked = parent >= 0
     seen = np.zeros_like(model.edges)
     np.add.at(seen, (kind[linked], truth[linked], truth[parent[linked]]), 1.0)
