@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from granary.llm.common import whole_text
 
-MOST_ROWS = 6000
-HIDDEN, STEPS, BATCH, RATE, SLACK, SEED = 24, 1200, 1536, 0.01, 0.01, 7
+MOST_ROWS = 4000
+HIDDEN, STEPS, BATCH, RATE, SLACK, SEED = 24, 1200, 1024, 0.01, 0.01, 7
 THRESHOLD = 0.3
 
 # Kinds of bytes: other marks, lower, upper, digit, blank, newline, beyond ASCII, then single marks.
@@ -87,7 +87,7 @@ def calibrate(net: Network, x: np.ndarray, good: np.ndarray) -> None:
     """Fit the curve from margin to probability by Newton steps, kept finite by a small penalty."""
     if good.all() or not good.any():
         return
-    design = np.stack([net.margin(x.astype(np.float64)), np.ones(len(x))], axis=1)
+    design = np.stack([net.margin(x).astype(np.float64), np.ones(len(x))], axis=1)
     weights, penalty = np.array([1.0, 0.0]), np.diag([1e-2, 1e-2])
     for _ in range(50):
         chance = 1 / (1 + np.exp(-np.clip(design @ weights, -30, 30)))
@@ -100,12 +100,17 @@ def calibrate(net: Network, x: np.ndarray, good: np.ndarray) -> None:
 def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> Network:
     """Minimise the non-negative risk with Adam; the same rows give the same network."""
     draw = np.random.default_rng(SEED)
-    every = np.concatenate([positive, unlabelled]).astype(np.float64)
-    net = Network(every.mean(0), every.std(0) + 1e-3, draw.normal(size=(every.shape[1], HIDDEN)) / every.shape[1] ** 0.5,
-                  np.zeros(HIDDEN), draw.normal(size=HIDDEN) / HIDDEN ** 0.5, 0.0)
-    parts = [net.first, net.first_bias, net.second, np.zeros(1)]
+    n = len(positive) + len(unlabelled)
+    mean = (positive.sum(0, dtype=np.float64) + unlabelled.sum(0, dtype=np.float64)) / n
+    square = (np.square(positive, dtype=np.float32).sum(0, dtype=np.float64) + np.square(unlabelled, dtype=np.float32).sum(0, dtype=np.float64)) / n
+    scale = np.sqrt(np.maximum(square - mean ** 2, 0)) + 1e-3
+    size = len(mean)
+    net = Network(mean.astype(np.float32), scale.astype(np.float32),
+                  (draw.normal(size=(size, HIDDEN)) / size ** 0.5).astype(np.float32), np.zeros(HIDDEN, np.float32),
+                  (draw.normal(size=HIDDEN) / HIDDEN ** 0.5).astype(np.float32), 0.0)
+    parts = [net.first, net.first_bias, net.second, np.zeros(1, np.float32)]
     moments = [[np.zeros_like(p), np.zeros_like(p)] for p in parts]
-    sides = [(x.astype(np.float64) - net.mean) / net.scale for x in (positive, unlabelled)]
+    sides = [((x - net.mean) / net.scale).astype(np.float32) for x in (positive, unlabelled)]
     for step in range(1, STEPS + 1):
         p, u = (side[draw.integers(len(side), size=min(BATCH, len(side)))] for side in sides)
         x = np.concatenate([p, u])
@@ -117,7 +122,7 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> Network:
         rest = below[~is_p].mean() - prior * below[is_p].mean()
         slope = np.where(is_p, prior * (chance - 1) / len(p), 0.0)
         negative = np.where(is_p, -prior * chance / len(p), chance / len(u))
-        slope = slope + negative if rest >= -SLACK else -negative
+        slope = (slope + negative if rest >= -SLACK else -negative).astype(np.float32)
         back = np.outer(slope, parts[2]) * (1 - hidden ** 2)
         grads = [x.T @ back + 1e-4 * parts[0], back.sum(0), hidden.T @ slope, np.array([slope.sum()])]
         for part, grad, m in zip(parts, grads, moments):
@@ -135,15 +140,15 @@ def is_held_out(doc_id: Column) -> Column:
 
 def _rows(docs: DataFrame, ids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Features and labels of the documents of at most MOST_ROWS (doc_id, quality) rows."""
-    @F.pandas_udf("array<float>")
+    @F.pandas_udf("binary")
     def described(texts: pd.Series) -> pd.Series:
-        return pd.Series(list(features(texts.tolist())))
+        return pd.Series([row.tobytes() for row in features(texts.tolist())], dtype=object)
 
     picked = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
     found = picked.select("doc_id", "quality", described(whole_text()).alias("x")).toPandas().sort_values("doc_id")
     if not len(found):
         return np.empty((0, N_FEATURES), np.float32), np.empty(0, np.int64)
-    return np.stack(found["x"].to_list()), found["quality"].to_numpy()
+    return np.frombuffer(b"".join(found["x"]), np.float32).reshape(len(found), -1), found["quality"].to_numpy()
 
 
 def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> Network | None:
