@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from granary.llm.common import components, stored, whole_text
 
 SHINGLE, PERMUTATIONS, KEPT_BITS = 5, 128, 16
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 
 
 class _Words(dict):

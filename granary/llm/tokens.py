@@ -13,7 +13,7 @@ import types
 
 import numpy as np
 
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 NEWLINE_PIECE = 198
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 _ODD = re.compile(r"\s\s|[^\S \n]|\x00|<\|")
