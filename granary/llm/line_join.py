@@ -12,6 +12,11 @@ the positional filter and a comparison of parity signatures (each word flips
 one of 64 bits, so signatures differ in no more bits than lines in words), all
 exact, before Jaccard is verified on the words.
 
+One similar earlier line decides a line. So each is first compared with the
+earliest line of each of its key groups, which is a row per key and grows with
+the input; that settles most of a large group of near copies. Only what stays
+open is then joined with all earlier lines.
+
 Rarity is a count per hash bucket over all lines, so its table has a fixed
 size; any fixed order gives the same result, rarity only keeps groups small.
 
@@ -56,43 +61,78 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 def rarities(lines: DataFrame) -> Column:
     """A constant array with the level of rarity of each bucket of words, 0 to 127."""
-    words = lines.select(F.explode(words_of(F.col("line"))).alias("w"))
+    words = lines.select(F.explode(F.split("line", GAP + "+")).alias("w"))
     counts = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(RARITY_BUCKETS)).alias("slot")).agg(F.count("*").alias("n"))
     return _dense(counts, RARITY_BUCKETS, F.least(F.lit(127), F.floor(5 * F.log2(F.col("n") + 1))), "tinyint")
 
 
-def prefixes(lines: DataFrame, similarity: float) -> DataFrame:
-    """A row for each prefix word of each distinct line, at its first place: key, id, line_no, words, rank, signature."""
-    place = F.min(F.struct("id", "line_no")).alias("place")
-    first = lines.groupBy("line").agg(place).select("place.*", "line").withColumn("rarity", rarities(lines))
+def first_lines(lines: DataFrame, similarity: float) -> DataFrame:
+    """Each distinct line at its first place, stored: id, line_no, line_hash, n words, parity, prefix.
 
-    def ordered(word: Column) -> Column:
-        h = F.xxhash64(word)
+    What a join needs is worked out before lines are combined, so no text is shuffled.
+    """
+    def ordered(h: Column) -> Column:
         rank = F.element_at(F.col("rarity"), (F.pmod(h, F.lit(RARITY_BUCKETS)) + 1).cast("int"))
         return F.shiftleft(rank.cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
 
-    sets = first.select("id", "line_no", F.sort_array(F.transform(words_of(F.col("line")), ordered)).alias("words"))
-    # coalesce keeps the join from testing each of these for null, which would compute them once more
-    n = F.coalesce(F.size("words"), F.lit(0))
+    hashes = F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w))
+    sets = lines.select("id", "line_no", "line", hashes.alias("hashes")).withColumn("rarity", rarities(lines))
+    words = F.sort_array(F.transform("hashes", ordered))
+    n = F.size("hashes")
     kept = n - F.ceil(n * similarity - 1e-9).cast("int") + 1
-    parity = F.aggregate("words", F.lit(0).cast("long"), lambda s, k: s.bitwiseXOR(_one(k)))
-    sized = sets.select("id", "line_no", n.alias("n"), F.coalesce(parity, F.lit(0).cast("long")).alias("parity"),
-                        F.coalesce(F.slice("words", F.lit(1), kept), F.array().cast("array<long>")).alias("prefix"))
-    return sized.select("id", "line_no", "n", "parity", F.posexplode_outer("prefix").alias("at", "key"))
+    parity = F.aggregate("hashes", F.lit(0).cast("long"), lambda s, h: s.bitwiseXOR(_one(h)))
+    place = F.struct("id", "line_no", F.xxhash64("line").alias("line_hash"), n.alias("n"), parity.alias("parity"),
+                     F.slice(words, F.lit(1), kept).alias("prefix"))
+    rows = sets.select(F.unhex(F.md5("line")).alias("text_key"), place.alias("place"))
+    return stored(rows.groupBy("text_key").agg(F.min("place").alias("place")).select("place.*"), "first-lines")
+
+
+def _reach(n: Column, at: Column) -> Column:
+    """How many words there are from this one on, the most that two lines can share if it is their first in common."""
+    return n - at
 
 
-def candidates(rows: DataFrame, similarity: float) -> DataFrame:
-    """Places (id, line_no) and (id2, line_no2), the earlier first, of distinct lines that pass all filters."""
-    a, b = rows.alias("a"), rows.alias("b")
+def _alike(similarity: float) -> Column:
+    """What two rows a and b of one key have to pass: a is earlier, and no filter rules out that they are similar."""
     both = F.col("a.n") + F.col("b.n")
     least = F.ceil(both * (similarity / (1 + similarity)) - 1e-9)
-    rest = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
     apart = F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity")))
     before = (F.col("a.id") < F.col("b.id")) | (F.col("a.id") == F.col("b.id")) & (F.col("a.line_no") < F.col("b.line_no"))
-    fits = ((F.col("a.key") == F.col("b.key")) & before
+    return ((F.col("a.key") == F.col("b.key")) & before
             & (F.least(F.col("a.n"), F.col("b.n")) >= F.greatest(F.col("a.n"), F.col("b.n")) * similarity - 1e-9)
-            & (rest >= least) & (apart <= both - 2 * least))
-    return a.join(b, fits).select("a.id", "a.line_no", F.col("b.id").alias("id2"), F.col("b.line_no").alias("line_no2")).distinct()
+            & (F.least(F.abs(F.col("a.reach")), F.col("b.reach")) >= least) & (apart <= both - 2 * least))
+
+
+def _places(joined: DataFrame) -> DataFrame:
+    return joined.select("a.id", "a.line_no", F.col("b.id").alias("id2"), F.col("b.line_no").alias("line_no2")).distinct()
+
+
+def earliest_candidates(firsts: DataFrame, similarity: float) -> DataFrame:
+    """Places (id, line_no, id2, line_no2) of lines and the earliest line of one of their key groups, if it may be similar.
+
+    The prefix that lines of one length need is enough here.
+    """
+    needed = F.col("n") - F.ceil(F.col("n") * (2 * similarity / (1 + similarity)) - 1e-9).cast("int") + 1
+    rows = firsts.withColumn("prefix", F.slice("prefix", F.lit(1), needed)).select(
+        "id", "line_no", "n", "parity", F.posexplode("prefix").alias("at", "key")).select(
+        "key", "parity", "id", "line_no", "n", _reach(F.col("n"), F.col("at")).alias("reach"))
+    groups = rows.groupBy("key").agg(F.min(F.struct("id", "line_no", "n", "parity", "reach")).alias("p"),
+                                     F.count("*").alias("rows")).filter("rows > 1").select("key", "p.*")
+    return _places(groups.alias("a").join(rows.alias("b"), _alike(similarity)))
+
+
+def open_candidates(firsts: DataFrame, closed: DataFrame, similarity: float) -> DataFrame:
+    """Places (id, line_no, id2, line_no2) of each line that is not closed and all earlier ones that may be similar.
+
+    The reach of closed lines is negative, so they are found but do not search;
+    both sides of the join stay the same rows, which are shuffled once.
+    """
+    flagged = firsts.join(closed.withColumn("closed", F.lit(True)), ["id", "line_no", "line_hash"], "left")
+    rows = flagged.select("id", "line_no", "n", "parity", "closed", F.posexplode("prefix").alias("at", "key"))
+    reach = _reach(F.col("n"), F.col("at"))
+    rows = rows.select("key", "parity", "id", "line_no", "n",
+                       F.when(F.col("closed"), -reach).otherwise(reach).alias("reach"))
+    return _places(rows.alias("a").join(rows.alias("b"), _alike(similarity)))
 
 
 def verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
@@ -117,19 +157,10 @@ def verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame
                                F.xxhash64("line2").alias("line_hash")).distinct(), "line-links")
 
 
-def resembling_lines(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(id, line_no, line_hash) of first occurrences that resemble an earlier line.
-
-    One similar earlier line is enough, so the earliest candidate of each line
-    is verified first, and the others only of lines which that leaves open.
-    """
-    pairs = stored(candidates(prefixes(lines, similarity), similarity), "line-pairs")
-    later = ["id2", "line_no2"]
-    first = pairs.groupBy(*later).agg(F.min(F.struct("id", "line_no")).alias("p")).select("p.*", *later)
-    done = verified(first, lines, similarity)
-    closed = done.select(F.col("id").alias("id2"), F.col("line_no").alias("line_no2"))
-    open_pairs = pairs.join(closed, later, "left_anti").join(first, ["id", "line_no", *later], "left_anti")
-    return done.union(verified(stored(open_pairs, "line-pairs-open"), lines, similarity))
+def resembling_lines(lines: DataFrame, firsts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(id, line_no, line_hash) of first occurrences that resemble an earlier line."""
+    closed = verified(stored(earliest_candidates(firsts, similarity), "line-pairs"), lines, similarity)
+    return closed.union(verified(stored(open_candidates(firsts, closed, similarity), "line-pairs-open"), lines, similarity))
 
 
 def kept_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -139,10 +170,9 @@ def kept_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     earlier line is in neither list.
     """
     lines = _lines(docs)
-    near = resembling_lines(lines, similarity).withColumn("near", F.lit(True))
-    firsts = lines.groupBy(F.md5("line").alias("key")).agg(F.min(F.struct(
-        "id", "line_no", F.xxhash64("line").alias("line_hash"))).alias("p")).select("p.*")
-    marked = firsts.join(near, ["id", "line_no", "line_hash"], "left")
+    firsts = first_lines(lines, similarity)
+    near = resembling_lines(lines, firsts, similarity).withColumn("near", F.lit(True))
+    marked = firsts.select("id", "line_no", "line_hash").join(near, ["id", "line_no", "line_hash"], "left")
     numbers = lambda keep: F.sort_array(F.collect_list(F.when(keep, F.struct("line_no", "line_hash"))))
     return marked.groupBy("id").agg(numbers(F.col("near").isNull()).alias("kept"),
                                     numbers(F.col("near").isNotNull()).alias("near"))
