@@ -27,17 +27,23 @@ share a doc_id count as one document: equal lines at the same place stay in each
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import GAP, stored, whole_text
+from granary.llm.common import stored, whole_text
 
 SIMILARITY = 0.8
 RARITY_BUCKETS = 1 << 18
 FILTER_WORDS = 1 << 16
 LAST = (1 << 63) - 1
 WORD = "[^\\x20\\x09-\\x0D]"
+ODD_BLANKS = "[\\x09-\\x0D]"
+
+
+def _pieces(line: Column) -> Column:
+    """The words with their repeats, and empty strings where blanks meet; a split at one character needs no regex."""
+    return F.split(F.regexp_replace(line, ODD_BLANKS, " "), " ")
 
 
 def words_of(line: Column) -> Column:
-    return F.array_distinct(F.array_remove(F.split(line, GAP + "+"), ""))
+    return F.array_distinct(F.array_remove(_pieces(line), ""))
 
 
 def _one(number: Column) -> Column:
@@ -61,7 +67,7 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 def rarities(lines: DataFrame) -> Column:
     """A constant array with the level of rarity of each bucket of words, 0 to 127."""
-    words = lines.select(F.explode(F.split("line", GAP + "+")).alias("w"))
+    words = lines.select(F.explode(_pieces(F.col("line"))).alias("w"))
     counts = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(RARITY_BUCKETS)).alias("slot")).agg(F.count("*").alias("n"))
     return _dense(counts, RARITY_BUCKETS, F.least(F.lit(127), F.floor(5 * F.log2(F.col("n") + 1))), "tinyint")
 
@@ -69,13 +75,14 @@ def rarities(lines: DataFrame) -> Column:
 def first_lines(lines: DataFrame, similarity: float) -> DataFrame:
     """Each distinct line at its first place, stored: id, line_no, line_hash, n words, parity, prefix.
 
-    What a join needs is worked out before lines are combined, so no text is shuffled.
+    What a join needs is worked out before lines are combined, so no text is shuffled. Here words are told apart by
+    64-bit hashes.
     """
     def ordered(h: Column) -> Column:
         rank = F.element_at(F.col("rarity"), (F.pmod(h, F.lit(RARITY_BUCKETS)) + 1).cast("int"))
         return F.shiftleft(rank.cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
 
-    hashes = F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w))
+    hashes = F.array_distinct(F.transform(F.array_remove(_pieces(F.col("line")), ""), lambda w: F.xxhash64(w)))
     sets = lines.select("id", "line_no", "line", hashes.alias("hashes")).withColumn("rarity", rarities(lines))
     words = F.sort_array(F.transform("hashes", ordered))
     n = F.size("hashes")
@@ -148,11 +155,11 @@ def verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame
     table = _dense(marks, FILTER_WORDS, F.col("bits"), "long")
     seen = F.element_at(F.col("table"), (word + 1).cast("int")).bitwiseAND(_one(slot)) != 0
     texts = lines.withColumn("table", table).filter(seen).drop("table")
-    other = texts.select(F.col("id").alias("id2"), F.col("line_no").alias("line_no2"), F.col("line").alias("line2"))
-    both = pairs.join(texts, ["id", "line_no"]).select("id2", "line_no2", "line").join(other, ["id2", "line_no2"])
-    common = F.size(F.array_intersect(words_of(F.col("line")), words_of(F.col("line2"))))
-    size = F.size(words_of(F.col("line"))) + F.size(words_of(F.col("line2")))
-    alike = both.filter(common >= similarity * (size - common) - 1e-9)
+    sized = texts.withColumn("n", F.size(words_of(F.col("line"))))
+    other = sized.toDF("id2", "line_no2", "line2", "n2")
+    both = pairs.join(sized, ["id", "line_no"]).select("id2", "line_no2", "line", "n").join(other, ["id2", "line_no2"])
+    common = F.size(F.array_intersect(F.array_remove(_pieces(F.col("line")), ""), _pieces(F.col("line2"))))
+    alike = both.filter(common >= F.ceil((F.col("n") + F.col("n2")) * (similarity / (1 + similarity)) - 1e-9))
     return stored(alike.select(F.col("id2").alias("id"), F.col("line_no2").alias("line_no"),
                                F.xxhash64("line2").alias("line_hash")).distinct(), "line-links")
 
