@@ -9,7 +9,7 @@ Equal lines are combined first, so copies make no pairs. The words of each
 distinct line are put in order of rarity; two similar lines share a word of
 their prefixes, which is the join key. Pairs must then pass the length filter,
 the positional filter and a comparison of parity signatures (each word flips
-one of 64 bits, so signatures differ in no more bits than lines in words), all
+one of 128 bits, so signatures differ in no more bits than lines in words), all
 exact, before Jaccard is verified on the words.
 
 One similar earlier line decides a line. So each is first compared with the
@@ -24,6 +24,8 @@ A null text counts as empty. A null doc_id comes after all others. Rows that
 share a doc_id count as one document: equal lines at the same place stay in each.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +35,7 @@ SIMILARITY = 0.8
 RARITY_BUCKETS = 1 << 18
 FILTER_WORDS = 1 << 16
 LAST = (1 << 63) - 1
+PARITIES = ("parity", "parity2")
 WORD = "[^\\x20\\x09-\\x0D]"
 ODD_BLANKS = "[\\x09-\\x0D]"
 
@@ -51,6 +54,16 @@ def _one(number: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), number.bitwiseAND(F.lit(63)).cast("int"))
 
 
+def _one_if_odd(number: Column) -> Column:
+    """The same bit, if the next bit of the number is set."""
+    odd = F.shiftright(number, 6).bitwiseAND(F.lit(1).cast("long"))
+    return F.call_function("shiftleft", odd, number.bitwiseAND(F.lit(63)).cast("int"))
+
+
+def _parity(hashes: str, bit: Callable[[Column], Column]) -> Column:
+    return F.aggregate(hashes, F.lit(0).cast("long"), lambda seen, h: seen.bitwiseXOR(bit(h)))
+
+
 def _dense(counts: DataFrame, size: int, value: Column, kind: str) -> Column:
     """A constant array of `size` entries from (slot, ...) rows; slots without a row are zero."""
     slots = counts.sparkSession.range(size).withColumnRenamed("id", "slot")
@@ -58,10 +71,14 @@ def _dense(counts: DataFrame, size: int, value: Column, kind: str) -> Column:
     return full.agg(F.transform(F.sort_array(F.collect_list(F.struct("slot", "v"))), lambda x: x["v"])).scalar()
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """All lines with words: id (doc_id, null as the largest), line_no, line."""
-    rows = docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("id"),
-                       F.posexplode(F.split(whole_text(), "\n", -1)).alias("line_no", "line"))
+def _keyed(docs: DataFrame) -> DataFrame:
+    """id (doc_id, null as the largest) and the whole text."""
+    return docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("id"), whole_text().alias("text"))
+
+
+def _lines(keyed: DataFrame) -> DataFrame:
+    """All lines with words: id, line_no, line."""
+    rows = keyed.select("id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
     return rows.filter(F.regexp_like("line", F.lit(WORD)))
 
 
@@ -73,7 +90,7 @@ def rarities(lines: DataFrame) -> Column:
 
 
 def first_lines(lines: DataFrame, similarity: float) -> DataFrame:
-    """Each distinct line at its first place, stored: id, line_no, line_hash, n words, parity, prefix.
+    """Each distinct line at its first place, stored: id, line_no, line_hash, n words, the parities, prefix.
 
     What a join needs is worked out before lines are combined, so no text is shuffled. Here words are told apart by
     64-bit hashes.
@@ -87,8 +104,9 @@ def first_lines(lines: DataFrame, similarity: float) -> DataFrame:
     words = F.sort_array(F.transform("hashes", ordered))
     n = F.size("hashes")
     kept = n - F.ceil(n * similarity - 1e-9).cast("int") + 1
-    parity = F.aggregate("hashes", F.lit(0).cast("long"), lambda s, h: s.bitwiseXOR(_one(h)))
-    place = F.struct("id", "line_no", F.xxhash64("line").alias("line_hash"), n.alias("n"), parity.alias("parity"),
+    low, high = _parity("hashes", _one), _parity("hashes", _one_if_odd)
+    place = F.struct("id", "line_no", F.xxhash64("line").alias("line_hash"), n.alias("n"),
+                     low.bitwiseXOR(high).alias("parity"), high.alias("parity2"),
                      F.slice(words, F.lit(1), kept).alias("prefix"))
     rows = sets.select(F.unhex(F.md5("line")).alias("text_key"), place.alias("place"))
     return stored(rows.groupBy("text_key").agg(F.min("place").alias("place")).select("place.*"), "first-lines")
@@ -103,7 +121,7 @@ def _alike(similarity: float) -> Column:
     """What two rows a and b of one key have to pass: a is earlier, and no filter rules out that they are similar."""
     both = F.col("a.n") + F.col("b.n")
     least = F.ceil(both * (similarity / (1 + similarity)) - 1e-9)
-    apart = F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity")))
+    apart = sum(F.bit_count(F.col(f"a.{name}").bitwiseXOR(F.col(f"b.{name}"))) for name in PARITIES)
     before = (F.col("a.id") < F.col("b.id")) | (F.col("a.id") == F.col("b.id")) & (F.col("a.line_no") < F.col("b.line_no"))
     return ((F.col("a.key") == F.col("b.key")) & before
             & (F.least(F.col("a.n"), F.col("b.n")) >= F.greatest(F.col("a.n"), F.col("b.n")) * similarity - 1e-9)
@@ -121,9 +139,9 @@ def earliest_candidates(firsts: DataFrame, similarity: float) -> DataFrame:
     """
     needed = F.col("n") - F.ceil(F.col("n") * (2 * similarity / (1 + similarity)) - 1e-9).cast("int") + 1
     rows = firsts.withColumn("prefix", F.slice("prefix", F.lit(1), needed)).select(
-        "id", "line_no", "n", "parity", F.posexplode("prefix").alias("at", "key")).select(
-        "key", "parity", "id", "line_no", "n", _reach(F.col("n"), F.col("at")).alias("reach"))
-    groups = rows.groupBy("key").agg(F.min(F.struct("id", "line_no", "n", "parity", "reach")).alias("p"),
+        "id", "line_no", "n", *PARITIES, F.posexplode("prefix").alias("at", "key")).select(
+        "key", *PARITIES, "id", "line_no", "n", _reach(F.col("n"), F.col("at")).alias("reach"))
+    groups = rows.groupBy("key").agg(F.min(F.struct("id", "line_no", "n", *PARITIES, "reach")).alias("p"),
                                      F.count("*").alias("rows")).filter("rows > 1").select("key", "p.*")
     return _places(groups.alias("a").join(rows.alias("b"), _alike(similarity)))
 
@@ -135,26 +153,30 @@ def open_candidates(firsts: DataFrame, closed: DataFrame, similarity: float) ->
     both sides of the join stay the same rows, which are shuffled once.
     """
     flagged = firsts.join(closed.withColumn("closed", F.lit(True)), ["id", "line_no", "line_hash"], "left")
-    rows = flagged.select("id", "line_no", "n", "parity", "closed", F.posexplode("prefix").alias("at", "key"))
+    rows = flagged.select("id", "line_no", "n", *PARITIES, "closed", F.posexplode("prefix").alias("at", "key"))
     reach = _reach(F.col("n"), F.col("at"))
-    rows = rows.select("key", "parity", "id", "line_no", "n",
+    rows = rows.select("key", *PARITIES, "id", "line_no", "n",
                        F.when(F.col("closed"), -reach).otherwise(reach).alias("reach"))
     return _places(rows.alias("a").join(rows.alias("b"), _alike(similarity)))
 
 
-def verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
+def _sifted(rows: DataFrame, wanted: DataFrame, *key: str) -> DataFrame:
+    """The rows whose key occurs in `wanted`, and a few others: a bit table of fixed size tells which."""
+    slot = F.pmod(F.xxhash64(*key), F.lit(FILTER_WORDS * 64))
+    word = F.shiftright(slot, 6)
+    marks = wanted.groupBy(word.alias("slot")).agg(F.bit_or(_one(slot)).alias("bits"))
+    seen = F.element_at(F.col("table"), (word + 1).cast("int")).bitwiseAND(_one(slot)) != 0
+    return rows.withColumn("table", _dense(marks, FILTER_WORDS, F.col("bits"), "long")).filter(seen).drop("table")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
     """(id, line_no, line_hash) of the later lines of pairs whose words are similar, stored.
 
-    Only the text of lines that occur in a pair is shuffled. A bit table of
-    fixed size sifts the others out; the joins then decide exactly.
+    Only documents that occur in a pair are cut into lines, and only the text of lines that do is shuffled. What
+    sifts them may let others pass; the joins then decide exactly.
     """
     places = pairs.select("id", "line_no").union(pairs.select("id2", "line_no2"))
-    slot = F.pmod(F.xxhash64("id", "line_no"), F.lit(FILTER_WORDS * 64))
-    word = F.shiftright(slot, 6)
-    marks = places.groupBy(word.alias("slot")).agg(F.bit_or(_one(slot)).alias("bits"))
-    table = _dense(marks, FILTER_WORDS, F.col("bits"), "long")
-    seen = F.element_at(F.col("table"), (word + 1).cast("int")).bitwiseAND(_one(slot)) != 0
-    texts = lines.withColumn("table", table).filter(seen).drop("table")
+    texts = _sifted(_lines(_sifted(_keyed(docs), places, "id")), places, "id", "line_no")
     sized = texts.withColumn("n", F.size(words_of(F.col("line"))))
     other = sized.toDF("id2", "line_no2", "line2", "n2")
     both = pairs.join(sized, ["id", "line_no"]).select("id2", "line_no2", "line", "n").join(other, ["id2", "line_no2"])
@@ -164,10 +186,10 @@ def verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame
                                F.xxhash64("line2").alias("line_hash")).distinct(), "line-links")
 
 
-def resembling_lines(lines: DataFrame, firsts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def resembling_lines(docs: DataFrame, firsts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(id, line_no, line_hash) of first occurrences that resemble an earlier line."""
-    closed = verified(stored(earliest_candidates(firsts, similarity), "line-pairs"), lines, similarity)
-    return closed.union(verified(stored(open_candidates(firsts, closed, similarity), "line-pairs-open"), lines, similarity))
+    closed = verified(stored(earliest_candidates(firsts, similarity), "line-pairs"), docs, similarity)
+    return closed.union(verified(stored(open_candidates(firsts, closed, similarity), "line-pairs-open"), docs, similarity))
 
 
 def kept_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -176,9 +198,8 @@ def kept_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     Lines without words are not listed, they always stay. What repeats an
     earlier line is in neither list.
     """
-    lines = _lines(docs)
-    firsts = first_lines(lines, similarity)
-    near = resembling_lines(lines, firsts, similarity).withColumn("near", F.lit(True))
+    firsts = first_lines(_lines(_keyed(docs)), similarity)
+    near = resembling_lines(docs, firsts, similarity).withColumn("near", F.lit(True))
     marked = firsts.select("id", "line_no", "line_hash").join(near, ["id", "line_no", "line_hash"], "left")
     numbers = lambda keep: F.sort_array(F.collect_list(F.when(keep, F.struct("line_no", "line_hash"))))
     return marked.groupBy("id").agg(numbers(F.col("near").isNull()).alias("kept"),
