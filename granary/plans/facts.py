@@ -71,14 +71,14 @@ def fact_orders(orders: DataFrame, shipments: DataFrame) -> DataFrame:
 def role_playing_dates(orders_fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Delivery time by the day kind of order, shipment and delivery: one calendar, three roles.
 
-    Rows shrink to one per triple of dates before the three joins.
+    Rows shrink to one per triple of dates before the three joins. A date outside the calendar has no day kind.
     """
     per_dates = orders_fact.groupBy("order_date", "ship_date", "delivery_date").agg(
         F.count("*").alias("n"), F.sum("total_days").alias("days"), F.count("total_days").alias("dated"))
     for role in ("order", "ship", "delivery"):
         calendar = dim_date.select(F.col("date_key").alias(f"{role}_date"),
                                    F.col("is_weekend").alias(f"{role}_weekend"))
-        per_dates = per_dates.join(calendar, f"{role}_date", "inner" if role == "order" else "left")
+        per_dates = per_dates.join(calendar, f"{role}_date", "left")
     return per_dates.groupBy("order_weekend", "ship_weekend", "delivery_weekend").agg(
         F.sum("n").alias("num_orders"), ratio(F.sum("days"), F.sum("dated")).alias("avg_total_days"))
 
@@ -125,9 +125,9 @@ def promo_coverage(promotions: DataFrame) -> DataFrame:
 
 
 def concurrent_promos(coverage: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Promotions that run in each month, and promotion days."""
+    """Promotions that run in each month, and promotion days; days outside the calendar have no month."""
     per_day = coverage.groupBy("date_key", "promo_id").agg(F.count("*").alias("n"))
-    return (per_day.join(dim_date.select("date_key", "year_month"), "date_key")
+    return (per_day.join(dim_date.select("date_key", "year_month"), "date_key", "left")
             .groupBy("year_month")
             .agg(F.countDistinct("promo_id").alias("num_promos"), F.sum("n").alias("promo_days")))
 

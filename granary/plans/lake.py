@@ -12,22 +12,22 @@ from granary.sources.retail import source_view
 from granary.sources.specs import SPECS
 from granary.sources.tables import write_folder
 
-# The calendar of the star; the end day is excluded.
+# The usual calendar of the star; the end day is excluded. Facts outside it stay, without calendar columns.
 CALENDAR = ("1994-01-01", "2002-01-01")
 
 
 class Lake:
     """Frames are plans, not data: a reader gets what the folder holds when it runs."""
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+    def __init__(self, spark: SparkSession, folder: str, calendar: tuple[str, str] = CALENDAR):
+        self.spark, self.folder, self.calendar = spark, folder, calendar
         self.source = cache(lambda name: source_view(spark, folder, name))
         self.bronze = cache(lambda name: flag(self.source(name), SPECS[name]))
         self.silver = cache(lambda name: silver.silver(name, self.bronze(name)))
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return gold.dim_date(day_spine(self.spark, *CALENDAR))
+        return gold.dim_date(day_spine(self.spark, *self.calendar))
 
     @cached_property
     def order_calendar(self) -> DataFrame:

@@ -79,11 +79,14 @@ def star_four_dims(fact: DataFrame, dim_date: DataFrame, dim_customer: DataFrame
 
 
 def weekend_vs_weekday(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Revenue adds up; a unit price is averaged, never added up."""
+    """Revenue adds up; a unit price is averaged, never added up.
+
+    Days outside the calendar are a row of their own, with no day kind.
+    """
     per_day = fact.groupBy("date_key").agg(
         exact_sum("net_amount").alias("net"), exact_sum("unit_price").alias("prices"),
         F.count("unit_price").alias("n"))
-    return (per_day.join(dim_date.select("date_key", "is_weekend"), "date_key")
+    return (per_day.join(dim_date.select("date_key", "is_weekend"), "date_key", "left")
             .groupBy("is_weekend")
             .agg(add_up("net").alias("revenue"), ratio(F.sum("prices"), F.sum("n")).alias("avg_unit_price")))
 

@@ -11,7 +11,7 @@ from granary.operators import history, keys, profile, quality
 from granary.operators.flagging import REASON, reason_histogram, valid_counts
 from granary.plans import build, checks, facts, pipeline, recipes
 from granary.plans.gold import dim_promotion
-from granary.plans.lake import CALENDAR, Lake
+from granary.plans.lake import Lake
 from granary.plans.silver import silver
 from granary.session import scratch_dir
 from granary.sources.files import bronze_from, ingest
@@ -47,9 +47,8 @@ def _register_models() -> None:
         QUERIES[f"bronze_{name}"] = lambda lake, n=name: bronze_from(
             lake.source(n), SPECS[n], n).drop("_ingested_at")
         QUERIES[f"silver_{name}"] = lambda lake, n=name: lake.silver(n)
-    for name in ("dim_customer", "dim_product", "dim_promotion"):
+    for name in ("dim_customer", "dim_product", "dim_promotion", "dim_date", "order_calendar"):
         QUERIES[name] = lambda lake, n=name: getattr(lake, n)
-    QUERIES["dim_date"] = lambda lake: lake.order_calendar
     QUERIES["fact_order_items"] = lambda lake: lake.fact
     QUERIES["gold_orders_daily"] = lambda lake: lake.orders_daily
     QUERIES["gold_revenue_daily"] = lambda lake: lake.revenue_daily
@@ -233,7 +232,7 @@ def quality_suite(lake):
     results = [quality.run_checks(name, lake.bronze(name), declared, {})
                for name, declared in checks.SOURCE_CHECKS.items()]
     results += [quality.run_checks(name, models[name], declared, models)
-                for name, declared in checks.model_checks(CALENDAR).items()]
+                for name, declared in checks.model_checks(lake.calendar).items()]
     fact, base = checks.GRAIN_CHECK
     return _union([*results, quality.check_grain(fact, models[fact], models[base])])
 
@@ -241,7 +240,7 @@ def quality_suite(lake):
 @query
 def gated_build(lake):
     bronze = {name: lake.bronze(name) for name in checks.SOURCE_CHECKS}
-    report, _, _ = build.build(lake.spark, bronze, CALENDAR, lake.stored)
+    report, _, _ = build.build(lake.spark, bronze, lake.calendar, lake.stored)
     return report
 
 
@@ -249,7 +248,7 @@ def gated_build(lake):
 def gated_checks(lake):
     """What the gate found, check by check; those it could not run are listed as skipped."""
     bronze = {name: lake.bronze(name) for name in checks.SOURCE_CHECKS}
-    _, found, _ = build.build(lake.spark, bronze, CALENDAR, lake.stored)
+    _, found, _ = build.build(lake.spark, bronze, lake.calendar, lake.stored)
     return found
 
 

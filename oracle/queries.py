@@ -12,7 +12,8 @@ MODEL_CHECKS = checks.model_checks(CALENDAR)
 for _t in TABLES:
     Q[f"bronze_{_t}"] = (f"select *, _invalid_reason is null as _is_valid, '{_t}' as _source_file from b_{_t}")
     Q[f"silver_{_t}"] = f"select * from s_{_t}"
-Q["dim_date"] = "select * from order_calendar"
+Q["dim_date"] = "select * from d_date"
+Q["order_calendar"] = "select * from order_calendar"
 Q["dim_customer"] = "select * from d_customer"
 Q["dim_product"] = "select * from d_product"
 Q["dim_promotion"] = "select * from d_promotion"
@@ -271,7 +272,7 @@ where d.year = 2000 and d.is_weekend group by 1, 2, 3, 4"""
 Q["weekend_vs_weekday"] = f"""
 select d.is_weekend, {money("f.net_amount")} as revenue,
   {money("f.unit_price")} / count(f.unit_price) as avg_unit_price
-from fact f join d_date d on f.date_key = d.date_key group by d.is_weekend"""
+from fact f left join d_date d on f.date_key = d.date_key group by d.is_weekend"""
 Q["promo_effectiveness"] = f"""
 select r.promo_name, r.promo_type, count(distinct f.order_id) as num_orders,
   {money("f.gross_amount")} as before_discount, {money("f.discount_amount")} as total_discount,
@@ -332,7 +333,7 @@ Q["fact_orders_lifecycle"] = "select * from f_orders"
 Q["role_playing_dates"] = """
 select a.is_weekend as order_weekend, b.is_weekend as ship_weekend, c.is_weekend as delivery_weekend,
   count(*) as num_orders, cast(sum(f.total_days) as double) / count(f.total_days) as avg_total_days
-from f_orders f join d_date a on f.order_date = a.date_key left join d_date b on f.ship_date = b.date_key
+from f_orders f left join d_date a on f.order_date = a.date_key left join d_date b on f.ship_date = b.date_key
 left join d_date c on f.delivery_date = c.date_key group by 1, 2, 3"""
 Q["fact_inventory"] = """
 select snapshot_date as date_key, product_id as product_key, stock_on_hand, units_received, units_sold, stockout_days
@@ -355,7 +356,7 @@ from s_inventory group by category"""
 Q["promo_coverage"] = "select * from coverage"
 Q["concurrent_promos"] = """
 select d.year_month, count(distinct c.promo_id) as num_promos, count(*) as promo_days
-from coverage c join d_date d on c.date_key = d.date_key group by d.year_month"""
+from coverage c left join d_date d on c.date_key = d.date_key group by d.year_month"""
 Q["unused_promos"] = """
 select promo_id, count(*) as days_active from coverage
 where promo_id not in (select promo_id from bridge) group by promo_id"""

@@ -167,3 +167,18 @@ def test_plans_stay_in_the_jvm_and_push_filters_down(lake):
     scan = silver("orders", stored).select("order_id")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(_is_valid), EqualTo(_is_valid,true)]" in scan
     assert "ReadSchema: struct<order_id:bigint,_is_valid:boolean>" in scan
+
+
+def test_days_outside_the_calendar_stay(lake, spark, folder):
+    from granary.plans import recipes
+    from granary.plans.lake import Lake
+
+    short = Lake(spark, folder, ("1996-01-01", "1996-02-01")).dim_date
+    assert short.count() == 31
+    sales = recipes.weekend_vs_weekday(lake.fact, short)
+    assert {row.is_weekend for row in sales.collect()} == {None, False, True}
+    orders = facts.fact_orders(lake.silver("orders"), lake.silver("shipments"))
+    counted = facts.role_playing_dates(orders, short).agg(F.sum("num_orders")).first()[0]
+    assert counted == lake.silver("orders").count()
+    coverage = facts.promo_coverage(lake.silver("promotions"))
+    assert facts.concurrent_promos(coverage, short).agg(F.sum("promo_days")).first()[0] == coverage.count()
