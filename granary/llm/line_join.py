@@ -55,7 +55,7 @@ def _one(number: Column) -> Column:
 
 
 def _one_if_odd(number: Column) -> Column:
-    """The same bit, if the next bit of the number is set."""
+    """The bit that the low six bits name, if the seventh is set."""
     odd = F.shiftright(number, 6).bitwiseAND(F.lit(1).cast("long"))
     return F.call_function("shiftleft", odd, number.bitwiseAND(F.lit(63)).cast("int"))
 
@@ -100,13 +100,14 @@ def first_lines(lines: DataFrame, similarity: float) -> DataFrame:
         return F.shiftleft(rank.cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
 
     hashes = F.array_distinct(F.transform(F.array_remove(_pieces(F.col("line")), ""), lambda w: F.xxhash64(w)))
-    sets = lines.select("id", "line_no", "line", hashes.alias("hashes")).withColumn("rarity", rarities(lines))
+    # The parities come between, so that the last step takes the table of rarities as it is instead of a copy per row.
+    sets = lines.select("id", "line_no", "line", hashes.alias("hashes")).select(
+        "*", _parity("hashes", lambda h: _one_if_odd(F.bitwise_not(h))).alias("parity"),
+        _parity("hashes", _one_if_odd).alias("parity2"), rarities(lines).alias("rarity"))
     words = F.sort_array(F.transform("hashes", ordered))
     n = F.size("hashes")
     kept = n - F.ceil(n * similarity - 1e-9).cast("int") + 1
-    low, high = _parity("hashes", _one), _parity("hashes", _one_if_odd)
-    place = F.struct("id", "line_no", F.xxhash64("line").alias("line_hash"), n.alias("n"),
-                     low.bitwiseXOR(high).alias("parity"), high.alias("parity2"),
+    place = F.struct("id", "line_no", F.xxhash64("line").alias("line_hash"), n.alias("n"), *PARITIES,
                      F.slice(words, F.lit(1), kept).alias("prefix"))
     rows = sets.select(F.unhex(F.md5("line")).alias("text_key"), place.alias("place"))
     return stored(rows.groupBy("text_key").agg(F.min("place").alias("place")).select("place.*"), "first-lines")
