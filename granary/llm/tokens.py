@@ -4,6 +4,10 @@ A blank between two other characters always begins a new pre-token, so a text
 may be cut there and its pieces encoded apart. Pieces repeat, so each worker
 remembers the ids of up to `REMEMBERED` pieces and asks the library for new
 ones only; a full memory is emptied. The ids equal those of the whole text.
+
+A piece is remembered without the blank it begins with; a NUL in front says
+that the rest stands as it is. A word that itself begins with NUL keeps its
+blank behind that mark.
 """
 
 import os
@@ -88,7 +92,7 @@ class Encoder:
         if _ODD.search(text) or text[0] in " \n" or text[-1] in " \n":
             if "<|" in text:
                 return ["\x00" + text]
-            return [p[1:] if p[0] == " " and k else "\x00" + p for k, p in enumerate(_CUT.split(text))]
+            return [p[1:] if k and p[0] == " " and p[1] != "\x00" else "\x00" + p for k, p in enumerate(_CUT.split(text))]
         return ("\x00" + text.replace("\n", " \x00\n \x00")).split(" ")
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

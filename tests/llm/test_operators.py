@@ -74,6 +74,16 @@ def test_pieces_encode_like_whole_texts():
     assert sizes.tolist() == list(map(len, whole)) and flat.tolist() == [i for ids in whole for i in ids]
 
 
+@pytest.mark.parametrize("texts", [["x \x00abc y"], ["x \x00 y"], ["x \x00", "a b"], [" \x00abc x \x00abc"],
+                                   ["\x00 \x00\x00 \x00a\n\x00b \x00", "x\x00 y \x00\n \x00"]])
+def test_words_that_begin_with_nul_keep_blank_and_nul(texts):
+    encoder = Encoder(vocabulary())
+    whole = [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    for _ in range(2):
+        flat, sizes = encoder.encode(texts)
+        assert sizes.tolist() == list(map(len, whole)) and flat.tolist() == [i for ids in whole for i in ids]
+
+
 @pytest.mark.parametrize("values", [[7], [0] * 5000, list(range(5000)), [3] * 2000 + [2 ** 32 - 1] * 9, [2 ** 32 - 1, 0]])
 def test_blocks_round_trip(values):
     ids = np.array(values, np.uint32)
