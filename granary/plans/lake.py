@@ -3,6 +3,7 @@
 from functools import cache, cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from granary.functions.calendar import day_spine, spine_between, whole_years
 from granary.operators.flagging import flag
@@ -12,22 +13,48 @@ from granary.sources.retail import source_view
 from granary.sources.specs import SPECS
 from granary.sources.tables import write_folder
 
-# The usual calendar of the star; the end day is excluded. Facts outside it stay, without calendar columns.
+# The years of the given tables, the end day excluded; the calendar of a lake without any date.
 CALENDAR = ("1994-01-01", "2002-01-01")
 
 
 class Lake:
-    """Frames are plans, not data: a reader gets what the folder holds when it runs."""
+    """Frames are plans, not data: a reader gets what the folder holds when it runs.
 
-    def __init__(self, spark: SparkSession, folder: str, calendar: tuple[str, str] = CALENDAR):
-        self.spark, self.folder, self.calendar = spark, folder, calendar
+    The star's calendar holds the whole years from the least to the greatest date of the silver tables. A caller may
+    give another one, the end day excluded; facts outside it stay, without calendar columns.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, calendar: tuple[str, str] | None = None):
+        self.spark, self.folder, self.given = spark, folder, calendar
         self.source = cache(lambda name: source_view(spark, folder, name))
         self.bronze = cache(lambda name: flag(self.source(name), SPECS[name]))
         self.silver = cache(lambda name: silver.silver(name, self.bronze(name)))
 
+    @cached_property
+    def years(self) -> DataFrame:
+        """First and last day of the calendar years of all silver dates, as one row."""
+        ends = None
+        for name in SPECS:
+            df = self.silver(name)
+            dates = [column for column, kind in df.dtypes if kind == "date"]
+            if dates:
+                pair = df.agg(F.array(*[end(column) for column in dates for end in (F.min, F.max)]).alias("day"))
+                ends = pair if ends is None else ends.union(pair)
+        first, last = (F.lit(day).cast("date") for day in CALENDAR)
+        return whole_years(ends.select(F.explode("day").alias("day")), "day").select(
+            F.coalesce("first_day", first).alias("first_day"), F.coalesce("last_day", F.date_sub(last, 1)).alias("last_day"))
+
+    @cached_property
+    def calendar(self) -> tuple[str, str]:
+        """First day of the date dimension and the day after its last."""
+        if self.given:
+            return self.given
+        return tuple(self.years.select(F.col("first_day").cast("string"),
+                                       F.date_add("last_day", 1).cast("string")).first())
+
     @cached_property
     def dim_date(self) -> DataFrame:
-        return gold.dim_date(day_spine(self.spark, *self.calendar))
+        return gold.dim_date(day_spine(self.spark, *self.given) if self.given else spine_between(self.years))
 
     @cached_property
     def order_calendar(self) -> DataFrame:

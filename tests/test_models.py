@@ -182,3 +182,21 @@ def test_days_outside_the_calendar_stay(lake, spark, folder):
     assert counted == lake.silver("orders").count()
     coverage = facts.promo_coverage(lake.silver("promotions"))
     assert facts.concurrent_promos(coverage, short).agg(F.sum("promo_days")).first()[0] == coverage.count()
+
+
+def test_default_calendar_spans_the_data(spark, folder):
+    from granary.plans import registry
+    from granary.plans.lake import Lake
+
+    late, plain = Lake(spark, folder), Lake(spark, folder).silver
+    late.silver = lambda name: plain(name) if name != "orders" else plain(name).withColumn(
+        "order_date", F.date_add("order_date", 4000))
+    assert late.calendar == ("1994-01-01", "2013-01-01")
+    days = late.dim_date.agg(F.min("date_key").cast("string"), F.max("date_key").cast("string"), F.count("*")).first()
+    assert tuple(days) == ("1994-01-01", "2012-12-31", 6940)
+    assert {row.is_weekend for row in registry.QUERIES["weekend_vs_weekday"](late).collect()} == {False, True}
+    orders = registry.QUERIES["role_playing_dates"](late)
+    assert orders.filter("order_weekend is null").count() == 0
+    late = Lake(spark, folder)
+    late.silver = lambda name: plain(name).filter("false")
+    assert late.dim_date.count() == 2922
