@@ -8,7 +8,8 @@ left and their place in sequences.
 
 A stage takes all that the one before kept. All but the last return the columns
 of documents; columns they do not know pass through. Rows that repeat a doc_id
-stay or go together.
+stay or go together, but that of near duplicates only one row stays, whatever
+the doc_ids.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,8 +29,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    stay = simhash.near_duplicates(docs).select(F.col("component_id").alias("_llm_id")).distinct()
-    return docs.join(stay, docs["doc_id"].eqNullSafe(stay["_llm_id"]), "left_semi")
+    return simhash.one_of_each(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -117,18 +117,36 @@ def near_pairs(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, n_
     return a.join(b, match).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
 
 
+def _with_roots(distinct: DataFrame, radius: int, blocks: int) -> DataFrame:
+    """Add root, the least fingerprint of those reachable over links, to distinct fingerprints."""
+    roots = components(near_pairs(distinct.select("fp"), radius, blocks))
+    return distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
+        "root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
     """doc_id, fp and component_id, the smallest doc_id of those reachable over links."""
     prints = stored(docs.select("doc_id", fingerprint(whole_text()).alias("fp")), "simhash")
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(near_pairs(distinct.select("fp"), radius, blocks))
-    placed = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "root", F.coalesce("root", "fp"))
+    placed = _with_roots(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), radius, blocks)
     least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     groups = placed.join(least, "root").select("fp", "component_id")
     return prints.join(groups, "fp").select("doc_id", "fp", "component_id")
 
 
+def one_of_each(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+    """One row per component: that of the least doc_id, null last, then of the least hash of the row."""
+    row = F.xxhash64(*docs.columns, *(F.col(c).isNull() for c in docs.columns))  # a null alone leaves no trace in a hash
+    marked = docs.withColumn("_llm_row", row)
+    prints = stored(marked.select("doc_id", "_llm_row", fingerprint(whole_text()).alias("fp")), "simhash")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("_llm_row").alias("row"))
+    placed = _with_roots(prints.groupBy("fp").agg(F.min(order).alias("least")), radius, blocks)
+    stay = placed.groupBy("root").agg(F.min("least").alias("least")).select(
+        F.col("least.id").alias("_llm_id"), F.col("least.row").alias("_llm_stays"))
+    found = marked.join(stay, marked["doc_id"].eqNullSafe(stay["_llm_id"]) & (marked["_llm_row"] == stay["_llm_stays"]),
+                        "left_semi")
+    return found.dropDuplicates(["doc_id", "_llm_row"]).select(*docs.columns)
+
+
 def simhash_digest(docs: DataFrame) -> DataFrame:
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return near_duplicates(docs).select("doc_id", hexed.alias("fingerprint"), "component_id")

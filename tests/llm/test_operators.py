@@ -428,3 +428,13 @@ def test_pipeline_stages_on_awkward_rows(spark, folder, odd):
     for _, stage in pipeline.STAGES[:-1]:
         assert stage(spark, odd, folder).columns == odd.columns
         assert stage(spark, odd.limit(0), folder).count() == 0
+
+
+def test_one_row_of_each_group_of_near_duplicates_stays(spark, folder):
+    import corpus_pipeline as pipeline
+
+    a, b, c, d = (" ".join(f"{name}{k}" for k in range(40)) for name in "abcd")
+    docs = _docs(spark, [(None, a, "x"), (None, a, "x"), (5, a, "x"), (9, a, "y"), (7, b, "x"), (7, c, "x"), (7, b, "x"),
+                         (3, c, "x"), (None, d, "x"), (None, d, None), (None, "", "x"), (8, None, "x")])
+    found = sorted(((r.text or "", r.doc_id) for r in pipeline.near_duplicates(spark, docs, folder).collect()), key=str)
+    assert found == [("", 8), (a, 5), (b, 7), (c, 3), (d, None)]
