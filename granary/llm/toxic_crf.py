@@ -5,8 +5,10 @@ of a word that occurs in toxic documents far more often than in clean ones, by
 the G-test, marks the tokens of toxic documents that carry it. Its toxic
 occurrences count once per preceding word, since copies of a document repeat
 all its words and prove nothing. The field
-learns from windows around such tokens and from ordinary ones. Its features are
-words and beginnings of words; its two states are ordinary and toxic.
+learns from a window around every such token of a document; one without any
+adds one window of its first words, which holds what any other place of it
+would: no sign, ordinary throughout. Its features are words and beginnings of
+words; its two states are ordinary and toxic.
 
 Forward and backward passes over a whole text, with the two states as one
 ratio, give each token's probability of being toxic. Tokens of `NOTED` or more
@@ -14,9 +16,10 @@ combine to the document's score as one minus the product of their complements;
 those of `SPAN` or more are reported with their offsets in code points.
 
 Fitting takes at most `MOST_DOCS` labelled documents, picked by hash. Evidence
-is counted in tasks, at most `MOST_SIGNS` signs and `MOST_WINDOWS` windows a
-document come to the driver. A null text counts as empty and scores 0; without
-labels nothing is toxic.
+is counted in tasks, at most `MOST_SIGNS` signs come to the driver. Equal
+windows are counted in tasks, too: each different one comes to the driver once
+with its number. A null text counts as empty and scores 0; without labels
+nothing is toxic.
 """
 
 import re
@@ -30,10 +33,11 @@ from pyspark.sql import functions as F
 
 from granary.llm.common import whole_text
 
-MOST_DOCS, MOST_SIGNS, MOST_WINDOWS, WINDOW = 8000, 20_000, 6, 8
+MOST_DOCS, MOST_SIGNS, WINDOW = 8000, 20_000, 8
 EVIDENCE, PREFIXES = 24.0, (4, 5, 6)
 NOTED, SPAN, THRESHOLD = 0.1, 0.5, 0.3
 REMEMBERED, GROUP_TOKENS = 500_000, 1_000_000
+WINDOWS = "features array<array<int>>, tags array<int>, n long"
 _WORD = re.compile(r"\w+")
 
 
@@ -97,19 +101,25 @@ def marginals(odds: np.ndarray, sizes: np.ndarray, model: Field) -> np.ndarray:
     return both / (1 + both)
 
 
-def fit(windows: list[tuple[list[list[int]], list[int]]], names: list[str], steps: int = 120) -> Field:
-    """Maximise the likelihood of labelled windows with Adam; gradients from exact marginals."""
+def fit(windows: list[tuple[list[list[int]], list[int], int]], names: list[str], steps: int = 120) -> Field:
+    """Maximise the likelihood of labelled windows, each so many times, with Adam; gradients from exact marginals."""
     windows = sorted(windows, key=lambda w: -len(w[0]))
     sizes = np.array([len(w[0]) for w in windows], np.int64)
     total = int(sizes.sum())
-    truth = np.array([y for _, ys in windows for y in ys], np.float64)
-    token = np.repeat(np.arange(total), [len(f) for fs, _ in windows for f in fs])
-    feature = np.array([k for fs, _ in windows for f in fs for k in f], np.int64)
+    truth = np.array([y for _, ys, _ in windows for y in ys], np.float64)
+    times = np.repeat(np.array([n for *_, n in windows], np.float64), sizes)
+    token = np.repeat(np.arange(total), [len(f) for fs, *_ in windows for f in fs])
+    feature = np.array([k for fs, *_ in windows for f in fs for k in f], np.int64)
     first = np.zeros(total, bool)
     first[np.cumsum(sizes) - sizes] = True
     inner = np.flatnonzero(~first)
-    seen = {"enter": np.mean((truth[inner - 1] == 0) * truth[inner]), "leave": np.mean(truth[inner - 1] * (truth[inner] == 0)),
-            "stay": np.mean(truth[inner - 1] * truth[inner])}
+
+    def mean(values: np.ndarray) -> float:
+        """Over the pairs of neighbours."""
+        return float(values @ times[inner] / times[inner].sum()) if len(inner) else 0.0
+
+    seen = {"enter": mean((truth[inner - 1] == 0) * truth[inner]), "leave": mean(truth[inner - 1] * (truth[inner] == 0)),
+            "stay": mean(truth[inner - 1] * truth[inner])}
     weights, rest = np.zeros(len(names)), np.array([-2.0, 0.0, 0.0, 0.0])
     moments = [[np.zeros_like(p), np.zeros_like(p)] for p in (weights, rest)]
     for step in range(1, steps + 1):
@@ -122,10 +132,10 @@ def fit(windows: list[tuple[list[list[int]], list[int]]], names: list[str], step
         r, x = ahead[inner - 1], behind_x[inner]
         enter, leave, stay = np.exp(rest[1:])
         z = 1 + enter * x + leave * r + stay * r * x
-        gap = truth - p
-        grads = [np.bincount(feature, gap[token], len(names)) / total * 50 - 2e-3 * weights,
-                 np.array([gap.mean() * 50, (seen["enter"] - np.mean(enter * x / z)) * 50,
-                           (seen["leave"] - np.mean(leave * r / z)) * 50, (seen["stay"] - np.mean(stay * r * x / z)) * 50])
+        gap = (truth - p) * times / times.sum()
+        grads = [np.bincount(feature, gap[token], len(names)) * 50 - 2e-3 * weights,
+                 np.array([gap.sum() * 50, (seen["enter"] - mean(enter * x / z)) * 50,
+                           (seen["leave"] - mean(leave * r / z)) * 50, (seen["stay"] - mean(stay * r * x / z)) * 50])
                  - 1e-3 * np.array([0, *rest[1:]])]
         for part, grad, m in zip((weights, rest), grads, moments):
             m[0], m[1] = 0.9 * m[0] + 0.1 * grad, 0.99 * m[1] + 0.01 * grad ** 2
@@ -156,6 +166,21 @@ def is_held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(True))
 
 
+def learnt_windows(batches, number: dict[str, int]):
+    """The windows around all numbered signs of the texts, those of a batch that are equal in one row."""
+    for batch in batches:
+        out: Counter = Counter()
+        for text, toxic in zip(batch["text"], batch["toxic"]):
+            marked = [tuple(number[s] for s in signs(w) if s in number) for w in _WORD.findall(text)]
+            spans = [(max(0, k - WINDOW), k + WINDOW + 1) for k, f in enumerate(marked) if f] or [(0, 2 * WINDOW)]
+            for x, y in spans:
+                fs = tuple(marked[x:y])
+                if fs:
+                    out[fs, tuple(int(toxic == 1 and bool(f)) for f in fs)] += 1
+        yield pd.DataFrame([(list(map(list, fs)), list(ys), n) for (fs, ys), n in out.items()],
+                           columns=["features", "tags", "n"])
+
+
 def train(docs: DataFrame, labels: DataFrame, most_docs: int = MOST_DOCS) -> Field:
     learnt = labels.filter(~is_held_out(F.col("doc_id")) & F.col("toxic").isNotNull())
     picked = learnt.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(
@@ -210,23 +235,10 @@ def train(docs: DataFrame, labels: DataFrame, most_docs: int = MOST_DOCS) -> Fie
         return Field()
     number = {s: k for k, s in enumerate(chosen)}
 
-    def windows(batches):
-        for batch in batches:
-            out = []
-            for text, toxic in zip(batch["text"], batch["toxic"]):
-                words = _WORD.findall(text)
-                marked = [[number[s] for s in signs(w) if s in number] for w in words]
-                hits = [k for k, f in enumerate(marked) if f][:MOST_WINDOWS]
-                spans = [(max(0, k - WINDOW), k + WINDOW + 1) for k in hits] or [(0, 2 * WINDOW)]
-                for x, y in spans:
-                    fs = marked[x:y]
-                    if fs:
-                        out.append((fs, [int(toxic == 1 and bool(f)) for f in fs]))
-            yield pd.DataFrame(out, columns=["features", "tags"])
-
-    found = rows.mapInPandas(windows, "features array<array<int>>, tags array<int>").toPandas()
-    pairs = sorted((([list(map(int, f)) for f in fs], list(map(int, ys))) for fs, ys in zip(found["features"], found["tags"])),
-                   key=repr)
+    found = rows.mapInPandas(lambda batches: learnt_windows(batches, number), WINDOWS).groupBy("features", "tags").agg(
+        F.sum("n").alias("n")).toPandas()
+    pairs = sorted((([list(map(int, f)) for f in fs], list(map(int, ys)), int(n))
+                    for fs, ys, n in zip(found["features"], found["tags"], found["n"])), key=repr)
     return fit(pairs, chosen)
 
 

@@ -180,6 +180,16 @@ def test_marginals_equal_the_sum_over_all_paths():
     assert np.allclose(found, brute(odds[:4]) + brute(odds[4:]))
 
 
+def test_the_field_learns_from_every_sign_of_a_document():
+    import pandas as pd
+
+    texts = [" ".join("bad" if k % 40 == 0 else "w" for k in range(800))]
+    batch = pd.DataFrame({"text": texts + ["good words only"], "toxic": [1, 0]})
+    found = pd.concat(toxic_crf.learnt_windows([batch], {"bad": 0}))
+    assert sum(n * sum(ys) for ys, n in zip(found["tags"], found["n"])) == 20
+    assert sorted(found["n"]) == [1, 1, 19]
+
+
 def test_spans_are_offsets_of_the_text():
     model = toxic_crf.Field({"bad": 9.0}, -4.0)
     score, spans = toxic_crf.tag(["é so bad, very bad."], model)[0]
