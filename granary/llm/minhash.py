@@ -3,8 +3,9 @@
 Words are hashed once, runs of five words are combined to shingle hashes, and
 `PERMUTATIONS` multiply-add-shift hashes run over all shingles of many documents
 at a time in numpy; each keeps its minimum per document. The share of equal
-minima estimates the Jaccard similarity of the shingle sets. Bands of the
-signature are joined in Spark for candidates, which are verified on the sets.
+minima estimates the Jaccard similarity of the shingle sets. `near_duplicates`
+joins bands of the signature in Spark for candidates and verifies these on the
+sets; the registered query gives the fingerprints only and does not call it.
 
 Null texts count as empty. A text of fewer than five words is one shingle, one
 without words has the fingerprint of the empty set. Order is descending doc_id,
@@ -146,7 +147,7 @@ def fingerprint_neighbours(docs: DataFrame) -> DataFrame:
     return _in_order(docs).mapInPandas(pairs, DIGEST)
 
 
-def near_duplicates(docs: DataFrame, similarity: float = 0.8, bands: int = 16) -> DataFrame:
+def near_duplicates(docs: DataFrame, similarity: float = 0.8, bands: int = 32) -> DataFrame:
     """doc_id, class_id: the smallest doc_id that is reachable over pairs of Jaccard `similarity` or more.
 
     Equal shingle sets are one class at once, so copies make no pairs. Classes

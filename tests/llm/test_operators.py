@@ -334,6 +334,16 @@ def test_minhash_classes(spark):
     assert found == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5, 6: 4, 7: 7}
 
 
+def test_minhash_classes_equal_brute_force(spark):
+    texts, signer = [], minhash.Signer()
+    for k in range(150):  # pairs of 100 shingles each; 89 in common are a Jaccard of 0.802, 88 one of 0.786
+        words, kept = [f"p{k}w{i}" for i in range(104)], 92 if k % 15 == 0 else 93
+        texts += [" ".join(words), " ".join([*words[:kept], *(f"q{k}w{i}" for i in range(104 - kept))])]
+    sets = [set(signer.shingles(t).tolist()) for t in texts]
+    expected = {i: min(j for j, b in enumerate(sets) if len(a & b) >= 0.8 * len(a | b)) for i, a in enumerate(sets)}
+    assert dict(_rows(minhash.near_duplicates(_docs(spark, [(i, t, "a") for i, t in enumerate(texts)])))) == expected
+
+
 def test_empty_tables(none):
     for operator in (hash_index.exact_dedup, simhash.simhash_digest, minhash.fingerprint_neighbours, mixing.mix_digest):
         assert operator(none).count() == 0
