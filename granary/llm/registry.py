@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.llm import hash_index, html_tree, line_join, minhash, mixing, packing, quality_pu, simhash, token_blocks, toxic_crf
+from granary.llm import filter_audit, hash_index, html_tree, line_join, minhash, mixing, packing, quality_pu, simhash, token_blocks, toxic_crf
 from granary.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,7 +56,12 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.fingerprint_neighbours(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_token_blocks, op2_quality_pu, op3_hash_index, op4_packing, op5_toxic_crf, op6_html_tree, op7_line_join, op8_simhash, op9_mixing, op10_minhash)}
+    op1_token_blocks, op2_quality_pu, op3_hash_index, op4_packing, op5_toxic_crf, op6_html_tree, op7_line_join, op8_simhash, op9_mixing, op10_minhash,
+    op11_filter_audit)}
 
-ORACLES: dict[str, str] = {"op3_hash_index": hash_index.ORACLE}
+ORACLES: dict[str, str] = {"op3_hash_index": hash_index.ORACLE, "op11_filter_audit": filter_audit.ORACLE}
