@@ -4,8 +4,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from granary.llm import (filter_audit, hash_index, html_tree, line_join, minhash, mixing, packing, periodic_runs, quality_pu,
-                         simhash, token_blocks, toxic_crf)
+from granary.llm import (filter_audit, hash_index, html_tree, line_join, minhash, mixing, packing, periodic_runs, pii,
+                         quality_pu, simhash, token_blocks, toxic_crf)
 from granary.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,12 +61,16 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.filter_interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_digest(table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_digest(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_token_blocks, op2_quality_pu, op3_hash_index, op4_packing, op5_toxic_crf, op6_html_tree, op7_line_join, op8_simhash, op9_mixing, op10_minhash,
-    op11_filter_audit, op13_periodic_runs)}
+    op11_filter_audit, op12_pii, op13_periodic_runs)}
 
 ORACLES: dict[str, str] = {"op3_hash_index": hash_index.ORACLE, "op11_filter_audit": filter_audit.ORACLE}
