@@ -21,6 +21,9 @@ or not, and at any other span; a span that overlaps a later one has no words
 after it, one that overlaps an earlier one none before it.
 """
 
+from collections.abc import Callable
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +33,7 @@ KINDS = ("email", "ip", "card", "phone")
 REVEALING, INDICATIVE = "revealing", "indicative"
 NAMES = (*KINDS, REVEALING, INDICATIVE)
 NEAR, SUPPORT, REMOVE, GENERALISE = 60, 3, 0.8, 0.5
+CHUNK = 256
 
 # The contract's patterns, with possessive quantifiers where nothing is given back, and without starts inside a run.
 PATTERNS = {
@@ -68,12 +72,13 @@ def _holds(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def _located(text: Column, pattern: str, kind: int) -> Column:
-    """All matches of a pattern in order, each with its place and the text up to its neighbours."""
-    gaps, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    both = F.arrays_zip(F.slice(gaps, 1, F.size(found)).alias("before"), found.alias("value"),
-                        F.slice(gaps, 2, F.size(found)).alias("after"))
-    none = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("out"))
+def _located(text: Column, pattern: str, kind: int, valid: Callable[[Column], Column]) -> Column:
+    """The valid matches of a pattern in order, each with its place and the text up to its neighbours.
+
+    Places are running sums over all matches, `CHUNK` matches at a time, so that
+    no long array is copied once per match.
+    """
+    none = F.array().cast(f"array<{_SPAN}>")
 
     def step(done: Column, match: Column) -> Column:
         start = done["at"] + F.length(match["before"])
@@ -81,16 +86,35 @@ def _located(text: Column, pattern: str, kind: int) -> Column:
         span = F.struct(start.alias("start"), end.alias("end"), F.lit(kind).alias("kind"), match["value"].alias("value"),
                         F.right(match["before"], F.lit(NEAR + 1)).alias("before"),
                         F.left(match["after"], F.lit(NEAR + 1)).alias("after"))
-        return F.struct(end.alias("at"), F.concat(done["out"], F.array(span)).alias("out"))
+        return F.struct(end.alias("at"), F.when(valid(match["value"]), F.concat(done["out"], F.array(span)))
+                        .otherwise(done["out"]).alias("out"))
+
+    def chunk(done: Column, number: Column, matches: Column) -> Column:
+        return F.aggregate(F.slice(matches, number * CHUNK + 1, F.lit(CHUNK)),
+                           F.struct(done["at"].alias("at"), none.alias("out")), step,
+                           lambda part: F.struct(part["at"].alias("at"), F.concat(done["out"], part["out"]).alias("out")))
+
+    def walked(matches: Column) -> Column:
+        chunks = F.sequence(F.lit(0), F.floor(F.size(matches) / CHUNK).cast("int"))
+        return F.aggregate(chunks, F.struct(F.lit(0).alias("at"), none.alias("out")),
+                           lambda done, number: chunk(done, number, matches), lambda done: done["out"])
 
-    return F.aggregate(both, none, step, lambda done: done["out"])
+    def zipped(parts: Column) -> Column:
+        gaps, found = parts["gaps"], parts["found"]
+        return F.arrays_zip(F.slice(gaps, 1, F.size(found)).alias("before"), found.alias("value"),
+                            F.slice(gaps, 2, F.size(found)).alias("after"))
+
+    # A lambda's variable is computed once, an expression within a lambda each time.
+    parts = F.struct(F.split(text, pattern, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"))
+    matches = F.transform(F.array(parts), zipped)
+    return F.element_at(F.transform(matches, walked), 1)
 
 
 def base_spans(text: Column) -> Column:
     """The protected spans of a text by start, then kind."""
     parts = []
     for number, kind in enumerate(KINDS):
-        spans = _valid(_located(text, PATTERNS[kind], number), kind)
+        spans = _located(text, PATTERNS[kind], number, partial(_holds, kind))
         likely = F.contains(text, F.lit(SIGNS[kind])) if SIGNS[kind] else F.lit(True)
         parts.append(F.when(likely & text.rlike(PATTERNS[kind]), spans).otherwise(F.array().cast(f"array<{_SPAN}>")))
     ordered = F.transform(F.concat(*parts), lambda s: F.struct(
@@ -99,10 +123,6 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(ordered)
 
 
-def _valid(spans: Column, kind: str) -> Column:
-    return F.filter(spans, lambda s: _holds(kind, s["value"]))
-
-
 def spans_text(spans: Column) -> Column:
     """kind:start:end of each span, comma-joined."""
     names = F.array(*map(F.lit, NAMES))
@@ -121,7 +141,7 @@ def _near(side: Column, start: Column, from_left: bool) -> Column:
     whole = F.length(side) <= NEAR
     inner = F.when(whole, side).otherwise(F.regexp_replace(side, rf"^{TERM}" if from_left else rf"{TERM}$", ""))
     first = F.when(F.lit(from_left), start - F.length(inner)).otherwise(start)
-    return F.transform(_located(inner, TERM, 0), lambda t: F.struct(
+    return F.transform(_located(inner, TERM, 0, lambda term: F.lit(True)), lambda t: F.struct(
         (first + t["start"]).alias("start"), (first + t["end"]).alias("end"), t["value"].alias("term")))
 
 
