@@ -1,9 +1,10 @@
 """Profiles of keys and relations. Everything is counted per key first, so hot keys
 stay small and no join ever multiplies rows."""
 
+import itertools
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions.money import ratio
@@ -61,6 +62,48 @@ def coverage(parent: DataFrame, children: dict[str, DataFrame], key: str) -> Dat
     return stats.select(F.inline(F.array(*children)))
 
 
+def inclusions(facts: dict[str, tuple[DataFrame, list[str]]], dimensions: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Which key columns of which facts the dimensions contain: one row per column and dimension.
+
+    Every frame is read once: a row gives one tagged value per candidate column.
+    Values are counted per tag, with partial sums in each task, and meet once, so
+    that one pass settles all pairs and a hot value is one row. Values are
+    compared as text. NULLs count as rows only.
+    """
+    tags = [(fact, column) for fact, (_, columns) in facts.items() for column in columns]
+    names = list(dimensions)
+
+    def tagged(df: DataFrame, columns: dict[int, str]) -> DataFrame:
+        entries = [F.struct(F.lit(tag).alias("tag"), F.col(column).cast("string").alias("value"))
+                   for tag, column in columns.items()]
+        return df.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+
+    parts = [tagged(df, {tags.index((fact, column)): column for column in columns})
+             for fact, (df, columns) in facts.items() if columns]
+    parts += [tagged(df, {len(tags) + k: key}) for k, (df, key) in enumerate(dimensions.values())]
+    counted = _all(parts).groupBy("value", "tag").agg(F.count("*").alias("n"))
+    per_value = counted.groupBy("value").agg(F.collect_list(F.struct("tag", "n")).alias("counts"))  # one entry per tag
+    known = [_has_tag(len(tags) + k) for k in range(len(names))]
+    spread = per_value.select("value", F.array(*known).alias("known"), F.inline("counts")).filter(F.col("tag") < len(tags))
+    cells = spread.select("tag", "n", "value", F.posexplode("known").alias("dim", "is_known"))
+    is_known = F.col("is_known") & F.col("value").isNotNull()
+    stats = cells.groupBy("tag", "dim").agg(
+        F.sum("n").alias("num_rows"), F.count("value").alias("num_values"),
+        F.coalesce(F.sum(F.when(is_known, F.col("n"))), F.lit(0)).alias("matched_rows"),
+        F.count_if(is_known).alias("matched_values"))
+    cell = list(itertools.product(range(len(tags)), range(len(names))))
+    grid = stats.sparkSession.createDataFrame(
+        [(t, d, *tags[t], names[d]) for t, d in cell],
+        "tag int, dim int, fact string, key_column string, dimension string")
+    return grid.join(stats, ["tag", "dim"], "left").select(
+        "fact", "key_column", "dimension", *[F.coalesce(name, F.lit(0)).alias(name) for name in (
+            "num_rows", "num_values", "matched_rows", "matched_values")])
+
+
+def _has_tag(tag: int) -> Column:
+    return F.exists("counts", lambda entry: entry["tag"] == tag)
+
+
 def copies_agree(left: DataFrame, right: DataFrame, key: str, column: str) -> DataFrame:
     """Compare two copies of a column over an inner join on `key`; `right` is unique on it.
 

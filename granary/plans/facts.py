@@ -2,13 +2,14 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.functions.calendar import days_between
 from granary.functions.money import add_up, exact_sum, ratio
 from granary.operators.joins import skew_join, without_match
 from granary.operators.keys import UNKNOWN_MEMBER, or_unknown, surrogate_key
+from granary.operators.profile import inclusions
 
 
 # --- transaction facts --------------------------------------------------------------------
@@ -53,19 +54,23 @@ def fact_web_traffic(traffic: DataFrame) -> DataFrame:
 
 # --- accumulating snapshot ----------------------------------------------------------------
 
+def milestone_columns() -> list:
+    """Days between the three dates of an order, and whether they are out of order."""
+    ordered, sent, arrived = F.col("order_date"), F.col("ship_date"), F.col("delivery_date")
+    return [days_between(ordered, sent).alias("days_to_ship"),
+            days_between(sent, arrived).alias("days_in_transit"),
+            days_between(ordered, arrived).alias("total_days"),
+            F.coalesce(sent < ordered, F.lit(False)).alias("ships_before_order")]
+
+
 def fact_orders(orders: DataFrame, shipments: DataFrame) -> DataFrame:
     """One row per order with its milestones and the days between them.
 
     A shipment dated before its order stays, flagged, with negative days.
     """
     milestones = shipments.select("order_id", "ship_date", "delivery_date")
-    ordered, sent, arrived = F.col("order_date"), F.col("ship_date"), F.col("delivery_date")
     return orders.join(milestones, "order_id", "left").select(
-        "order_id", "customer_id", "order_status", "order_date", "ship_date", "delivery_date",
-        days_between(ordered, sent).alias("days_to_ship"),
-        days_between(sent, arrived).alias("days_in_transit"),
-        days_between(ordered, arrived).alias("total_days"),
-        F.coalesce(sent < ordered, F.lit(False)).alias("ships_before_order"))
+        "order_id", "customer_id", "order_status", "order_date", "ship_date", "delivery_date", *milestone_columns())
 
 
 def role_playing_dates(orders_fact: DataFrame, dim_date: DataFrame) -> DataFrame:
@@ -92,6 +97,31 @@ def fact_inventory(inventory: DataFrame) -> DataFrame:
         "stock_on_hand", "units_received", "units_sold", "stockout_days")
 
 
+def dense_inventory(inventory: DataFrame, products: DataFrame) -> DataFrame:
+    """One row per product and month of the table's span, also for months in which nothing was counted.
+
+    A month without a snapshot has no movement and the stock of the month before,
+    0 before the first one. Of several snapshots in a month the last one's stock
+    counts and movements add up. Rows without a date belong to no month. A window
+    holds the months of one product.
+    """
+    dated = inventory.filter("snapshot_date is not null")
+    monthly = dated.groupBy(F.col("product_id").alias("product_key"), F.last_day("snapshot_date").alias("date_key")).agg(
+        F.max_by("stock_on_hand", "snapshot_date").alias("_stock"),
+        *[F.sum(name).alias(name) for name in ("units_received", "units_sold", "stockout_days")])
+    first, last = (dated.agg(F.trunc(end("snapshot_date"), "month")).scalar() for end in (F.min, F.max))
+    members = products.select("product_id").union(dated.select("product_id")).filter("product_id is not null").distinct()
+    grid = members.select(F.col("product_id").alias("product_key"), F.explode(
+        F.sequence(first, last, F.expr("interval 1 month"))).alias("_month")).select(
+        "product_key", F.last_day("_month").alias("date_key"))
+    so_far = Window.partitionBy("product_key").orderBy("date_key").rowsBetween(Window.unboundedPreceding, 0)
+    return grid.join(monthly, ["product_key", "date_key"], "left").select(
+        "date_key", "product_key",
+        F.coalesce(F.last("_stock", ignorenulls=True).over(so_far), F.lit(0)).alias("stock_on_hand"),
+        *[F.coalesce(name, F.lit(0)).alias(name) for name in ("units_received", "units_sold", "stockout_days")],
+        F.col("units_sold").isNull().alias("is_carried"))
+
+
 def inventory_last(inventory: DataFrame) -> DataFrame:
     """Stock per category: the last value of each product, then the sum over products."""
     last = inventory.groupBy("product_id").agg(
@@ -188,24 +218,15 @@ def bus_matrix(facts: dict[str, tuple[DataFrame, dict[str, str]]],
                dimensions: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """Fact by dimension: rows, and rows whose key the dimension knows.
 
-    `facts` maps a name to its frame and to `dimension -> key column`.
+    `facts` maps a name to its frame and to `dimension -> key column`. All cells come from one pass, see `inclusions`.
     """
-    parts = []
-    for fact_name, (fact, keys) in facts.items():
-        for dim_name, (dim, dim_key) in dimensions.items():
-            label = [F.lit(fact_name).alias("fact"), F.lit(dim_name).alias("dimension")]
-            if dim_name not in keys:
-                none = F.lit(None).cast("bigint")
-                parts.append(fact.sparkSession.range(1).select(
-                    *label, F.lit(False).alias("usable"), none.alias("num_rows"), none.alias("matched_rows")))
-                continue
-            per_key = fact.groupBy(F.col(keys[dim_name]).alias("key")).agg(F.count("*").alias("n"))
-            known = dim.select(F.col(dim_key).alias("key"), F.lit(True).alias("known"))
-            parts.append(per_key.join(known, "key", "left").agg(
-                F.coalesce(F.sum("n"), F.lit(0)).alias("num_rows"),
-                F.coalesce(F.sum(F.when(F.col("known"), F.col("n"))), F.lit(0)).alias("matched_rows"),
-            ).select(*label, F.lit(True).alias("usable"), "num_rows", "matched_rows"))
-    return reduce(DataFrame.unionByName, parts)
+    columns = {name: (fact, list(dict.fromkeys(keys.values()))) for name, (fact, keys) in facts.items()}
+    cells = [(fact, dim, keys.get(dim)) for fact, (_, keys) in facts.items() for dim in dimensions]
+    spark = next(iter(facts.values()))[0].sparkSession
+    grid = spark.createDataFrame(cells, "fact string, dimension string, key_column string")
+    found = inclusions(columns, dimensions).select("fact", "dimension", "key_column", "num_rows", "matched_rows")
+    return grid.join(found, ["fact", "dimension", "key_column"], "left").select(
+        "fact", "dimension", F.col("key_column").isNotNull().alias("usable"), "num_rows", "matched_rows")
 
 
 # --- customers over time ------------------------------------------------------------------

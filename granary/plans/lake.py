@@ -1,6 +1,6 @@
 """All layers over one input folder, built on demand and lazily."""
 
-from functools import cache, cached_property
+from functools import cache, cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,6 +56,20 @@ class Lake:
     def dim_date(self) -> DataFrame:
         return gold.dim_date(day_spine(self.spark, *self.given) if self.given else spine_between(self.years))
 
+    @cached_property
+    def spanned_dates(self) -> DataFrame:
+        """The rows of `dim_date` from its two ends, which come to the driver once: what reads it reads no table."""
+        return gold.dim_date(day_spine(self.spark, *self.calendar))
+
+    def dates_of(self, *columns: tuple[str, str]) -> DataFrame:
+        """The rows of `dim_date` for the whole years that the named (silver table, date column) pairs cover.
+
+        A join of these dates needs no others, and only these columns are read.
+        """
+        days = reduce(DataFrame.union, [self.silver(name).agg(F.array(F.min(day), F.max(day)).alias("day"))
+                                        for name, day in columns])
+        return gold.dim_date(spine_between(whole_years(days.select(F.explode("day").alias("day")), "day")))
+
     @cached_property
     def order_calendar(self) -> DataFrame:
         """All days of the years in which orders were placed."""

@@ -7,14 +7,17 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from granary.functions.calendar import day_spine
 from granary.operators import history, keys, profile, quality
 from granary.operators.flagging import REASON, reason_histogram, valid_counts
-from granary.plans import build, checks, facts, pipeline, recipes
+from granary.plans import build, checks, facts, pipeline, recipes, refresh
+from granary.plans import gold
 from granary.plans.gold import dim_promotion
 from granary.plans.lake import Lake
 from granary.plans.silver import silver
 from granary.session import scratch_dir
 from granary.sources.files import bronze_from, ingest
+from granary.sources.merge import upsert_partitions, write_hashed
 from granary.sources.specs import SPECS
 from granary.sources.tables import (Layout, append_run, between_dates, upsert, write_folder, write_table)
 
@@ -153,6 +156,41 @@ def upsert_overwrite(lake):
     return lake.stored(upsert(first, repriced.unionByName(added), ["product_id"]), "products-2")
 
 
+# Changes to orders, told by what the rows say: cancelled ones, some on another day, some gone, some new.
+NEW_ORDERS = 1_000_000_000_000
+_CANCELLED = "order_status = 'created' and device_type = 'tablet'"
+_POSTPONED = "order_status = 'paid' and order_source = 'email'"
+_DELETED = "order_status = 'shipped' and order_source = 'ads'"
+_REPEATED = "order_status = 'returned' and device_type = 'mobile'"
+
+
+def _later_orders(orders: DataFrame, month: str | None = None) -> DataFrame:
+    """Rows of orders that change or come, as they are afterwards; only those of one month if it is given."""
+    some = orders.filter(F.date_format("order_date", "yyyy-MM") == month) if month else orders
+    cancelled = some.filter(_CANCELLED).withColumn("order_status", F.lit("cancelled"))
+    postponed = some.filter(_POSTPONED).withColumn("order_date", F.date_add("order_date", 40))
+    repeated = some.filter(_REPEATED).withColumn("order_id", F.col("order_id") + NEW_ORDERS).withColumn(
+        "order_date", F.date_add("order_date", 1))
+    return _union([cancelled, postponed, repeated])
+
+
+@query
+def upsert_months(lake):
+    """Orders in months: one month's changes rewrite the months they touch, and repeating them rewrites none."""
+    layout = Layout("month", "order_date")
+    orders = lake.silver("orders").select("order_id", "customer_id", "order_date", "order_status", "device_type",
+                                          "order_source")
+    path = scratch_dir(lake.spark, "orders-by-month")
+    table = write_hashed(orders, path, layout)
+    changes = lake.stored(_later_orders(orders, "1997-03"), "changed-orders")
+    months = upsert_partitions(lake.spark, path, changes, ["order_id"], layout)
+    again = upsert_partitions(lake.spark, path, changes, ["order_id"], layout)
+    table = lake.spark.read.schema(table.schema).parquet(path)
+    return table.select("order_id", "customer_id", "order_date", "order_status",
+                        F.col("_month").cast("string").isin(months).alias("in_rewritten_month"),
+                        F.lit(len(again)).alias("rewritten_again"))
+
+
 @query
 def append_by_run(lake):
     """The same run appended twice counts once."""
@@ -224,10 +262,10 @@ def test_fact_grain(lake):
 def quality_suite(lake):
     models = {f"silver_{name}": lake.silver(name) for name in checks.SOURCE_CHECKS}
     models |= {
-        "dim_customer": lake.stored(lake.dim_customer, "dim_customer"), "dim_date": lake.dim_date,
-        "dim_product": lake.dim_product, "dim_promotion": lake.dim_promotion,
-        "fact_order_items": lake.stored(lake.fact, "fact"),
-        "gold_orders_daily": lake.orders_daily, "gold_revenue_daily": lake.revenue_daily,
+        name: lake.stored(df, name) for name, df in (
+            ("dim_customer", lake.dim_customer), ("dim_date", lake.spanned_dates), ("dim_product", lake.dim_product),
+            ("dim_promotion", lake.dim_promotion), ("fact_order_items", lake.fact),
+            ("gold_orders_daily", lake.orders_daily), ("gold_revenue_daily", lake.revenue_daily))
     }
     results = [quality.run_checks(name, lake.bronze(name), declared, {})
                for name, declared in checks.SOURCE_CHECKS.items()]
@@ -401,7 +439,8 @@ def lines_per_order(lake):
 def star(lake: Lake, year: int = STAR_YEAR) -> DataFrame:
     """Dimensions are stored tables, so their true size decides how they are joined."""
     dims = [lake.stored(getattr(lake, name), name) for name in ("dim_customer", "dim_product", "dim_promotion")]
-    return recipes.star_four_dims(lake.fact, lake.dim_date, *dims, year)
+    days = gold.dim_date(day_spine(lake.spark, f"{year}-01-01", f"{year + 1}-01-01"))  # no other day can join
+    return recipes.star_four_dims(lake.fact, days, *dims, year)
 
 
 @query
@@ -411,7 +450,7 @@ def star_four_dims(lake):
 
 @query
 def weekend_vs_weekday(lake):
-    return recipes.weekend_vs_weekday(lake.fact, lake.dim_date)
+    return recipes.weekend_vs_weekday(lake.fact, lake.dates_of(("orders", "order_date")))
 
 
 @query
@@ -499,7 +538,8 @@ def fact_orders_lifecycle(lake):
 @query
 def role_playing_dates(lake):
     orders_fact = facts.fact_orders(lake.silver("orders"), lake.silver("shipments"))
-    return facts.role_playing_dates(orders_fact, lake.dim_date)
+    days = lake.stored(lake.dates_of(("orders", "order_date"), ("shipments", "ship_date"), ("shipments", "delivery_date")), "days")
+    return facts.role_playing_dates(orders_fact, days)
 
 
 @query
@@ -507,6 +547,11 @@ def fact_inventory(lake):
     return facts.fact_inventory(lake.silver("inventory"))
 
 
+@query
+def fact_inventory_dense(lake):
+    return facts.dense_inventory(lake.silver("inventory"), lake.dim_product)
+
+
 @query
 def fact_inventory_last(lake):
     return facts.inventory_last(lake.silver("inventory"))
@@ -529,7 +574,8 @@ def promo_coverage(lake):
 
 @query
 def concurrent_promos(lake):
-    return facts.concurrent_promos(facts.promo_coverage(lake.silver("promotions")), lake.dim_date)
+    days = lake.dates_of(("promotions", "start_date"), ("promotions", "end_date"))
+    return facts.concurrent_promos(facts.promo_coverage(lake.silver("promotions")), days)
 
 
 @query
@@ -559,14 +605,12 @@ def region_two_ways(lake):
     return facts.region_two_ways(lake.silver("orders"), lake.silver("geography"), lake.dim_customer)
 
 
-@query
-def bus_matrix(lake):
+def _keyed_facts(lake: Lake) -> dict[str, tuple[DataFrame, dict[str, str]]]:
     orders = lake.silver("orders")
     dated = {"dim_date": "date_key"}
     buyer, product = {"dim_customer": "customer_key"}, {"dim_product": "product_key"}
-    fact_frames = {
-        "fact_order_items": (lake.stored(lake.fact, "fact"),
-                             {**dated, **buyer, **product, "dim_promotion": "promo_key"}),
+    return {
+        "fact_order_items": (lake.fact, {**dated, **buyer, **product, "dim_promotion": "promo_key"}),
         "fact_payments": (facts.fact_payments(lake.silver("payments"), orders), {**dated, **buyer}),
         "fact_shipments": (facts.fact_shipments(lake.silver("shipments"), orders), {**dated, **buyer}),
         "fact_returns": (facts.fact_returns(lake.silver("returns"), orders), {**dated, **buyer, **product}),
@@ -574,10 +618,24 @@ def bus_matrix(lake):
         "fact_inventory": (facts.fact_inventory(lake.silver("inventory")), {**dated, **product}),
         "fact_web_traffic": (facts.fact_web_traffic(lake.silver("web_traffic")), dated),
     }
-    dimensions = {"dim_date": (lake.dim_date, "date_key"), "dim_customer": (lake.dim_customer, "customer_id"),
-                  "dim_product": (lake.dim_product, "product_id"),
-                  "dim_promotion": (lake.dim_promotion, "promo_id")}
-    return facts.bus_matrix(fact_frames, dimensions)
+
+
+def _keyed_dimensions(lake: Lake) -> dict[str, tuple[DataFrame, str]]:
+    return {"dim_date": (lake.spanned_dates, "date_key"), "dim_customer": (lake.dim_customer, "customer_id"),
+            "dim_product": (lake.dim_product, "product_id"), "dim_promotion": (lake.dim_promotion, "promo_id")}
+
+
+@query
+def bus_matrix(lake):
+    return facts.bus_matrix(_keyed_facts(lake), _keyed_dimensions(lake))
+
+
+@query
+def key_inclusions(lake):
+    """The bus matrix found from the tables: what share of each key column each dimension contains."""
+    candidates = {name: (fact, [column for column in fact.columns if column.endswith("_key")])
+                  for name, (fact, _) in _keyed_facts(lake).items()}
+    return profile.inclusions(candidates, _keyed_dimensions(lake))
 
 
 @query
@@ -587,6 +645,64 @@ def junk_dim(lake):
     return keys.junk_dimension(lake.silver("orders"), attributes).drop("junk_key")
 
 
+# --- tables kept up to date -----------------------------------------------------------------
+
+def _changed_orders(lake: Lake) -> tuple[DataFrame, DataFrame]:
+    """Rows of silver orders that no longer hold, and those that hold now."""
+    orders = lake.silver("orders")
+    gone = orders.filter(f"({_CANCELLED}) or ({_POSTPONED}) or ({_DELETED})")
+    return lake.stored(gone, "orders-gone"), lake.stored(_later_orders(orders), "orders-come")
+
+
+def _without(rows: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
+    return rows.join(gone.select(*keys), keys, "left_anti")
+
+
+@query
+def orders_daily_refreshed(lake):
+    gone, come = _changed_orders(lake)
+    daily = lake.stored(lake.orders_daily, "orders-daily")
+    customers = lake.stored(refresh.customers_per_day(lake.silver("orders")), "customers-per-day")
+    return refresh.refresh_orders_daily(daily, customers, gone, come)[0]
+
+
+@query
+def revenue_daily_refreshed(lake):
+    """Orders change as above; besides, lines of big quantity go and the remaining lines of cheap goods get dearer."""
+    gone, come = _changed_orders(lake)
+    items, orders = lake.silver("order_items"), lake.silver("orders")
+    changed = items.filter("quantity = 50 or unit_price < 1000")
+    after = changed.filter("quantity < 50").withColumns({
+        "unit_price": F.col("unit_price") + 1, "line_amount": F.col("line_amount") + F.col("quantity")})
+    new_items = items.filter("not (quantity = 50 or unit_price < 1000)").unionByName(after)
+    new_orders = _without(orders, gone, ["order_id"]).unionByName(come)
+    state = lake.stored(refresh.revenue_state(items, orders), "revenue-state")
+    touched = lake.stored(refresh.touched_orders(gone, come, changed), "touched-orders")
+    return refresh.revenue_view(refresh.refresh_revenue_daily(state, touched, (items, orders), (new_items, new_orders)))
+
+
+@query
+def fact_orders_advanced(lake):
+    """The order life cycle in four nightly batches; what a batch tells of an order yet unknown waits for it."""
+    orders, shipments = lake.silver("orders"), lake.silver("shipments")
+    bounds = ["0001-01-01", *SNAPSHOT_DAYS[:3], "9999-12-31"]
+    fact = facts.fact_orders(orders, shipments).limit(0)
+    waiting = shipments.select("order_id", "ship_date", "delivery_date").limit(0)
+    for low, high in zip(bounds, bounds[1:]):
+        def news(column: str, low=low, high=high):
+            return F.when((F.col(column) > low) & (F.col(column) <= high), F.col(column))
+
+        sent = shipments.select("order_id", news("ship_date").alias("ship_date"), F.lit(None).cast("date").alias("delivery_date"))
+        arrived = shipments.select("order_id", F.lit(None).cast("date").alias("ship_date"),
+                                   news("delivery_date").alias("delivery_date"))
+        batch = lake.stored(waiting.unionByName(sent).unionByName(arrived).filter(
+            "ship_date is not null or delivery_date is not null"), "shipment-batch")
+        placed = orders.filter(news("order_date").isNotNull())
+        waiting = lake.stored(refresh.early_shipments(fact, placed, batch), "early-shipments")
+        fact = lake.stored(refresh.advance_orders(fact, placed, batch), "fact-orders")
+    return fact
+
+
 # --- customers over time --------------------------------------------------------------------
 
 def _snapshots(lake: Lake) -> dict[str, DataFrame]:

@@ -61,6 +61,28 @@ Q["upsert_overwrite"] = """
 select product_id, category, case when category = 'outdoor' then price + 1 else price end as price from s_products
 union all
 select product_id + 1000000000000, category, price from s_products where category = 'genz'"""
+# Orders after the changes of the refreshed tables; `hit` says which rows the change set may touch.
+def _orders_after(hit: str, deletes: bool) -> str:
+    gone = f"where not coalesce({hit} and order_status = 'shipped' and order_source = 'ads', false)" if deletes else ""
+    return f"""
+select order_id, customer_id, device_type, order_source,
+  case when {hit} and order_status = 'paid' and order_source = 'email' then order_date + 40 else order_date end as order_date,
+  case when {hit} and order_status = 'created' and device_type = 'tablet' then 'cancelled' else order_status end as order_status,
+  {hit} and ((order_status = 'paid' and order_source = 'email') or (order_status = 'created' and device_type = 'tablet')) as is_changed
+from s_orders {gone}
+union all
+select order_id + 1000000000000, customer_id, device_type, order_source, order_date + 1, order_status, true
+from s_orders where {hit} and order_status = 'returned' and device_type = 'mobile'"""
+
+
+Q["upsert_months"] = f"""
+select order_id, customer_id, order_date, order_status, strftime(order_date, '%Y-%m') in (
+    select strftime(order_date, '%Y-%m') from ({_orders_after("strftime(order_date, '%Y-%m') = '1997-03'", False)}) as c where is_changed
+    union all
+    select '1997-03' from ({_orders_after("strftime(order_date, '%Y-%m') = '1997-03'", False)}) as c
+    where is_changed and order_id < 1000000000000) as in_rewritten_month,
+  cast(0 as int) as rewritten_again
+from ({_orders_after("strftime(order_date, '%Y-%m') = '1997-03'", False)}) as after_changes"""
 Q["append_by_run"] = """
 select run_id, count(*) as num_rows from s_payments cross join (values ('run-1'), ('run-2')) as r(run_id)
 group by run_id"""
@@ -338,6 +360,35 @@ left join d_date c on f.delivery_date = c.date_key group by 1, 2, 3"""
 Q["fact_inventory"] = """
 select snapshot_date as date_key, product_id as product_key, stock_on_hand, units_received, units_sold, stockout_days
 from s_inventory"""
+Q["fact_orders_advanced"] = "select * from f_orders"
+Q["orders_daily_refreshed"] = f"""
+select order_date, count(*) as num_orders, count(distinct customer_id) as num_customers,
+  count(*) filter (where order_status = 'delivered') as num_delivered,
+  count(*) filter (where order_status = 'cancelled') as num_cancelled,
+  count(*) filter (where order_status = 'returned') as num_returned
+from ({_orders_after("true", True)}) as o group by order_date"""
+Q["revenue_daily_refreshed"] = f"""
+select o.order_date, count(distinct o.order_id) as num_orders, count(*) as num_lines,
+  cast(sum(i.quantity) as bigint) as num_units, {money("i.line_amount")} as revenue,
+  {money("i.discount_amount")} as total_discount,
+  {money("i.line_amount")} / count(distinct o.order_id) as avg_order_value
+from (select order_id, quantity, discount_amount,
+        case when unit_price < 1000 then line_amount + quantity else line_amount end as line_amount
+      from s_order_items where quantity <> 50) as i
+join ({_orders_after("true", True)}) as o on i.order_id = o.order_id group by o.order_date"""
+Q["fact_inventory_dense"] = """
+select m.date_key, p.product_id as product_key,
+  coalesce(last_value(i.stock ignore nulls) over (partition by p.product_id order by m.date_key
+    rows between unbounded preceding and current row), 0) as stock_on_hand,
+  cast(coalesce(i.received, 0) as bigint) as units_received, cast(coalesce(i.sold, 0) as bigint) as units_sold,
+  cast(coalesce(i.empty_days, 0) as bigint) as stockout_days, i.sold is null as is_carried
+from (select last_day(cast(unnest(generate_series(date_trunc('month', min(snapshot_date)), date_trunc('month', max(snapshot_date)),
+        interval 1 month)) as date)) as date_key from s_inventory) as m
+cross join (select product_id from d_product union select product_id from s_inventory where snapshot_date is not null) as p
+left join (select product_id, last_day(snapshot_date) as month_end, arg_max(stock_on_hand, snapshot_date) as stock,
+             sum(units_received) as received, sum(units_sold) as sold, sum(stockout_days) as empty_days
+           from s_inventory where snapshot_date is not null group by 1, 2) as i
+  on i.product_id = p.product_id and i.month_end = m.date_key"""
 Q["fact_inventory_last"] = """
 select category, count(*) as num_products, cast(sum(stock_on_hand) as bigint) as stock_on_hand
 from (select category, stock_on_hand,
@@ -405,6 +456,13 @@ def _bus_cell(fact: str, dim: str) -> str:
 
 
 Q["bus_matrix"] = "\nunion all\n".join(_bus_cell(fact, dim) for fact in _FACT_KEYS for dim in _DIM_KEYS)
+Q["key_inclusions"] = "\nunion all\n".join(f"""
+select '{fact}' as fact, '{dim.replace("dim_", "").replace("promotion", "promo")}_key' as key_column, '{other}' as dimension,
+  count(*) as num_rows, count(distinct {column}) as num_values, count(*) filter (where known) as matched_rows,
+  count(distinct case when known then {column} end) as matched_values
+from (select *, cast({column} as varchar) in (select cast({_DIM_KEYS[other][1]} as varchar) from {_DIM_KEYS[other][0]}) as known
+      from {view}) as f"""
+    for fact, (view, keys) in _FACT_KEYS.items() for dim, column in keys.items() for other in _DIM_KEYS)
 Q["junk_dim"] = """
 select order_status, payment_method, device_type, order_source, count(*) as num_rows from s_orders
 group by 1, 2, 3, 4"""
