@@ -15,11 +15,15 @@ class names usually mean, so a page without an article is read sensibly, too.
 Scripts, styles, comments and the head have no text. Character references are
 decoded; white space within a block becomes one space; blocks follow in page
 order, parted by a newline. A null page counts as empty and gives empty text.
-Broken markup is read as browsers do: ends that are missing are implied.
+Broken markup is read as browsers do: ends that are missing are implied, a tag
+that never ends takes the rest of the page with it. Rows that repeat a page give
+equal rows; a null page_id is carried along. Time grows with the length of the
+page, and with its nesting.
 """
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,7 +32,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MOST_PAGES, MOST_NODES, STEPS = 400, 60_000, 150
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)", re.S)
+# A quote opens a value only right after "="; elsewhere it is part of a name or of a bare value.
+_ATTRIBUTE = r"""[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]++)?+)?+"""
+_TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|=|{_ATTRIBUTE})*+)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
 _RAW_END = {t: re.compile(r"</" + t + r"\s*>", re.I) for t in ("script", "style", "textarea", "title", "template", "noscript")}
 _NAMES = re.compile(r"""(?:class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 
@@ -75,6 +81,7 @@ def parse(source: str) -> Page:
     stack: list[tuple[str, int]] = [("html", 0)]  # open elements and their nodes; inline elements share their parent's
     buffer: list[str] = []
     linked, links, silent = 0, 0, 0
+    opened: Counter[str] = Counter()  # so that an end without a beginning costs nothing
 
     def node(kind: str, named: int, text: str | None, chars: int) -> int:
         owner = stack[-1][1]
@@ -104,6 +111,7 @@ def parse(source: str) -> Page:
                 flush()
             links -= tag == "a"
             silent -= tag in NO_TEXT
+            opened[tag] -= 1
             stack.pop()
 
     at = 0
@@ -121,7 +129,7 @@ def parse(source: str) -> Page:
             continue
         tag = m[2].lower()
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if opened[tag] > 0 else ():
                 if stack[k][0] == tag:
                     close(k)
                     break
@@ -158,11 +166,17 @@ def parse(source: str) -> Page:
             stack.append((tag, node(tag, named, None, 0)))
         links += tag == "a"
         silent += tag in NO_TEXT
+        opened[tag] += 1
     close(1)
     flush()
     return page
 
 
+def by_depth(depth: np.ndarray) -> list[np.ndarray]:
+    """The nodes of each depth, in order."""
+    return np.split(np.argsort(depth, kind="stable"), np.cumsum(np.bincount(depth))[:-1])
+
+
 def feature_rows(pages: list[Page]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(features, parent, depth, is_block) of all nodes of all pages, one page after another."""
     sizes = np.array([len(p.parent) for p in pages], np.int64)
@@ -176,8 +190,7 @@ def feature_rows(pages: list[Page]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     linked = np.concatenate([np.array(p.linked, np.float64) for p in pages])
     marks = np.array([t.count(".") + t.count(",") if t is not None else 0 for p in pages for t in p.text], np.float64)
     is_block = np.array([t is not None for p in pages for t in p.text])
-    for d in range(int(depth.max()), 0, -1):  # sums over what lies below
-        level = np.flatnonzero(depth == d)
+    for level in reversed(by_depth(depth)[1:]):  # sums over what lies below
         for total in (chars, linked, marks):
             np.add.at(total, parent[level], total[level])
     x = np.zeros((len(parent), len(NAMES)))
@@ -222,7 +235,7 @@ def marginals(model: Model, x: np.ndarray, parent: np.ndarray, depth: np.ndarray
     own = np.stack([np.zeros(len(x)), x @ model.weights], axis=1)
     pair = model.edges[edge_kinds(x, parent)]
     up, below = np.zeros((len(x), 2)), own.copy()
-    levels = [np.flatnonzero(depth == d) for d in range(int(depth.max()) + 1)]
+    levels = by_depth(depth)
     for level in reversed(levels[1:]):
         up[level] = np.logaddexp(below[level, 0, None] + pair[level, 0], below[level, 1, None] + pair[level, 1])
         np.add.at(below, parent[level], up[level])
