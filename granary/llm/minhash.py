@@ -87,18 +87,28 @@ def edited(text: str, after: str) -> str:
 def _in_order(docs: DataFrame) -> DataFrame:
     """Documents dealt by ranges of doc_id in one shuffle, each range followed by the first row of the next.
 
-    Range ends are values of doc_id, so the row that begins a range is known
-    before the shuffle and can be sent to the range before, too.
+    Range ends are values of doc_id: quantiles, which are computed in doubles and
+    need not be, only deal ids into groups, and the greatest id of each group is
+    an end. So the row that begins a range is known before the shuffle and can be
+    sent to the range before, too. Rows of one doc_id, and those without, share a
+    range.
     """
     spark = docs.sparkSession
     pieces = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     marks = [k / pieces for k in range(1, pieces)]
     row = docs.agg(F.max("doc_id").alias("top"), F.percentile_approx("doc_id", marks, 100 * pieces).alias("ends")).first()
-    top, ends = row["top"], np.unique(np.array(row["ends"] or [], np.int64))
+    top, near = row["top"], np.unique(np.array(row["ends"] or [], np.int64))
 
-    @F.pandas_udf("int")
-    def range_of(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(ends, ids.to_numpy(), side="left").astype(np.int32))
+    def dealt_by(bounds: np.ndarray):
+        @F.pandas_udf("int")
+        def range_of(ids: pd.Series) -> pd.Series:
+            return pd.Series(np.searchsorted(bounds, ids.to_numpy(), side="left").astype(np.int32))
+
+        return range_of
+
+    groups = docs.filter("doc_id is not null").select("doc_id", dealt_by(near)("doc_id").alias("_group"))
+    ends = np.sort(np.array([r[0] for r in groups.groupBy("_group").agg(F.max("doc_id")).select("max(doc_id)").collect()], np.int64))
+    range_of = dealt_by(ends)
 
     @F.pandas_udf("boolean")
     def begins(ids: pd.Series) -> pd.Series:
@@ -113,10 +123,12 @@ def _in_order(docs: DataFrame) -> DataFrame:
     first = F.when(F.col("doc_id").eqNullSafe(F.lit(top)), F.struct(F.lit(0).alias("range"), F.lit(True).alias("guest")))
     rows = rows.select("doc_id", "text", F.explode(F.array_compact(F.array(own, before, first))).alias("_p"))
     rows = rows.select("doc_id", "text", "_p.*").repartition("range")
-    return rows.sortWithinPartitions("range", "guest", F.col("doc_id").desc_nulls_last(), F.xxhash64("text"))
+    ordered = rows.sortWithinPartitions("range", "guest", F.col("doc_id").desc_nulls_last(), F.xxhash64("text"))
+    # Ids pass Python as text: beside a null pandas would make them doubles.
+    return ordered.select(F.col("doc_id").cast("string").alias("doc_id"), "text", "range", "guest")
 
 
-DIGEST = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+DIGEST = ("doc_id string, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
           "near_edited double, near_next double")
 
 
@@ -127,7 +139,7 @@ def fingerprint_neighbours(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for k in range(0, len(batch), 256):
                 some = batch.iloc[k:k + 256]
-                rows = list(zip(some["doc_id"].astype(object), some["text"], some["range"], some["guest"]))
+                rows = list(zip(some["doc_id"], some["text"], some["range"], some["guest"]))
                 signs = list(signer.sign([r[1] for r in rows]))
                 if last is not None:
                     rows, signs = [last[0], *rows], [last[1], *signs]
@@ -136,7 +148,7 @@ def fingerprint_neighbours(docs: DataFrame) -> DataFrame:
                 texts = [edited(rows[i][1], rows[i + 1][1]) for i in here]
                 new = signer.sign(texts)
                 yield pd.DataFrame({
-                    "doc_id": pd.array([None if pd.isna(rows[i][0]) else int(rows[i][0]) for i in here], "Int64"),
+                    "doc_id": [rows[i][0] for i in here],
                     "n_chars": np.array([len(rows[i][1]) for i in here], np.int64),
                     "edited_sha256": [hashlib.sha256(t.encode()).hexdigest() for t in texts],
                     "fingerprint": [signs[i].tobytes().hex() for i in here],
@@ -144,7 +156,7 @@ def fingerprint_neighbours(docs: DataFrame) -> DataFrame:
                     "near_edited": [float(np.mean(signs[i] == s)) for i, s in zip(here, new)],
                     "near_next": [float(np.mean(signs[i] == signs[i + 1])) for i in here]})
 
-    return _in_order(docs).mapInPandas(pairs, DIGEST)
+    return _in_order(docs).mapInPandas(pairs, DIGEST).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def near_duplicates(docs: DataFrame, similarity: float = 0.8, bands: int = 32) -> DataFrame:
