@@ -81,7 +81,8 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int =
     """
     order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
     rows = docs.select("doc_id", whole_text().alias("text")).repartitionByRange(*order).sortWithinPartitions(*order)
-    rows = rows.withColumn("shard", F.spark_partition_id())
+    # Ids pass Python as text: beside a null pandas would make them doubles.
+    rows = rows.select(F.col("doc_id").cast("string").alias("doc_id"), "text", F.spark_partition_id().alias("shard"))
 
     def segments(batches):
         encoder, number, before, held, size, shard = worker_encoder(vocabulary), 0, 0, [], 0, 0
@@ -99,7 +100,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int =
                 flat, sizes = encoder.encode(part["text"].tolist())
                 shard = int(part["shard"].iloc[0])
                 ends = np.cumsum(sizes)
-                for doc_id, a, b in zip(part["doc_id"].astype(object), ends - sizes, ends):
+                for doc_id, a, b in zip(part["doc_id"], ends - sizes, ends):
                     held.append((None if pd.isna(doc_id) else int(doc_id),
                                  np.append(flat[a:b], np.uint32(end_id)).astype(np.uint32)))
                     size += len(held[-1][1])
@@ -127,13 +128,14 @@ def read_token_files(files: DataFrame) -> DataFrame:
                 ids = unpack_blocks(row.payload, list(row.block_starts)).astype("<u4")
                 sizes = np.asarray(row.doc_sizes, np.int64)
                 ends = np.cumsum(sizes)
-                yield pd.DataFrame({"doc_id": pd.array([None if pd.isna(x) else int(x) for x in row.doc_ids], "Int64"),
+                yield pd.DataFrame({"doc_id": list(row.doc_ids),
                                     "start": row.first_id + row.shard_start + ends - sizes, "n_tokens": sizes,
                                     "ids": [ids[a:b].tobytes() for a, b in zip(ends - sizes, ends)]})
 
     joined = files.join(F.broadcast(starts), "shard")
-    return joined.select("first_id", "shard_start", "doc_ids", "doc_sizes", "block_starts", "payload").mapInPandas(
-        documents, "doc_id long, start long, n_tokens long, ids binary")
+    found = joined.select("first_id", "shard_start", F.col("doc_ids").cast("array<string>").alias("doc_ids"), "doc_sizes",
+                          "block_starts", "payload").mapInPandas(documents, "doc_id string, start long, n_tokens long, ids binary")
+    return found.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def token_file_digest(docs: DataFrame, vocabulary: str) -> DataFrame:
