@@ -64,8 +64,8 @@ class TableSpec:
         return self.schema.fieldNames()
 
 
-def flag(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Normalise the text columns and mark, never drop, the rows that break a rule."""
+def flag(df: DataFrame, spec: TableSpec, carried: tuple[str, ...] = ()) -> DataFrame:
+    """Normalise the text columns and mark, never drop, the rows that break a rule; `carried` columns go along."""
     tidy = df.withColumns({name: how(name) for name, how in spec.tidy.items()})
     marks = {f"_breaks_{i}": F.coalesce(F.expr(rule.offence), F.lit(False))
              for i, rule in enumerate(spec.rules)}
@@ -78,7 +78,7 @@ def flag(df: DataFrame, spec: TableSpec) -> DataFrame:
         *[F.col(name) for name in spec.names],
         F.nullif(codes, F.lit("")).alias(REASON),
         clean.alias(VALID),
-        *[F.expr(text).alias(name) for name, text in spec.notes.items()],
+        *[F.expr(text).alias(name) for name, text in spec.notes.items()], *carried,
     )
 
 

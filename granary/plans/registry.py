@@ -16,7 +16,7 @@ from granary.plans.gold import dim_promotion
 from granary.plans.lake import Lake
 from granary.plans.silver import silver
 from granary.session import scratch_dir
-from granary.sources.files import bronze_from, ingest
+from granary.sources.files import bronze_from, ingest, ingest_measured, ingest_times
 from granary.sources.merge import upsert_partitions, write_hashed
 from granary.sources.specs import SPECS
 from granary.sources.tables import (Layout, append_run, between_dates, upsert, write_folder, write_table)
@@ -114,6 +114,49 @@ def ingest_report_q(lake):
     return report
 
 
+@query
+def ingest_files(lake):
+    """What each source file brought and when; file names and times differ from run to run, so only their sums are shown."""
+    bronze = {}
+    for name in ("promotions", "sales_daily"):
+        target = scratch_dir(lake.spark, f"audited-{name}")
+        bronze[name] = ingest(lake.spark, SPECS[name], _as_csv(lake, name), target, file_audit=True)
+    times = ingest_times(bronze)
+    latest = _union([df.agg(F.max("_ingested_at").alias("latest")).select(F.lit(name).alias("table_name"), "*")
+                     for name, df in bronze.items()])
+    return times.join(latest, "table_name").groupBy("table_name").agg(
+        F.sum("num_rows").alias("num_rows"), F.sum(F.when(F.col("_source_path").endswith(".csv"), F.col("num_rows"))).alias("traced_rows"),
+        (F.max("last_ingested_at") == F.max("latest")).alias("has_latest"),
+        (F.max("source_modified") <= F.max("latest")).alias("is_read_after_write"))
+
+
+@query
+def layout_measured(lake):
+    """The layout that ingest chooses for each table from what it wrote."""
+    rows = []
+    for name in SPECS:
+        target = scratch_dir(lake.spark, f"measured-{name}")
+        _, layout, figures = ingest_measured(lake.spark, SPECS[name], _as_csv(lake, name), target,
+                                             f"granary_measured_{name}_{uuid4().hex}")
+        rows.append((name, layout.kind, figures["num_rows"], figures["num_keys"], figures["hottest_rows"]))
+    return lake.spark.createDataFrame(
+        rows, "table_name string, layout string, num_rows bigint, num_keys bigint, hottest_rows bigint")
+
+
+@query
+def catalog_models(lake):
+    """Bronze and gold tables and silver views in a database of their own, as a second session finds them."""
+    database = f"granary_{uuid4().hex}"
+    lake.spark.sql(f"CREATE NAMESPACE {database} LOCATION '{scratch_dir(lake.spark, database)}'")
+    pipeline.publish_catalog(lake.spark, database, {name: lake.bronze(name) for name in checks.SOURCE_CHECKS},
+                             {"dim_product": lake.dim_product, "gold_orders_daily": lake.orders_daily})
+    other = lake.spark.newSession()
+    names = sorted((row.name, row.tableType) for row in other.catalog.listTables(database))
+    return _union([lake.spark.table(f"{database}.{name}").agg(F.count("*").alias("num_rows")).select(
+        F.lit(name).alias("model"), F.lit("view" if kind == "VIEW" else "table").alias("kind"), "num_rows")
+        for name, kind in names])
+
+
 @query
 def layout_month(lake):
     layout = SPECS["orders"].layout
@@ -749,6 +792,26 @@ def surrogate_keys(lake):
     return facts.surrogate_key_audit(versions, facts.orders_as_of(lake.silver("orders"), versions))
 
 
+@query
+def dense_keys(lake):
+    """Customers numbered in two batches: the first keep their numbers, the next follow without a gap; orders point to them."""
+    customers, orders = lake.silver("customers"), lake.silver("orders")
+    early = customers.filter(F.col("signup_date") < SNAPSHOT_DAYS[0])
+    first = keys.extend_dictionary(None, early, ["customer_id"], lake.stored)
+    second = keys.extend_dictionary(first, customers, ["customer_id"], lake.stored)
+    placed = keys.with_dense_key(orders.select("order_id", "customer_id"), second, ["customer_id"], "customer_sk")
+    kept = second.join(first.select("customer_id", F.col("sk").alias("old_sk")), "customer_id", "left")
+    return _union([
+        kept.agg(F.count("*").alias("members"), F.min("sk").alias("least key"), F.max("sk").alias("greatest key"),
+                 F.countDistinct("sk").alias("distinct keys"), F.count("old_sk").alias("early members"),
+                 F.max("old_sk").alias("greatest early key"), F.count_if(F.col("sk") != F.col("old_sk")).alias("changed keys"))
+        .select(F.stack(F.lit(7), *[x for name in ("members", "least key", "greatest key", "distinct keys", "early members",
+                                                    "greatest early key", "changed keys") for x in (F.lit(name), F.col(name))])
+                .alias("measure", "num_rows")),
+        placed.agg(F.count_if(F.col("customer_sk") == keys.UNKNOWN_MEMBER).alias("num_rows")).select(
+            F.lit("unknown member orders").alias("measure"), "num_rows")])
+
+
 @query
 def scd_variants(lake):
     """Type 0, 1 and 3 of the address side by side."""

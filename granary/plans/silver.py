@@ -1,24 +1,17 @@
 """Silver: the valid rows of each bronze table, as lazy frames."""
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from granary.functions.calendar import days_between
 from granary.operators.flagging import VALID
 from granary.sources.specs import SPECS
 
-def _derived(name: str) -> dict[str, Column]:
-    """Columns that are new or differ from the bronze column of the same name."""
-    if name == "order_items":
-        discount = F.coalesce("discount_amount", F.lit(0.0))
-        return {"discount_amount": discount,
-                "line_amount": F.col("quantity") * F.col("unit_price") - discount}
-    if name == "products":
-        return {"list_margin": F.col("price") - F.col("cogs")}
-    if name == "promotions":
-        return {"is_stackable": F.col("stackable_flag") == 1,
-                "duration_days": days_between(F.col("start_date"), F.col("end_date"))}
-    return {}
+# Columns that are new or differ from the bronze column of the same name, as SQL.
+_DISCOUNT = "coalesce(discount_amount, 0.0D)"
+DERIVED = {
+    "order_items": {"discount_amount": _DISCOUNT, "line_amount": f"quantity * unit_price - {_DISCOUNT}"},
+    "products": {"list_margin": "price - cogs"},
+    "promotions": {"is_stackable": "stackable_flag = 1", "duration_days": "cast(datediff(end_date, start_date) as bigint)"},
+}
 
 
 COLUMNS = {
@@ -33,9 +26,16 @@ COLUMNS = {
 }
 
 
+def _selected(name: str) -> list[str]:
+    derived = DERIVED.get(name, {})
+    return [f"{derived[column]} as {column}" if column in derived else column for column in COLUMNS.get(name, SPECS[name].names)]
+
+
 def silver(name: str, bronze: DataFrame) -> DataFrame:
     """Named columns of the valid rows; the other tables keep their source columns."""
-    derived = _derived(name)
-    wanted = COLUMNS.get(name, SPECS[name].names)
-    return bronze.filter(VALID).select(
-        *[derived[column].alias(column) if column in derived else F.col(column) for column in wanted])
+    return bronze.filter(VALID).selectExpr(*_selected(name))
+
+
+def silver_sql(name: str, bronze_table: str) -> str:
+    """The same as a query on a catalog table, for a view."""
+    return f"SELECT {', '.join(_selected(name))} FROM {bronze_table} WHERE {VALID}"

@@ -50,6 +50,28 @@ def choose_layout(rows: int, size_bytes: int, date_column: str | None = None, da
     return Layout()
 
 
+def measured_layout(spark: SparkSession, path: str, date_column: str | None = None,
+                    join_key: str | None = None) -> tuple[Layout, dict]:
+    """The layout that the written parquet folder at `path` calls for, and the figures it was chosen by.
+
+    Bytes are those of the files. Rows, months and the rows of the most frequent
+    key come from one scan of one column.
+    """
+    column = date_column or join_key
+    table = spark.read.parquet(path)
+    key = F.trunc(F.col(date_column), "month") if date_column else F.col(join_key) if join_key else F.lit(0)
+    counts = table.groupBy(key.alias("k")).agg(F.count("*").alias("n"))
+    row = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count_if(F.col("k").isNotNull()).alias("keys"),
+                     F.coalesce(F.max("n"), F.lit(0)).alias("hottest")).first()
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    figures = {"num_rows": row["rows"], "num_keys": row["keys"] if column else 0, "hottest_rows": row["hottest"] if column else 0,
+               "num_bytes": files.getContentSummary(folder).getLength()}
+    share = row["hottest"] / row["rows"] if row["rows"] else 0.0
+    return choose_layout(row["rows"], figures["num_bytes"], date_column, row["keys"] if date_column else 0, join_key,
+                         share), figures
+
+
 def create_namespace(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {name}")
 
@@ -69,8 +91,11 @@ def _laid_out(df: DataFrame, layout: Layout) -> DataFrame:
     return df
 
 
-def _writer(df: DataFrame, layout: Layout):
-    writer = _laid_out(df, layout).write.mode("overwrite").format("parquet")
+def _writer(df: DataFrame, layout: Layout, observe: tuple | None = None):
+    laid = _laid_out(df, layout)
+    if observe:  # above the exchange: there each row is counted once, also if executors are lost
+        laid = laid.observe(*observe)
+    writer = laid.write.mode("overwrite").format("parquet")
     if layout.kind in PARTITION_FORMATS:
         return writer.partitionBy(layout.partition)
     if layout.kind == "bucket":
@@ -78,17 +103,17 @@ def _writer(df: DataFrame, layout: Layout):
     return writer
 
 
-def write_folder(df: DataFrame, path: str, layout: Layout = Layout()) -> DataFrame:
+def write_folder(df: DataFrame, path: str, layout: Layout = Layout(), observe: tuple | None = None) -> DataFrame:
     """Replace a parquet folder and return it; a re-run gives the same rows.
 
-    The rows go to a new folder beside it, which takes its place once it is
+    `observe` is an Observation and the aggregates it takes of the rows written. The rows go to a new folder beside it, which takes its place once it is
     complete. A write that fails leaves the old folder as it was.
     """
     if layout.kind == "bucket":
         raise ValueError("buckets are kept in the catalog: use write_table")
     spark = df.sparkSession
     fresh = f"{path.rstrip('/')}.new-{uuid4().hex}"
-    _writer(df, layout).save(fresh)
+    _writer(df, layout, observe).save(fresh)
     _take_place(spark, fresh, path)
     return spark.read.parquet(path)
 
@@ -109,9 +134,10 @@ def _take_place(spark: SparkSession, fresh: str, path: str) -> None:
         files.delete(aside, True)
 
 
-def write_table(df: DataFrame, name: str, layout: Layout = Layout(), path: str | None = None) -> DataFrame:
+def write_table(df: DataFrame, name: str, layout: Layout = Layout(), path: str | None = None,
+                observe: tuple | None = None) -> DataFrame:
     """Replace a catalog table and return it."""
-    writer = _writer(df, layout)
+    writer = _writer(df, layout, observe)
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)

@@ -2,6 +2,7 @@
 
 from granary.plans import checks
 from granary.plans.lake import CALENDAR
+from granary.sources.specs import SPECS
 from oracle.views import TABLES, money, with_views
 
 Q: dict[str, str] = {}
@@ -47,6 +48,30 @@ select '{t}' as table_name, count(*) as total_rows, count(*) filter (where _inva
   count(*) filter (where _invalid_reason is not null) as invalid_rows,
   {"count(*) filter (where cogs > revenue)" if t == "sales_daily" else "cast(null as bigint)"} as margin_negative_rows
 from b_{t}""" for t in TABLES)
+Q["ingest_files"] = _each("""
+select '{t}' as table_name, count(*) as num_rows, count(*) as traced_rows, true as has_latest, true as is_read_after_write
+from b_{t}""", ("promotions", "sales_daily"))
+# At these sizes no table has the rows that months need, so bytes do not matter.
+
+
+def _measured_sql(table: str) -> str:
+    layout = SPECS[table].layout
+    key = {"month": f"date_trunc('month', {layout.column})", "year": f"date_trunc('month', {layout.column})",
+           "bucket": layout.column}.get(layout.kind)
+    if not key:
+        return f"select '{table}' as table_name, 'plain' as layout, count(*) as num_rows, 0 as num_keys, 0 as hottest_rows from b_{table}"
+    wanted = "'bucket'" if layout.kind == "bucket" else "'year'"
+    small = "or max(n) * 16 > sum(n)" if layout.kind == "bucket" else ""
+    return (f"select '{table}' as table_name, case when sum(n) < 40000 {small} then 'plain' else {wanted} end as layout, "
+            f"cast(sum(n) as bigint) as num_rows, count(k) as num_keys, max(n) as hottest_rows "
+            f"from (select {key} as k, count(*) as n from b_{table} group by 1) as per_key")
+
+
+Q["layout_measured"] = "\nunion all\n".join(map(_measured_sql, TABLES))
+Q["catalog_models"] = "\nunion all\n".join([
+    *[f"select 'bronze_{t}' as model, 'table' as kind, count(*) as num_rows from b_{t}" for t in checks.SOURCE_CHECKS],
+    *[f"select 'silver_{t}', 'view', count(*) from s_{t}" for t in checks.SOURCE_CHECKS],
+    "select 'dim_product', 'table', count(*) from d_product", "select 'gold_orders_daily', 'table', count(*) from g_orders_daily"])
 Q["layout_month"] = """
 select strftime(order_date, '%Y-%m') as month, count(*) as num_rows from b_orders
 where order_date between date '1997-03-15' and date '1997-06-10' group by 1"""
@@ -480,6 +505,14 @@ union all
 select 'orders', count(*) from orders_as_of
 union all
 select 'unknown member orders', count(*) from orders_as_of where is_unknown"""
+Q["dense_keys"] = """
+select measure, num_rows from (
+  select count(*) as members, 1 as least, count(*) as greatest, count(*) as distinct_keys,
+    count(*) filter (where signup_date < date '1996-01-01') as early, 0 as changed,
+    (select count(*) from s_orders where customer_id not in (select customer_id from s_customers)) as unknown
+  from s_customers) as c,
+lateral (values ('members', members), ('least key', least), ('greatest key', greatest), ('distinct keys', distinct_keys),
+  ('early members', early), ('greatest early key', early), ('changed keys', changed), ('unknown member orders', unknown)) as v(measure, num_rows)"""
 Q["scd_variants"] = """
 select customer_id, first(zip order by snapshot_date) as type0_zip, last(zip order by snapshot_date) as type1_zip,
   last(zip order by snapshot_date) as current_zip,
