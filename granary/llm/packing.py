@@ -21,12 +21,14 @@ from granary.llm.common import stored, whole_text
 from granary.llm.tokens import worker_encoder
 
 LIMIT = 2048
-PIECES = ("doc_id long, start long, length int, doc_tokens long, part int, at long, ids binary")
+PIECES = ("doc_id string, start long, length int, doc_tokens long, part int, at long, ids binary")
 
 
 def cut_documents(docs: DataFrame, vocabulary: str, end_id: int = 1, limit: int = LIMIT) -> DataFrame:
     """Pieces with their ids, stored; `at` counts the pieces of a length within an input partition."""
-    rows = docs.select("doc_id", whole_text().alias("text"), F.spark_partition_id().alias("part"))
+    # Ids pass Python as text: beside a null pandas would make them doubles.
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), whole_text().alias("text"),
+                       F.spark_partition_id().alias("part"))
 
     def pieces(batches):
         encoder, seen = worker_encoder(vocabulary), np.zeros(limit + 1, np.int64)
@@ -34,18 +36,26 @@ def cut_documents(docs: DataFrame, vocabulary: str, end_id: int = 1, limit: int
             for k in range(0, len(batch), 500):
                 some = batch.iloc[k:k + 500]
                 flat, sizes = encoder.encode(some["text"].tolist())
-                out, ends = [], np.cumsum(sizes)
-                for doc_id, a, b in zip(some["doc_id"].astype(object), ends - sizes, ends):
-                    ids = np.append(flat[a:b], np.uint32(end_id)).astype("<u4")
-                    for start in range(0, len(ids), limit):
-                        piece = ids[start:start + limit]
-                        out.append((None if pd.isna(doc_id) else int(doc_id), start, len(piece), len(ids),
-                                    int(some["part"].iloc[0]), int(seen[len(piece)]), piece.tobytes()))
-                        seen[len(piece)] += 1
-                columns = ["doc_id", "start", "length", "doc_tokens", "part", "at", "ids"]
-                yield pd.DataFrame(out, columns=columns).astype({"doc_id": "Int64"})
-
-    return stored(rows.mapInPandas(pieces, PIECES), "pieces")
+                full = sizes + 1  # with the end id
+                flat = np.insert(flat, np.cumsum(sizes), np.uint32(end_id)).astype("<u4")
+                number = -(-full // limit)
+                owner = np.repeat(np.arange(len(full)), number)
+                start = (np.arange(len(owner)) - np.repeat(np.cumsum(number) - number, number)) * limit
+                length = np.minimum(limit, full[owner] - start)
+                begin = (np.cumsum(full) - full)[owner] + start
+                # The rank of a piece among those of its length: in this lot, after those seen before.
+                order = np.argsort(length, kind="stable")
+                counts = np.bincount(length, minlength=limit + 1)
+                at = np.empty(len(length), np.int64)
+                at[order] = np.arange(len(length)) - np.repeat(np.cumsum(counts) - counts, counts)
+                at += seen[length]
+                seen += counts
+                yield pd.DataFrame({
+                    "doc_id": some["doc_id"].to_numpy()[owner], "start": start, "length": length.astype(np.int32),
+                    "doc_tokens": full[owner], "part": some["part"].to_numpy()[owner], "at": at,
+                    "ids": [flat[k:k + n].tobytes() for k, n in zip(begin.tolist(), length.tolist())]})
+
+    return stored(rows.mapInPandas(pieces, PIECES).withColumn("doc_id", F.col("doc_id").cast("long")), "pieces")
 
 
 def shortest_pack_first(histogram: dict[int, int], limit: int = LIMIT) -> list[tuple[int, tuple[int, ...]]]:
