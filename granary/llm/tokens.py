@@ -14,13 +14,29 @@ import os
 import re
 import sys
 import types
+from codecs import charmap_decode
+from itertools import chain
 
 import numpy as np
 
-REMEMBERED = 400_000
-NEWLINE_PIECE = 198
+REMEMBERED = 300_000
+MARKS = ".,;:!?"
+NEWER = "\u0250"  # from here on what is a letter depends on the version of Unicode
 _CUT = re.compile(r"(?<=\S)(?= \S)")
-_ODD = re.compile(r"\s\s|[^\S \n]|\x00|<\|")
+_RARE = re.compile(r"[\x00\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_PAIRS = ("  ", "\n\n", " \n", "\n ", "<|")
+
+
+def is_odd(text: str) -> bool:
+    """Whether a text holds white space other than single blanks and newlines, a NUL, or what may be a special token."""
+    return any(pair in text for pair in _PAIRS) or _RARE.search(text) is not None
+
+
+def byte_letters() -> str:
+    """For each byte the letter that stands for it in a byte-level vocabulary: printable ones themselves, the rest from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in plain]
+    return "".join(chr(b) if b in plain else chr(256 + rest.index(b)) for b in range(256))
 
 
 class _Pieces(dict):
@@ -36,6 +52,12 @@ class _Pieces(dict):
         return number
 
 
+def _spread(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places first, first + 1, ... of each stretch, one after another."""
+    ends = np.cumsum(size)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(first - (ends - size), size)
+
+
 class Encoder:
     """Encodes texts with the vocabulary file at `path`."""
 
@@ -45,9 +67,18 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self._empty()
-
-    def _empty(self) -> None:
+        form = str(self.tokenizer.pre_tokenizer)
+        self.byte_level = (form.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in form
+                           and self.tokenizer.normalizer is None)
+        self.letters, self.marks = byte_letters(), {}
+        self.tokenize = self.tokenizer.model.tokenize
+        self._begin()
+        self._begin()
+
+    def _begin(self) -> None:
+        """Set the memory aside as the old one and begin a new one."""
+        if hasattr(self, "pieces"):
+            self.old = (self.pieces, self.ids[:self.used].copy(), self.starts[:self.known + 1].copy())
         self.pieces = _Pieces()
         self.ids = np.empty(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 14, np.int64)
@@ -56,27 +87,58 @@ class Encoder:
     def _plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self) -> None:
-        """Ask for the ids of the new pieces: many at once, a newline between two.
+    def _word(self, stem: str, blank: bool) -> list[int]:
+        """The ids of letters, after a blank or not: one pre-token, which the library's model alone can take."""
+        letters = stem if stem.isascii() else charmap_decode(stem.encode(), "strict", self.letters)[0]
+        return [token.id for token in self.tokenize("\u0120" + letters if blank else letters)]
+
+    def _ask(self, new: list[str]) -> list[list[int]]:
+        """The ids of each of the pieces.
 
-        A lone newline is a pre-token of its own, so it parts their ids again.
+        Letters, and the punctuation after them, are pre-tokens, so such pieces
+        need no more than the model; the others go through the whole library.
         """
+        found: list[list[int] | None] = []
+        others, stems = [], {}
+        for piece in new:
+            blank = piece[0] != "\x00"
+            word = piece if blank else piece[1:]
+            stem = word.rstrip(MARKS)
+            if self.byte_level and stem.isalpha() and (stem.isascii() or max(stem) < NEWER):
+                key = stem if blank else "\x00" + stem
+                ids = stems.get(key)
+                if ids is None:
+                    ids = stems[key] = self._word(stem, blank)
+                if len(stem) < len(word):
+                    marks = word[len(stem):]
+                    if marks not in self.marks:
+                        self.marks[marks] = self._plain([marks])[0]
+                    ids = ids + self.marks[marks]
+                found.append(ids)
+            else:
+                found.append(None)
+                others.append(" " + word if blank else word)
+        if others:
+            rest = iter(self._plain(others))
+            found = [next(rest) if ids is None else ids for ids in found]
+        return found
+
+    def _learn(self) -> None:
+        """Take the new pieces from the old memory or from the library."""
         new, self.pieces.new = self.pieces.new, []
         if not new:
             return
-        forms = [p[1:] if p[0] == "\x00" else " " + p for p in new]
-        easy = [f for f in forms if "\n" not in f]
-        if len(easy) < len(forms) or _ODD.search("".join(easy).replace(" ", "")):
-            found = [np.array(ids, np.uint32) for ids in self._plain(forms)]
-            flat, sizes = np.concatenate(found), np.array([len(x) for x in found])
-        else:
-            lots = ["\n".join([*forms[k:k + 4096], ""]) for k in range(0, len(forms), 4096)]
-            flat = np.concatenate([np.array(ids, np.uint32) for ids in self._plain(lots)])
-            gaps = np.flatnonzero(flat == NEWLINE_PIECE)
-            sizes = np.diff(gaps, prepend=-1) - 1
-            flat = np.delete(flat, gaps)
-            if len(sizes) != len(new):
-                raise AssertionError("a newline was merged into a piece")
+        pieces, ids, starts = self.old
+        before = np.fromiter((dict.get(pieces, p, -1) for p in new), np.int64, len(new))
+        unknown = before < 0
+        answers = self._ask([p for p, k in zip(new, unknown.tolist()) if k])
+        asked = np.fromiter(chain.from_iterable(answers), np.uint32)
+        asked_sizes = np.fromiter(map(len, answers), np.int64, len(answers))
+        first, sizes = np.empty(len(new), np.int64), np.empty(len(new), np.int64)
+        first[unknown], sizes[unknown] = len(ids) + np.cumsum(asked_sizes) - asked_sizes, asked_sizes
+        first[~unknown] = starts[before[~unknown]]
+        sizes[~unknown] = starts[before[~unknown] + 1] - first[~unknown]
+        flat = np.concatenate([ids, asked])[_spread(first, sizes)]
         ends = self.used + np.cumsum(sizes)
         while self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
@@ -89,7 +151,7 @@ class Encoder:
     def _cut(self, text: str) -> list[str]:
         if not text:
             return []
-        if _ODD.search(text) or text[0] in " \n" or text[-1] in " \n":
+        if is_odd(text) or text[0] in " \n" or text[-1] in " \n":
             if "<|" in text:
                 return ["\x00" + text]
             return [p[1:] if k and p[0] == " " and p[1] != "\x00" else "\x00" + p for k, p in enumerate(_CUT.split(text))]
@@ -104,12 +166,10 @@ class Encoder:
         self._learn()
         first = self.starts[numbers]
         size = self.starts[numbers + 1] - first
-        ends = np.cumsum(size)
-        total = int(ends[-1]) if len(ends) else 0
-        flat = self.ids[np.arange(total) + np.repeat(first - (ends - size), size)]
-        bounds = np.concatenate([[0], ends])[np.cumsum([0, *map(len, cut)])]
+        flat = self.ids[_spread(first, size)]
+        bounds = np.concatenate([[0], np.cumsum(size)])[np.cumsum([0, *map(len, cut)])]
         if len(self.pieces) > REMEMBERED:
-            self._empty()
+            self._begin()
         return flat, np.diff(bounds)
 
 
