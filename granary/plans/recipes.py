@@ -244,10 +244,9 @@ def loss_days(sales: DataFrame) -> DataFrame:
 
 def reconcile_daily_orders(by_orders: DataFrame, by_items: DataFrame) -> DataFrame:
     """Days on which two gold tables count different numbers of orders."""
-    left = by_orders.select("order_date", F.col("num_orders").alias("from_orders"))
-    right = by_items.select("order_date", F.col("num_orders").alias("from_items"))
-    return (left.join(right, "order_date", "left")
-            .filter(F.col("from_orders") != F.coalesce("from_items", F.lit(-1))))
+    sold = by_items.select("order_date", F.col("num_orders").alias("orders_sold"))
+    placed = by_orders.select("order_date", F.col("num_orders").alias("orders_placed"))
+    return placed.join(sold, "order_date", "left").filter(~F.col("orders_placed").eqNullSafe(F.col("orders_sold")))
 
 
 def reconcile_two_sources(sales: DataFrame, revenue_daily: DataFrame) -> DataFrame:

@@ -342,9 +342,9 @@ select (select count(*) from s_order_items) as num_lines,
 Q["top_days"] = "select * from g_orders_daily order by order_date limit 20"
 Q["newest_days"] = "select * from g_revenue_daily order by order_date desc limit 20"
 Q["reconcile_daily_orders"] = """
-select d.order_date, d.num_orders as from_orders, r.num_orders as from_items
-from g_orders_daily d left join g_revenue_daily r on d.order_date = r.order_date
-where d.num_orders <> coalesce(r.num_orders, -1)"""
+select order_date, placed.num_orders as orders_placed, sold.num_orders as orders_sold
+from g_orders_daily as placed left join g_revenue_daily as sold using (order_date)
+where placed.num_orders is distinct from sold.num_orders"""
 Q["reconcile_two_sources"] = f"""
 select coalesce(s.sale_date, r.order_date) as order_date, cast(s.given as double) as source_revenue,
   r.revenue as line_revenue, cast(s.given - cast(r.revenue as decimal(18,4)) as double) as gap,
