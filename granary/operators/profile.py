@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions.money import ratio
-from granary.operators.joins import orphan_count, skew_join
+from granary.operators.joins import skew_join
+from granary.operators.quality import count_failing, related
 
 
 def _all(parts: list[DataFrame]) -> DataFrame:
@@ -16,13 +17,17 @@ def _all(parts: list[DataFrame]) -> DataFrame:
 
 
 def fk_orphans(edges: list[tuple[str, DataFrame, str, str, DataFrame, str]]) -> DataFrame:
-    """Per edge (child name, child, column, parent name, parent, column): child rows without a parent."""
-    return _all([
-        orphan_count(child, child_key, parent, parent_key).select(
-            F.lit(child_name).alias("child"), F.lit(child_key).alias("child_column"),
-            F.lit(parent_name).alias("parent"), "orphan_rows")
-        for child_name, child, child_key, parent_name, parent, parent_key in edges
-    ])
+    """Per edge (child name, child, column, parent name, parent, column): child rows without a parent.
+
+    One name stands for one frame, which is read once, however many edges it has.
+    """
+    frames = {name: df for edge in edges for name, df in ((edge[0], edge[1]), (edge[3], edge[4]))}
+    counted = count_failing(frames, [(child, related(child_key, parent, parent_key))
+                                     for child, _, child_key, parent, _, parent_key in edges])
+    names = counted.sparkSession.createDataFrame(
+        [(k, edge[0], edge[2], edge[3]) for k, edge in enumerate(edges)],
+        "number int, child string, child_column string, parent string")
+    return names.join(counted, "number").select("child", "child_column", "parent", F.col("failing_rows").alias("orphan_rows"))
 
 
 def rows_per_key(parent: DataFrame, children: dict[str, DataFrame], key: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Data checks. A check looks for offending rows; no offender means it passes.
 
-NULL offends `not_null` only. Row-by-row checks of one frame share one pass.
+NULL offends `not_null` only. All checks that run together share one read of each frame.
 """
 
 from collections.abc import Sequence
@@ -99,29 +99,73 @@ def _result(counted: DataFrame, model: str, column: str, kind: str, failing: str
     )
 
 
-def _row_checks(df: DataFrame, model: str, checks: list[Check]) -> DataFrame:
-    counts = df.agg(*[F.count_if(offends(check)).alias(f"n{i}") for i, check in enumerate(checks)])
-    entries = [F.struct(F.lit(check.column).alias("column_name"), F.lit(check.kind).alias("check_name"),
-                        F.col(f"n{i}").alias("failing_rows")) for i, check in enumerate(checks)]
-    return counts.select(F.explode(F.array(*entries)).alias("e")).select(
-        F.lit(model).alias("model"), "e.column_name", "e.check_name", "e.failing_rows",
-        F.when(F.col("e.failing_rows") == 0, "pass").otherwise("fail").alias("status"))
+def count_failing(frames: dict[str, DataFrame], declared: list[tuple[str, Check]]) -> DataFrame:
+    """(number, failing_rows) of each (frame, check), numbered as listed; every frame is read once.
 
+    A frame gives one tagged value per check that a row takes part in: a key that
+    has to be unique or that others refer to, a reference to such a key, and, for
+    row-by-row checks, only the offenders, without a value. All tagged values are
+    counted by key space and value, with partial sums in each task, so a hot key is
+    one row per task. Keys are compared as text.
+    """
+    spaces: dict[tuple, int] = {}
+    members: dict[int, int] = {}
+    entries: dict[str, list[Column]] = {}
+    places = []
 
-def run_checks(model: str, df: DataFrame, checks: list[Check], parents: dict[str, DataFrame]) -> DataFrame:
-    """One result row per check: offending rows, or offending values for `unique`."""
-    parts = []
-    by_row = [check for check in checks if check.kind not in ("unique", "relationships")]
-    if by_row:
-        parts.append(_row_checks(df, model, by_row))
-    for check in checks:
+    def emit(frame: str, space: int, slot: int | None, value: Column, wanted: Column) -> None:
+        entry = F.struct(F.lit(space).alias("space"), F.lit(slot).cast("int").alias("slot"), value.alias("value"))
+        entries.setdefault(frame, []).append(F.when(wanted, entry))
+
+    def key_space(frame: str, column: str) -> int:
+        if (frame, column) not in spaces:
+            spaces[frame, column] = len(spaces)
+            emit(frame, spaces[frame, column], None, F.col(column).cast("string"), F.col(column).isNotNull())
+        return spaces[frame, column]
+
+    for number, (frame, check) in enumerate(declared):
         if check.kind == "unique":
-            found = duplicates(df, [check.column]).agg(F.count("*").alias("n"))
-            parts.append(_result(found, model, check.column, check.kind, "n"))
-        elif check.kind == "relationships":
-            found = orphan_count(df, check.column, parents[check.parent], check.parent_column)
-            parts.append(_result(found, model, check.column, check.kind, "orphan_rows"))
-    return reduce(DataFrame.unionByName, parts)
+            places.append((number, key_space(frame, check.column), None))
+            continue
+        if check.kind == "relationships":
+            space = key_space(check.parent, check.parent_column)
+            value, wanted = F.col(check.column).cast("string"), F.col(check.column).isNotNull()
+        else:
+            space = spaces[number] = len(spaces)
+            value, wanted = F.lit(None).cast("string"), offends(check)
+        slot = members[space] = members.get(space, -1) + 1
+        emit(frame, space, slot, value, wanted)
+        places.append((number, space, slot))
+    tagged = [frames[name].select(F.inline(F.array_compact(F.array(*found)))) for name, found in entries.items()]
+    slots = range(max(members.values(), default=-1) + 1)
+    per_value = reduce(DataFrame.unionByName, tagged).groupBy("space", "value").agg(
+        F.count_if(F.col("slot").isNull()).alias("owners"),
+        *[F.count_if(F.col("slot") == k).alias(f"n{k}") for k in slots])
+    lost = [F.struct(F.lit(k).alias("slot"), F.sum(F.when(F.col("owners") == 0, F.col(f"n{k}"))).alias("n")) for k in slots]
+    repeated = F.struct(F.lit(None).cast("int").alias("slot"), F.count_if(F.col("owners") > 1).alias("n"))
+    found = per_value.groupBy("space").agg(F.array(repeated, *lost).alias("found")).select("space", F.inline("found"))
+    listed = found.sparkSession.createDataFrame(places, "number int, _space int, _slot int")
+    return listed.join(found, (F.col("space") == F.col("_space")) & F.col("slot").eqNullSafe(F.col("_slot")), "left").select(
+        "number", F.coalesce("n", F.lit(0)).cast("bigint").alias("failing_rows"))
+
+
+def run_all(frames: dict[str, DataFrame], checks: dict[str, list[Check]]) -> DataFrame:
+    """One result row per check of each frame, with one read of every frame.
+
+    A row counts offending rows, for `unique` offending values.
+    """
+    declared = [(name, check) for name, some in checks.items() for check in some]
+    names = [(k, name, check.column, check.kind) for k, (name, check) in enumerate(declared)]
+    counted = count_failing(frames, declared)
+    listed = counted.sparkSession.createDataFrame(names, "number int, model string, column_name string, check_name string")
+    return listed.join(counted, "number").select(
+        "model", "column_name", "check_name", "failing_rows",
+        F.when(F.col("failing_rows") == 0, "pass").otherwise("fail").alias("status"))
+
+
+def run_checks(model: str, df: DataFrame, checks: list[Check], parents: dict[str, DataFrame]) -> DataFrame:
+    """The results of one frame's checks; `parents` are the frames that its relationships name."""
+    return run_all({**parents, model: df}, {model: checks})
 
 
 def check_grain(model: str, fact: DataFrame, base: DataFrame) -> DataFrame:

@@ -231,19 +231,20 @@ def bus_matrix(facts: dict[str, tuple[DataFrame, dict[str, str]]],
 
 # --- customers over time ------------------------------------------------------------------
 
-def customer_snapshots(customers: DataFrame, moves: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Dated snapshots: the customers known by then, with the changes of `moves` applied.
+def customer_snapshots(customers: DataFrame, orders: DataFrame, days: tuple[str, ...]) -> DataFrame:
+    """One row per day and customer known by then: the address is where the latest order by that day went.
 
-    `moves` maps a date to a frame (customer_id, zip) of new addresses.
+    Customers and orders are read once for all days; the latest address of each
+    day is one aggregate of the same grouping.
     """
-    snapshots = {}
-    for day, moved in moves.items():
-        known = customers.filter(F.col("signup_date") <= F.lit(day).cast("date"))
-        new_zip = moved.select("customer_id", F.col("zip").alias("new_zip"))
-        snapshots[day] = (known.join(new_zip, "customer_id", "left")
-                          .withColumn("zip", F.coalesce("new_zip", "zip"))
-                          .select("customer_id", "zip", "acquisition_channel"))
-    return snapshots
+    dates = [F.lit(day).cast("date") for day in days]
+    latest = [F.max_by("zip", F.when(F.col("order_date") <= day, F.struct("order_date", "order_id"))) for day in dates]
+    moved = orders.groupBy("customer_id").agg(F.array(*latest).alias("_zips"))
+    both = customers.select("customer_id", "zip", "acquisition_channel", "signup_date").join(moved, "customer_id", "left")
+    per_day = [F.when(F.col("signup_date") <= day, F.struct(
+        day.alias("snapshot_date"), F.coalesce(F.col("_zips")[k], F.col("zip")).alias("zip"))) for k, day in enumerate(dates)]
+    return both.select("customer_id", "acquisition_channel", F.inline(F.array_compact(F.array(*per_day)))).select(
+        "customer_id", "zip", "acquisition_channel", "snapshot_date")
 
 
 def orders_as_of(orders: DataFrame, history: DataFrame) -> DataFrame:

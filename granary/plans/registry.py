@@ -263,10 +263,8 @@ def staleness_check(lake):
 # --- data checks ----------------------------------------------------------------------------
 
 def _source_checks(lake: Lake, kind: str) -> DataFrame:
-    return _union([
-        quality.run_checks(name, lake.bronze(name), chosen, {})
-        for name, declared in checks.SOURCE_CHECKS.items()
-        if (chosen := [check for check in declared if check.kind == kind])])
+    declared = {name: [check for check in some if check.kind == kind] for name, some in checks.SOURCE_CHECKS.items()}
+    return quality.run_all({name: lake.bronze(name) for name in declared}, declared)
 
 
 @query
@@ -310,12 +308,10 @@ def quality_suite(lake):
             ("dim_promotion", lake.dim_promotion), ("fact_order_items", lake.fact),
             ("gold_orders_daily", lake.orders_daily), ("gold_revenue_daily", lake.revenue_daily))
     }
-    results = [quality.run_checks(name, lake.bronze(name), declared, {})
-               for name, declared in checks.SOURCE_CHECKS.items()]
-    results += [quality.run_checks(name, models[name], declared, models)
-                for name, declared in checks.model_checks(lake.calendar).items()]
+    models |= {name: lake.bronze(name) for name in checks.SOURCE_CHECKS}
+    results = quality.run_all(models, checks.SOURCE_CHECKS | checks.model_checks(lake.calendar))
     fact, base = checks.GRAIN_CHECK
-    return _union([*results, quality.check_grain(fact, models[fact], models[base])])
+    return results.unionByName(quality.check_grain(fact, models[fact], models[base]))
 
 
 @query
@@ -748,33 +744,27 @@ def fact_orders_advanced(lake):
 
 # --- customers over time --------------------------------------------------------------------
 
-def _snapshots(lake: Lake) -> dict[str, DataFrame]:
-    """A customer's address at a date is where the latest order by then went."""
-    orders = lake.silver("orders")
-    moves = {day: orders.filter(F.col("order_date") <= F.lit(day).cast("date"))
-             .groupBy("customer_id").agg(F.max_by("zip", F.struct("order_date", "order_id")).alias("zip"))
-             for day in SNAPSHOT_DAYS}
-    return facts.customer_snapshots(lake.silver("customers"), moves)
+def _snapshots(lake: Lake) -> DataFrame:
+    return facts.customer_snapshots(lake.silver("customers"), lake.silver("orders"), SNAPSHOT_DAYS)
 
 
 def _history(lake: Lake) -> DataFrame:
-    stacked = history.stack_snapshots(_snapshots(lake))
-    return lake.stored(history.scd2(stacked, "customer_id", TRACKED), "customer-history")
+    return lake.stored(history.scd2(_snapshots(lake), "customer_id", TRACKED), "customer-history")
 
 
 @query
 def scd2_customers(lake):
-    return history.scd2(history.stack_snapshots(_snapshots(lake)), "customer_id", TRACKED)
+    return history.scd2(_snapshots(lake), "customer_id", TRACKED)
 
 
 @query
 def scd2_incremental(lake):
     """The same history, one snapshot at a time; each step is stored like a nightly run."""
-    days = list(_snapshots(lake).items())
-    first_day, first = days[0]
-    versions = history.scd2(history.stack_snapshots({first_day: first}), "customer_id", TRACKED)
-    for day, snapshot in days[1:]:
-        versions = history.scd2_advance(lake.stored(versions, "history-step"), snapshot, day,
+    stacked = lake.stored(_snapshots(lake), "snapshots")
+    days = {day: stacked.filter(F.col("snapshot_date") == F.lit(day).cast("date")) for day in SNAPSHOT_DAYS}
+    versions = history.scd2(days.pop(SNAPSHOT_DAYS[0]), "customer_id", TRACKED)
+    for day, snapshot in days.items():
+        versions = history.scd2_advance(lake.stored(versions, "history-step"), snapshot.drop("snapshot_date"), day,
                                         "customer_id", TRACKED)
     return versions
 
@@ -815,7 +805,7 @@ def dense_keys(lake):
 @query
 def scd_variants(lake):
     """Type 0, 1 and 3 of the address side by side."""
-    stacked = lake.stored(history.stack_snapshots(_snapshots(lake)), "snapshots")
+    stacked = lake.stored(_snapshots(lake), "snapshots")
     first = history.as_first_seen(stacked, "customer_id", "zip").withColumnRenamed("zip", "type0_zip")
     last = history.as_last_seen(stacked, "customer_id", "zip").withColumnRenamed("zip", "type1_zip")
     third = history.with_previous(history.scd2(stacked, "customer_id", ["zip"]), "customer_id", "zip")

@@ -112,3 +112,26 @@ def test_unexpected_values(spark):
     assert [tuple(row) for row in q.unexpected_values(df, q.accepted("s", ("a",))).collect()] == [("x", 2)]
     assert q.offenders(df, q.not_null("s")).count() == 1
     assert q.duplicates(df, ["s"]).select(F.col("s")).first().s == "x"
+
+
+def test_many_frames_in_one_pass(spark):
+    """Hot keys, nulls, an empty frame and a parent that is also checked, against counting by hand."""
+    parent = spark.createDataFrame([(1,), (2,), (2,), (None,)], "id int")
+    child = spark.createDataFrame([(1, "x")] * 50 + [(9, "y")] * 7 + [(None, None)], "a int, b string")
+    none = child.limit(0)
+    found = q.run_all({"p": parent, "c": child, "e": none}, {
+        "p": [q.unique("id"), q.not_null("id")],
+        "c": [q.related("a", "p", "id"), q.accepted("b", ("x",)), q.unique("a"), q.in_range("a", low=1, high=8)],
+        "e": [q.related("a", "p", "id"), q.unique("a"), q.not_null("b")]})
+    assert {(r.model, r.check_name): r.failing_rows for r in found.collect()} == {
+        ("p", "unique"): 1, ("p", "not_null"): 1,
+        ("c", "relationships"): 7, ("c", "accepted_values"): 7, ("c", "unique"): 2, ("c", "accepted_range"): 7,
+        ("e", "relationships"): 0, ("e", "unique"): 0, ("e", "not_null"): 0}
+
+
+@pytest.mark.parametrize("name, most", [("fk_orphans", 16), ("scd2_customers", 3), ("test_unique", 8)])
+def test_reads_each_table_once(lake, name, most):
+    from granary.plans.registry import QUERIES
+
+    plan = QUERIES[name](lake)._jdf.queryExecution().sparkPlan().toString()
+    assert 0 < plan.count("FileScan") <= most
