@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from granary.functions.calendar import day_spine
 from granary.operators import history, keys, profile, quality
 from granary.operators.flagging import REASON, reason_histogram, valid_counts
-from granary.plans import build, checks, facts, pipeline, recipes, refresh
+from granary.plans import admission, build, checks, facts, pipeline, recipes, refresh
 from granary.plans import gold
 from granary.plans.gold import dim_promotion
 from granary.plans.lake import Lake
@@ -329,6 +329,26 @@ def gated_checks(lake):
     return found
 
 
+@query
+def admission_report(lake):
+    """Per source table: rows admitted to the build, and rows in quarantine by reason."""
+    bronze = {name: lake.bronze(name) for name in checks.SOURCE_CHECKS}
+    return _union([df.groupBy(F.coalesce(admission.REFUSED, F.lit("admitted")).alias("outcome"))
+                   .agg(F.count("*").alias("num_rows")).select(F.lit(name).alias("table_name"), "*")
+                   for name, df in admission.mark(bronze, lake.stored).items()])
+
+
+@query
+def gated_build_admitted(lake):
+    """The gated build on admitted rows only: the gate lets everything through to the fact and the daily tables."""
+    bronze = {name: lake.bronze(name) for name in checks.SOURCE_CHECKS}
+    kept = {name: admission.admitted(df) for name, df in admission.mark(bronze, lake.stored).items()}
+    report, _, frames = build.build(lake.spark, kept, lake.calendar, lake.stored)
+    sizes = _union([frames[model.name].agg(F.count("*").alias("num_rows")).select(F.lit(model.name).alias("model"), "*")
+                    for model in build.MODELS if model.is_table and model.name in frames and model.name != "dim_date"])
+    return report.join(sizes, "model", "left")
+
+
 # --- reports on bronze ----------------------------------------------------------------------
 
 @query

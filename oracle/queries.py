@@ -3,7 +3,7 @@
 from granary.plans import checks
 from granary.plans.lake import CALENDAR
 from granary.sources.specs import SPECS
-from oracle.views import TABLES, money, with_views
+from oracle.views import MARKED, TABLES, money, on_admitted, with_views
 
 Q: dict[str, str] = {}
 MODEL_CHECKS = checks.model_checks(CALENDAR)
@@ -528,6 +528,9 @@ Q["scd4_tables"] = """
 select case when is_current then 'current' else 'history' end as table_name, acquisition_channel, count(*) as num_rows
 from customer_history group by 1, 2"""
 
+Q["admission_report"] = _each(
+    "select '{t}' as table_name, coalesce(refused, 'admitted') as outcome, count(*) as num_rows from m_{t} group by 2", MARKED)
+
 # --- the gated build: a model is skipped if anything before it failed -------------------------------
 
 _INPUTS = {
@@ -554,7 +557,7 @@ def _blockers(model: str) -> set[str]:
     return found
 
 
-def _gate_sql() -> str:
+def _gate_sql(suite: str) -> str:
     """The suite as the gate sees it: a check that cannot run is skipped."""
     rows = []
     for model in _INPUTS:
@@ -564,7 +567,7 @@ def _gate_sql() -> str:
     grain = checks.GRAIN_CHECK[0]
     rows += [(grain, "*", "grain", name) for name in sorted(_blockers(grain))]
     values = ", ".join(str(row) for row in sorted(set(rows)))
-    return f"""with suite as ({_suite}), failed as (select distinct model from suite where status = 'fail'),
+    return f"""with suite as ({suite}), failed as (select distinct model from suite where status = 'fail'),
 blockers(model, column_name, check_name, blocker) as (values {values}),
 gate as (select s.model, s.column_name, s.check_name, case when b.n is null then s.failing_rows end as failing_rows,
   case when b.n is null then s.status else 'skipped' end as status
@@ -591,6 +594,13 @@ def _gated_sql() -> str:
 
 
 ORACLES = {name: with_views(text) for name, text in Q.items()}
-_suite = with_views(Q["quality_suite"])
-ORACLES["gated_build"] = _gate_sql() + _gated_sql()
-ORACLES["gated_checks"] = _gate_sql() + "select * from gate"
+_gate = _gate_sql(with_views(Q["quality_suite"]))
+ORACLES["gated_build"] = _gate + _gated_sql()
+ORACLES["gated_checks"] = _gate + "select * from gate"
+_counts = "\nunion all\n".join(f"select '{model}' as model, count(*) as num_rows from {view}" for model, view in (
+    ("dim_customer", "d_customer"), ("dim_product", "d_product"), ("dim_promotion", "d_promotion"),
+    ("fact_order_items", "fact"), ("gold_orders_daily", "g_orders_daily"),
+    ("gold_revenue_daily", "g_revenue_daily")))
+ORACLES["gated_build_admitted"] = (
+    f"with report as ({_gate_sql(on_admitted(Q['quality_suite']))}{_gated_sql()}), sizes as ({on_admitted(_counts)}) "
+    "select r.*, s.num_rows from report r left join sizes s on s.model = r.model and r.status <> 'skipped'")

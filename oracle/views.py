@@ -317,17 +317,49 @@ from s_order_items where promo_id_2 is not null"""
 _WORD = re.compile(r"[a-z_][a-z_0-9]*")
 
 
-def with_views(query: str) -> str:
+# --- admission: rows that no rule names, with what models require and whose references are admitted
+
+_IN = "{c} is not null and {c} not in (select {k} from m_{t} where refused is null)"
+
+
+def _marked(table: str, *cases: tuple[str, str]) -> str:
+    texts = " ".join(f"when {condition} then '{reason}'" for condition, reason in cases)
+    first = f"coalesce(_invalid_reason, case {texts} end)" if texts else "_invalid_reason"
+    return f"select *, {first} as refused from b_{table}"
+
+
+VIEWS["m_geography"] = _marked("geography", ("region is null", "region_missing"))
+VIEWS["m_products"] = _marked("products")
+VIEWS["m_promotions"] = _marked("promotions")
+VIEWS["m_customers"] = _marked("customers", (_IN.format(c="zip", k="zip", t="geography"), "zip_unknown"))
+VIEWS["m_orders"] = _marked("orders", (_IN.format(c="customer_id", k="customer_id", t="customers"), "customer_id_unknown"))
+VIEWS["m_order_items"] = _marked(
+    "order_items", *[(_IN.format(c=key, k=key, t=table), f"{key}_unknown")
+                     for key, table in (("order_id", "orders"), ("product_id", "products"), ("promo_id", "promotions"))])
+MARKED = ("geography", "products", "promotions", "customers", "orders", "order_items")
+
+
+def on_admitted(query: str) -> str:
+    """The query with its views, where the source tables hold admitted rows only."""
+    views = dict(VIEWS)
+    for name in MARKED:
+        views[f"all_{name}"] = VIEWS[f"b_{name}"]
+        views[f"m_{name}"] = VIEWS[f"m_{name}"].replace(f"from b_{name}", f"from all_{name}")
+        views[f"b_{name}"] = f"select * exclude (refused) from m_{name} where refused is null"
+    return with_views(query, views)
+
+
+def with_views(query: str, views: dict[str, str] = VIEWS) -> str:
     """Prefix the views that the query needs, each after the ones it reads."""
     ordered: list[str] = []
 
     def need(text: str) -> None:
         for word in _WORD.findall(text):
-            if word in VIEWS and word not in ordered and VIEWS[word] is not text:
-                need(VIEWS[word])
+            if word in views and word not in ordered and views[word] is not text:
+                need(views[word])
                 if word not in ordered:
                     ordered.append(word)
 
     need(query)
-    ctes = ",\n".join(f"{name} as ({VIEWS[name]})" for name in ordered)
+    ctes = ",\n".join(f"{name} as ({views[name]})" for name in ordered)
     return f"with {ctes}\n{query}" if ordered else query
