@@ -108,7 +108,7 @@ def pivotal_round(units: DataFrame, block: int = BLOCK) -> DataFrame:
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, block: int = BLOCK) -> DataFrame:
     """doc_id, source, size, source_size, target and `copies`, the times the mix takes the document."""
-    sized = docs.select("doc_id", "source", word_count(whole_text()).alias("size"))
+    sized = stored(docs.select("doc_id", "source", word_count(whole_text()).alias("size")), "sizes")
     targets = source_targets(sized, weights, share, most)
     wanted = F.coalesce(F.try_divide("target", F.col("source_size")), F.lit(0.0))
     facts = targets.select(F.col("source").alias("_source"), "s", "n_docs", "source_size", "target",
