@@ -3,7 +3,8 @@
 A blank between two other characters always begins a new pre-token, so a text
 may be cut there and its pieces encoded apart. Pieces repeat, so each worker
 remembers the ids of up to `REMEMBERED` pieces and asks the library for new
-ones only; a full memory is emptied. The ids equal those of the whole text.
+ones only, many at a time; a full memory becomes the old one, from which pieces
+in use return. The ids equal those of the whole text.
 
 A piece is remembered without the blank it begins with; a NUL in front says
 that the rest stands as it is. A word that itself begins with NUL keeps its
@@ -15,15 +16,17 @@ import re
 import sys
 import types
 from codecs import charmap_decode
-from itertools import chain
+from itertools import chain, compress
+from operator import attrgetter
 
 import numpy as np
 
 REMEMBERED = 300_000
-MARKS = ".,;:!?"
-NEWER = "\u0250"  # from here on what is a letter depends on the version of Unicode
+JOINED = 50
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 _RARE = re.compile(r"[\x00\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_SPACE = re.compile(r"[\s\x00\x1c-\x1f\x85]|<\|")
+_LETTERS = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+[.,;:!?]*")
 _PAIRS = ("  ", "\n\n", " \n", "\n ", "<|")
 
 
@@ -70,8 +73,17 @@ class Encoder:
         form = str(self.tokenizer.pre_tokenizer)
         self.byte_level = (form.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in form
                            and self.tokenizer.normalizer is None)
-        self.letters, self.marks = byte_letters(), {}
-        self.tokenize = self.tokenizer.model.tokenize
+        self.newline = self.tokenizer.token_to_id("\u010a")
+        self.byte_level = self.byte_level and self.newline is not None
+        known = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.blank_first = np.zeros(max(known.values()) + 1, bool)
+        self.blank_first[[k for token, k in known.items() if token[0] == "\u0120"]] = True
+        self.letters, self.tokenize = byte_letters(), self.tokenizer.model.tokenize
+        # Whether the model alone keeps words and marks apart: of the bytes that `_LETTERS` lets through, no id holds
+        # a blank after, or a mark beside, something else.
+        word = re.escape("".join(self.letters[b] for b in (*range(0x80, 0xC0), *range(0xC3, 0xCA)))) + "A-Za-z"
+        across = re.compile(rf"[{word}.,;:!?\u0120]*(?:[{word}.,;:!?\u0120]\u0120|[{word}][.,;:!?]|[.,;:!?][{word}])[{word}.,;:!?\u0120]*")
+        self.separate = self.byte_level and not any(map(across.fullmatch, known))
         self._begin()
         self._begin()
 
@@ -87,41 +99,56 @@ class Encoder:
     def _plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _word(self, stem: str, blank: bool) -> list[int]:
-        """The ids of letters, after a blank or not: one pre-token, which the library's model alone can take."""
-        letters = stem if stem.isascii() else charmap_decode(stem.encode(), "strict", self.letters)[0]
-        return [token.id for token in self.tokenize("\u0120" + letters if blank else letters)]
+    def _joined(self, words: list[str], gap: str, plain: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+        """The words' ids, and where each word's begin and how many they are, from long texts with the gap before each word.
 
-    def _ask(self, new: list[str]) -> list[list[int]]:
-        """The ids of each of the pieces.
-
-        Letters, and the punctuation after them, are pre-tokens, so such pieces
-        need no more than the model; the others go through the whole library.
+        A pre-token begins at each gap: a blank becomes the first letter of the
+        word's first id, a newline an id of its own. None if that did not hold.
+        Plain words need no more than the library's model, since no merge spans
+        two pre-tokens of theirs.
+        """
+        texts = [gap + gap.join(words[k:k + JOINED]) for k in range(0, len(words), JOINED)]
+        if plain:
+            letters = (charmap_decode(text.encode(), "strict", self.letters)[0] for text in texts)
+            ids = np.fromiter(map(attrgetter("id"), chain.from_iterable(map(self.tokenize, letters))), np.uint32)
+        else:
+            ids = np.fromiter(chain.from_iterable(self._plain(texts)), np.uint32)
+        starts = np.flatnonzero(self.blank_first[ids] if gap == " " else ids == self.newline)
+        if len(starts) != len(words):
+            return None
+        ends = np.append(starts[1:], len(ids))
+        first = starts if gap == " " else starts + 1
+        return ids, first, ends - first
+
+    def _ask(self, new: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and for each of the pieces where its own begin and how many they are.
+
+        Pieces without white space inside are joined to long texts, which cost
+        less than one text each; the others are asked for apart.
         """
-        found: list[list[int] | None] = []
-        others, stems = [], {}
-        for piece in new:
-            blank = piece[0] != "\x00"
-            word = piece if blank else piece[1:]
-            stem = word.rstrip(MARKS)
-            if self.byte_level and stem.isalpha() and (stem.isascii() or max(stem) < NEWER):
-                key = stem if blank else "\x00" + stem
-                ids = stems.get(key)
-                if ids is None:
-                    ids = stems[key] = self._word(stem, blank)
-                if len(stem) < len(word):
-                    marks = word[len(stem):]
-                    if marks not in self.marks:
-                        self.marks[marks] = self._plain([marks])[0]
-                    ids = ids + self.marks[marks]
-                found.append(ids)
-            else:
-                found.append(None)
-                others.append(" " + word if blank else word)
-        if others:
-            rest = iter(self._plain(others))
-            found = [next(rest) if ids is None else ids for ids in found]
-        return found
+        kinds = [0 if match else 3 if not self.byte_level or _SPACE.search(piece, 1) or piece == "\x00" else
+                 2 if piece[0] == "\x00" else 1 for piece, match in zip(new, map(_LETTERS.fullmatch, new))]
+        if not self.separate:
+            kinds = [kind or 1 for kind in kinds] if self.byte_level else [3] * len(new)
+        kinds = np.array(kinds, np.int8)
+        found, first, size, used = [], np.zeros(len(new), np.int64), np.zeros(len(new), np.int64), 0
+        for kind, gap in enumerate((" ", " ", "\n", "")):
+            places = np.flatnonzero(kinds == kind)
+            if not len(places):
+                continue
+            words = [new[k] for k in places]
+            if kind == 2:
+                words = [word[1:] for word in words]
+            answer = self._joined(words, gap, kind == 0) if gap else None
+            if answer is None:
+                lists = self._plain([(new[k][1:] if new[k][0] == "\x00" else " " + new[k]) for k in places])
+                sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+                answer = np.fromiter(chain.from_iterable(lists), np.uint32), np.cumsum(sizes) - sizes, sizes
+            ids, starts, sizes = answer
+            first[places], size[places] = starts + used, sizes
+            found.append(ids)
+            used += len(ids)
+        return np.concatenate([np.empty(0, np.uint32), *found]), first, size
 
     def _learn(self) -> None:
         """Take the new pieces from the old memory or from the library."""
@@ -131,11 +158,9 @@ class Encoder:
         pieces, ids, starts = self.old
         before = np.fromiter((dict.get(pieces, p, -1) for p in new), np.int64, len(new))
         unknown = before < 0
-        answers = self._ask([p for p, k in zip(new, unknown.tolist()) if k])
-        asked = np.fromiter(chain.from_iterable(answers), np.uint32)
-        asked_sizes = np.fromiter(map(len, answers), np.int64, len(answers))
+        asked, asked_first, asked_sizes = self._ask(list(compress(new, unknown.tolist())))
         first, sizes = np.empty(len(new), np.int64), np.empty(len(new), np.int64)
-        first[unknown], sizes[unknown] = len(ids) + np.cumsum(asked_sizes) - asked_sizes, asked_sizes
+        first[unknown], sizes[unknown] = len(ids) + asked_first, asked_sizes
         first[~unknown] = starts[before[~unknown]]
         sizes[~unknown] = starts[before[~unknown] + 1] - first[~unknown]
         flat = np.concatenate([ids, asked])[_spread(first, sizes)]

@@ -1,5 +1,6 @@
 """Exact ids through Python workers, the memory of pieces, and awkward markup."""
 
+import random
 import time
 import zlib
 from collections import Counter, defaultdict
@@ -139,3 +140,19 @@ def test_pages_without_ids_and_repeated_rows(spark, folder):
     assert Counter(r.page_id for r in found) == Counter(r[0] for r in rows)
     assert {r.text for r in found if r.page_id == BIG + 2} == {"Text of an article."}
     assert {r.text for r in found if r.page_id == BIG + 1} == {""}
+
+
+def test_new_pieces_asked_together_encode_like_whole_texts():
+    """Words of Latin letters, with marks and other ends, of other scripts, split by blanks and newlines."""
+    encoder, draw = tokens.Encoder(vocabulary()), random.Random(11)
+    assert encoder.separate
+    ends = ["", "", ",", ".", "...", "?!", ";:", "'s", "…", "—x", "1", "Ġ", " ", "\x00", "́", "<|"]
+    letters = "abcdefgXYZßéñőŹǄɏ×ªαЖ日"
+    texts = [draw.choice([" ", "\n"]).join("".join(draw.choices(letters, k=draw.randint(0, 9))) + draw.choice(ends)
+                                           for _ in range(draw.randint(0, 40))) for _ in range(1_500)]
+    flat, sizes = encoder.encode(texts)
+    whole = [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert sizes.tolist() == [len(ids) for ids in whole] and flat.tolist() == [k for ids in whole for k in ids]
+    encoder = tokens.Encoder(vocabulary())
+    encoder.separate = False
+    assert encoder.encode(texts)[0].tolist() == flat.tolist()
