@@ -233,3 +233,31 @@ def without_repeated_lines(docs: DataFrame, similarity: float = SIMILARITY) -> D
         F.lit(False))), lambda x: x["line"]), "\n")
     out = both.withColumn("_llm_text", stays)
     return out.withColumns({"text": F.col("_llm_text"), "n_chars": F.length("_llm_text").cast("long")}).select(*docs.columns)
+
+
+ORACLE = r"""
+WITH cut AS (SELECT coalesce(doc_id, 9223372036854775807) AS id, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts
+             FROM documents),
+     l AS (SELECT id, unnest(parts) AS line, generate_subscripts(parts, 1) - 1 AS line_no FROM cut),
+     w AS (SELECT id, line_no, line, list_distinct(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words
+           FROM l),
+     f AS (SELECT row_number() OVER (ORDER BY id, line_no) AS r, * FROM (
+               SELECT arg_min(id, (id, line_no)) AS id, arg_min(line_no, (id, line_no)) AS line_no, line,
+                      any_value(words) AS words, len(any_value(words)) AS n
+               FROM w WHERE len(words) > 0 GROUP BY line)),
+     x AS (SELECT r, n, unnest(words) AS word FROM f),
+     c AS (SELECT word, count(*) AS often FROM x GROUP BY word),
+     o AS (SELECT r, n, word, row_number() OVER (PARTITION BY r ORDER BY often, word) AS place FROM x JOIN c USING (word)),
+     p AS (SELECT r, n, word FROM o WHERE place <= n - ceil(0.8 * n - 1e-9) + 1),
+     pairs AS (SELECT DISTINCT a.r AS r, b.r AS later FROM p a JOIN p b ON a.word = b.word AND a.r < b.r
+               AND least(a.n, b.n) >= 0.8 * greatest(a.n, b.n) - 1e-9),
+     near AS (SELECT DISTINCT later AS r FROM pairs JOIN f a USING (r) JOIN f b ON b.r = later
+              WHERE len(list_intersect(a.words, b.words)) >= 0.8 / 1.8 * (a.n + b.n) - 1e-9),
+     m AS (SELECT id, line_no, near.r IS NOT NULL AS gone FROM f LEFT JOIN near USING (r)),
+     kept AS (SELECT DISTINCT id, line_no FROM m WHERE NOT gone
+              UNION SELECT id, line_no FROM w WHERE len(words) = 0),
+     k AS (SELECT id, string_agg(line_no, ',' ORDER BY line_no) AS kept_lines FROM kept GROUP BY id),
+     g AS (SELECT id, count(*) AS n_near FROM m WHERE gone GROUP BY id)
+SELECT doc_id, len(parts) AS n_lines, coalesce(n_near, 0) AS n_near, coalesce(kept_lines, '') AS kept_lines
+FROM cut LEFT JOIN k USING (id) LEFT JOIN g USING (id)
+"""

@@ -3,6 +3,7 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from granary.llm import (filter_audit, hash_index, html_tree, line_join, minhash, mixing, packing, periodic_runs, pii,
                          quality_pu, simhash, token_blocks, toxic_crf)
@@ -42,7 +43,8 @@ def op6_html_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_join.line_digest(table(spark, sf_dir, "documents"))
+    found = line_join.line_digest(table(spark, sf_dir, "documents"))
+    return found.withColumn("kept_lines", F.array_join(F.col("kept_lines").cast("array<string>"), ","))
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,4 +75,5 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_token_blocks, op2_quality_pu, op3_hash_index, op4_packing, op5_toxic_crf, op6_html_tree, op7_line_join, op8_simhash, op9_mixing, op10_minhash,
     op11_filter_audit, op12_pii, op13_periodic_runs)}
 
-ORACLES: dict[str, str] = {"op3_hash_index": hash_index.ORACLE, "op11_filter_audit": filter_audit.ORACLE}
+ORACLES: dict[str, str] = {"op3_hash_index": hash_index.ORACLE, "op7_line_join": line_join.ORACLE,
+                           "op11_filter_audit": filter_audit.ORACLE}
