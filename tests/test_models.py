@@ -1,13 +1,14 @@
 """Gold models, profiles and history on small hand-made tables."""
 
 import datetime
+import re
 
 from pyspark.sql import functions as F
 
 from granary.functions.calendar import date_attributes, day_spine
 from granary.functions.money import ratio_of_sums
 from granary.operators import history, keys, profile
-from granary.plans import facts, gold
+from granary.plans import facts, gold, recipes
 
 D = datetime.date
 
@@ -200,3 +201,17 @@ def test_default_calendar_spans_the_data(spark, folder):
     late = Lake(spark, folder)
     late.silver = lambda name: plain(name).filter("false")
     assert late.dim_date.count() == 2922
+
+
+def test_promo_effectiveness_keeps_no_group_per_order(spark):
+    """Two promotions of one name share orders, one order has no number, one promotion no line."""
+    fact = spark.createDataFrame(
+        [("a", 1, 5.0), ("a", 1, 7.0), ("b", 1, 1.0), ("b", 2, 1.0), ("c", 2, 2.0), ("c", None, 4.0)],
+        "promo_key string, order_id long, net_amount double").withColumns(
+        {"gross_amount": F.col("net_amount") + 1, "discount_amount": F.lit(1.0)})
+    promotions = spark.createDataFrame([("a", "x"), ("b", "x"), ("c", "y"), ("d", "z")],
+                                       "promo_id string, promo_name string").withColumn("promo_type", F.lit(None).cast("string"))
+    found = recipes.promo_effectiveness(fact, promotions)
+    assert [tuple(row) for row in found.collect()] == [("x", None, 2, 18.0, 4.0, 14.0), ("y", None, 1, 8.0, 2.0, 6.0)]
+    keys = re.findall(r"Aggregate\(keys=\[([^\]]*)\]", found._jdf.queryExecution().sparkPlan().toString())
+    assert keys and not [key for key in keys if "order_id" in key]
