@@ -118,10 +118,11 @@ def refresh_revenue_daily(state: DataFrame, touched: DataFrame, before: tuple[Da
     `before` and `after` are (items, orders) of either time. An order belongs to
     one day, so all lines of the touched orders are taken back from their old day
     and added to their new one; distinct orders then need no state of their own.
+    Only lines are cut to the touched orders: the join with their headers drops the others.
     """
     def totals(tables: tuple[DataFrame, DataFrame], sign: int) -> DataFrame:
-        items, orders = (df.join(touched, "order_id", "left_semi") for df in tables)
-        return _per_order(items, orders).select("order_date", *[(F.col(name) * sign).alias(name) for name in _REVENUE])
+        items, orders = tables
+        return _per_order(items.join(touched, "order_id", "left_semi"), orders).select("order_date", *[(F.col(name) * sign).alias(name) for name in _REVENUE])
 
     moved = _per_day(totals(before, -1).unionByName(totals(after, 1)))
     return _added(state, moved, ["order_date"], _REVENUE, "num_orders")

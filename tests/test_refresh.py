@@ -203,3 +203,11 @@ def _scans(df) -> int:
                                         ("concurrent_promos", 4), ("role_playing_dates", 8)])
 def test_reports_do_not_scan_every_table_for_the_calendar(spark, folder, name, most):
     assert _scans(registry.run(name, spark, folder)) <= most
+
+
+def test_refresh_cuts_only_the_lines_to_touched_orders(spark):
+    """One more semi-join for each table of headers put two more sorts into the largest task."""
+    items, orders = spark.createDataFrame([], ITEMS), spark.createDataFrame([], ORDERS)
+    state = refresh.refresh_revenue_daily(refresh.revenue_state(items, orders), refresh.touched_orders(orders),
+                                          (items, orders), (items, orders))
+    assert state._jdf.queryExecution().analyzed().toString().count("Join LeftSemi") == 2
