@@ -102,53 +102,78 @@ def _result(counted: DataFrame, model: str, column: str, kind: str, failing: str
 def count_failing(frames: dict[str, DataFrame], declared: list[tuple[str, Check]]) -> DataFrame:
     """(number, failing_rows) of each (frame, check), numbered as listed; every frame is read once.
 
-    A frame gives one tagged value per check that a row takes part in: a key that
-    has to be unique or that others refer to, a reference to such a key, and, for
-    row-by-row checks, only the offenders, without a value. All tagged values are
+    A row gives one tagged value for each key column that has to be unique, that others
+    refer to or that refers to such a key, and one for all its row-by-row checks
+    together, if any finds an offence: a text that says which. All tagged values are
     counted by key space and value, with partial sums in each task, so a hot key is
-    one row per task. Keys are compared as text.
+    one row per task. Whole numbers and dates are compared as numbers if a key space
+    holds nothing else, other keys as text.
     """
     spaces: dict[tuple, int] = {}
-    members: dict[int, int] = {}
-    entries: dict[str, list[Column]] = {}
+    columns: dict[int, list[tuple[str, int | None, str]]] = {}  # of a key space: frame, slot, column
+    row_checks: dict[str, list[int]] = {}
     places = []
 
-    def emit(frame: str, space: int, slot: int | None, value: Column, wanted: Column) -> None:
-        entry = F.struct(F.lit(space).alias("space"), F.lit(slot).cast("int").alias("slot"), value.alias("value"))
-        entries.setdefault(frame, []).append(F.when(wanted, entry))
-
     def key_space(frame: str, column: str) -> int:
         if (frame, column) not in spaces:
-            spaces[frame, column] = len(spaces)
-            emit(frame, spaces[frame, column], None, F.col(column).cast("string"), F.col(column).isNotNull())
+            space = spaces[frame, column] = len(spaces)
+            columns[space] = [(frame, None, column)]
         return spaces[frame, column]
 
     for number, (frame, check) in enumerate(declared):
         if check.kind == "unique":
             places.append((number, key_space(frame, check.column), None))
-            continue
-        if check.kind == "relationships":
+        elif check.kind == "relationships":
             space = key_space(check.parent, check.parent_column)
-            value, wanted = F.col(check.column).cast("string"), F.col(check.column).isNotNull()
+            places.append((number, space, len(columns[space]) - 1))
+            columns[space].append((frame, len(columns[space]) - 1, check.column))
         else:
-            space = spaces[number] = len(spaces)
-            value, wanted = F.lit(None).cast("string"), offends(check)
-        slot = members[space] = members.get(space, -1) + 1
-        emit(frame, space, slot, value, wanted)
-        places.append((number, space, slot))
-    tagged = [frames[name].select(F.inline(F.array_compact(F.array(*found)))) for name, found in entries.items()]
-    slots = range(max(members.values(), default=-1) + 1)
-    per_value = reduce(DataFrame.unionByName, tagged).groupBy("space", "value").agg(
+            row_checks.setdefault(frame, []).append(number)
+
+    entries: dict[str, list[Column]] = {}
+
+    def emit(frame: str, space: int, slot: int | None, number: Column, text: Column, wanted: Column) -> None:
+        entry = F.struct(F.lit(space).alias("space"), F.lit(slot).cast("int").alias("slot"),
+                         number.cast("long").alias("num"), text.cast("string").alias("text"))
+        entries.setdefault(frame, []).append(F.when(wanted, entry))
+
+    for space, members in columns.items():
+        kinds = {_key_kind(frames[frame], column) for frame, _, column in members}
+        kind = kinds.pop() if len(kinds) == 1 else "text"
+        for frame, slot, column in members:
+            value, none = F.col(column), F.lit(None)
+            as_number = F.unix_date(value) if kind == "date" else none if kind == "text" else value
+            emit(frame, space, slot, as_number, value if kind == "text" else none, value.isNotNull())
+    first_row_space = len(spaces)
+    for k, (frame, numbers) in enumerate(row_checks.items()):
+        offences = [F.coalesce(offends(declared[number][1]), F.lit(False)) for number in numbers]
+        which = F.concat(*[F.when(offence, "1").otherwise("0") for offence in offences])
+        emit(frame, first_row_space + k, None, F.lit(None), which, reduce(lambda a, b: a | b, offences))
+    tagged = [frames[name].select(F.inline(F.array(*found))).filter("space is not null") for name, found in entries.items()]
+    slots = range(max((len(members) - 1 for members in columns.values()), default=0))
+    per_value = reduce(DataFrame.unionByName, tagged).groupBy("space", "num", "text").agg(
         F.count_if(F.col("slot").isNull()).alias("owners"),
         *[F.count_if(F.col("slot") == k).alias(f"n{k}") for k in slots])
     lost = [F.struct(F.lit(k).alias("slot"), F.sum(F.when(F.col("owners") == 0, F.col(f"n{k}"))).alias("n")) for k in slots]
     repeated = F.struct(F.lit(None).cast("int").alias("slot"), F.count_if(F.col("owners") > 1).alias("n"))
-    found = per_value.groupBy("space").agg(F.array(repeated, *lost).alias("found")).select("space", F.inline("found"))
+    most = max(map(len, row_checks.values()), default=0)
+    broken = [F.struct(F.lit(j).alias("slot"), F.sum(F.when(F.substring("text", j + 1, 1) == "1", F.col("owners"))).alias("n"))
+              for j in range(most)]
+    totals = F.array(repeated, *lost)
+    if broken:
+        totals = F.when(F.col("space") < first_row_space, totals).otherwise(F.array(*broken))
+    found = per_value.groupBy("space").agg(totals.alias("found")).select("space", F.inline("found"))
+    places += [(number, first_row_space + k, j) for k, numbers in enumerate(row_checks.values()) for j, number in enumerate(numbers)]
     listed = found.sparkSession.createDataFrame(places, "number int, _space int, _slot int")
     return listed.join(found, (F.col("space") == F.col("_space")) & F.col("slot").eqNullSafe(F.col("_slot")), "left").select(
         "number", F.coalesce("n", F.lit(0)).cast("bigint").alias("failing_rows"))
 
 
+def _key_kind(df: DataFrame, column: str) -> str:
+    kind = df.schema[column].dataType.typeName()
+    return "whole" if kind in ("byte", "short", "integer", "long") else kind if kind == "date" else "text"
+
+
 def run_all(frames: dict[str, DataFrame], checks: dict[str, list[Check]]) -> DataFrame:
     """One result row per check of each frame, with one read of every frame.
 

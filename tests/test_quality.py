@@ -135,3 +135,16 @@ def test_reads_each_table_once(lake, name, most):
 
     plan = QUERIES[name](lake)._jdf.queryExecution().sparkPlan().toString()
     assert 0 < plan.count("FileScan") <= most
+
+
+def test_offences_of_a_row_are_one_entry(spark):
+    """Dates and keys of two types against counting by hand; without a function per row and one entry per check."""
+    day = datetime.date
+    parent = spark.createDataFrame([(day(2020, 1, 1), "1"), (day(2020, 1, 2), "2")], "d date, s string")
+    child = spark.createDataFrame([(day(2020, 1, 1), 1, 0), (day(2020, 1, 3), 7, 9), (None, None, None)], "d date, k long, n int")
+    wanted = [q.related("d", "p", "d"), q.related("k", "p", "s"), q.not_null("n"), q.in_range("n", above=0), q.unique("d")]
+    found = q.run_all({"p": parent, "c": child}, {"c": wanted})
+    assert {(r.column_name, r.check_name): r.failing_rows for r in found.collect()} == {
+        ("d", "relationships"): 1, ("k", "relationships"): 1, ("n", "not_null"): 1, ("n", "accepted_range"): 1, ("d", "unique"): 0}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan.lower() and "array_compact" not in plan
