@@ -8,7 +8,7 @@ from granary.operators.keys import UNKNOWN_MEMBER, extend_dictionary, with_dense
 from granary.plans import pipeline
 from granary.plans.silver import silver, silver_sql
 from granary.sources import tables
-from granary.sources.files import ingest, ingest_measured, ingest_report, ingest_times, observed_counts
+from granary.sources.files import ingest, ingest_measured, ingest_report, ingest_times, observed_counts, read_csv
 from granary.sources.specs import SPECS
 from granary.sources.tables import Layout, measured_layout, write_folder
 
@@ -103,3 +103,17 @@ def test_dense_keys_stay_and_grow_without_gaps(lake, spark):
     assert empty.count() == 0 and {r.sk for r in extend_dictionary(empty, members("x", "y"), ["name"], lake.stored).collect()} == {1, 2}
     many = extend_dictionary(None, spark.range(5000).select(F.xxhash64("id").alias("k")), ["k"], lake.stored)
     assert sorted(r.sk for r in many.select("sk").collect()) == list(range(1, 5001))
+
+
+def test_ingest_report_reads_packed_exports(lake, spark, monkeypatch):
+    """Plain text was more than half of all bytes the query wrote."""
+    from granary.plans import registry
+
+    seen = {}
+    monkeypatch.setattr(registry, "SPECS", {name: SPECS[name] for name in ("promotions", "orders")})
+    monkeypatch.setattr(registry.pipeline, "ingest_all", lambda spark, files, target_of: (seen.update(files), None))
+    registry.QUERIES["ingest_report"](lake)
+    for name, folder in seen.items():
+        paths = spark.read.format("binaryFile").load(folder).select("path").collect()
+        assert paths and all(row.path.endswith(".csv.gz") for row in paths)
+        assert read_csv(spark, folder, SPECS[name]).count() == lake.source(name).count()
