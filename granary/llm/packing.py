@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.llm.common import stored, whole_text
-from granary.llm.tokens import worker_encoder
+from granary.llm.tokens import lots, worker_encoder
 
 LIMIT = 2048
 PIECES = ("doc_id string, start long, length int, doc_tokens long, part int, at long, ids binary")
@@ -33,9 +33,10 @@ def cut_documents(docs: DataFrame, vocabulary: str, end_id: int = 1, limit: int
     def pieces(batches):
         encoder, seen = worker_encoder(vocabulary), np.zeros(limit + 1, np.int64)
         for batch in batches:
-            for k in range(0, len(batch), 500):
-                some = batch.iloc[k:k + 500]
-                flat, sizes = encoder.encode(some["text"].tolist())
+            texts = batch["text"].tolist()
+            for first, last in lots(texts):
+                some = batch.iloc[first:last]
+                flat, sizes = encoder.encode(texts[first:last])
                 full = sizes + 1  # with the end id
                 flat = np.insert(flat, np.cumsum(sizes), np.uint32(end_id)).astype("<u4")
                 number = -(-full // limit)

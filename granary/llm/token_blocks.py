@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from granary.llm.common import whole_text
-from granary.llm.tokens import worker_encoder
+from granary.llm.tokens import lots, worker_encoder
 from granary.session import scratch_dir
 
 BLOCK = 2048
@@ -28,7 +28,8 @@ SEGMENTS = ("shard int, segment int, first_id long, n_tokens long, doc_ids array
 
 def _bits(values: np.ndarray, width: int) -> np.ndarray:
     """The low `width` bits of each value, lowest first."""
-    raw = values.astype("<u4").view(np.uint8).reshape(-1, 4)
+    kind = np.dtype("<u2" if width <= 16 else "<u4")
+    raw = values.astype(kind).view(np.uint8).reshape(-1, kind.itemsize)
     return np.unpackbits(raw, axis=1, bitorder="little")[:, :width]
 
 
@@ -60,9 +61,10 @@ def unpack_blocks(payload: bytes, starts: list[int]) -> np.ndarray:
         at += _HEAD.itemsize
         n_bytes = (size * width + 7) // 8
         bits = np.unpackbits(np.frombuffer(payload, np.uint8, n_bytes, at), count=size * width, bitorder="little")
-        full = np.zeros((size, 32), np.uint8)
+        kind = np.dtype("<u2" if width <= 16 else "<u4")
+        full = np.zeros((size, 8 * kind.itemsize), np.uint8)
         full[:, :width] = bits.reshape(size, width)
-        rest = np.packbits(full, axis=1, bitorder="little").view("<u4").ravel()
+        rest = np.packbits(full, axis=1, bitorder="little").view(kind).ravel().astype(np.uint32)
         at += n_bytes
         if odd:
             where = np.frombuffer(payload, "<u2", odd, at)
@@ -95,9 +97,10 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int =
                                  "block_starts": [starts], "payload": [payload]})
 
         for batch in batches:
-            for k in range(0, len(batch), 500):
-                part = batch.iloc[k:k + 500]
-                flat, sizes = encoder.encode(part["text"].tolist())
+            texts = batch["text"].tolist()
+            for first, last in lots(texts):
+                part = batch.iloc[first:last]
+                flat, sizes = encoder.encode(texts[first:last])
                 shard = int(part["shard"].iloc[0])
                 ends = np.cumsum(sizes)
                 for doc_id, a, b in zip(part["doc_id"], ends - sizes, ends):

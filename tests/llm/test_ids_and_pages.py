@@ -142,6 +142,39 @@ def test_pages_without_ids_and_repeated_rows(spark, folder):
     assert {r.text for r in found if r.page_id == BIG + 1} == {""}
 
 
+@pytest.mark.parametrize("texts", [["plain", "  odd", "", "a b\nc", "x<|y z", "\x00", "a \x00b", "a\u3000b c", "\na", "a "],
+                                   ["one two three"], [""], [], ["\x00a b", "\x00 b"]])
+def test_plain_and_odd_texts_keep_their_places(texts):
+    encoder = tokens.Encoder(vocabulary())
+    for some in (texts, texts[::-1]):
+        flat, sizes = encoder.encode(some)
+        whole = [e.ids for e in encoder.tokenizer.encode_batch(some, add_special_tokens=False)]
+        assert sizes.tolist() == [len(ids) for ids in whole] and flat.tolist() == [k for ids in whole for k in ids]
+
+
+def test_known_pieces_pass_no_python_string_each():
+    """Pieces are cut and looked up as arrays: texts of known pieces make no string per piece, whatever their number."""
+    import tracemalloc
+
+    encoder = tokens.Encoder(vocabulary())
+    text = " ".join(f"w{k % 50}" for k in range(200_000))
+    encoder.encode([text])
+    tracemalloc.start()
+    encoder.encode([text])
+    made = sum(s.count for s in tracemalloc.take_snapshot().statistics("filename"))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert made < 1_000 and peak < 100 * 200_000
+
+
+def test_lots_are_bounded_and_lose_no_text(monkeypatch):
+    monkeypatch.setattr(tokens, "LOT_CHARS", 10)
+    texts = ["a" * n for n in (3, 0, 9, 12, 1, 0, 4, 5, 2)]
+    found = list(tokens.lots(texts))
+    assert [k for a, b in found for k in range(a, b)] == list(range(len(texts))) and list(tokens.lots([])) == []
+    assert all(sum(map(len, texts[a:b - 1])) < 10 for a, b in found) and len(found) > 2
+
+
 def test_new_pieces_asked_together_encode_like_whole_texts():
     """Words of Latin letters, with marks and other ends, of other scripts, split by blanks and newlines."""
     encoder, draw = tokens.Encoder(vocabulary()), random.Random(11)
