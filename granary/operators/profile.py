@@ -70,32 +70,43 @@ def coverage(parent: DataFrame, children: dict[str, DataFrame], key: str) -> Dat
 def inclusions(facts: dict[str, tuple[DataFrame, list[str]]], dimensions: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """Which key columns of which facts the dimensions contain: one row per column and dimension.
 
-    Every frame is read once: a row gives one tagged value per candidate column.
-    Values are counted per tag, with partial sums in each task, and meet once, so
-    that one pass settles all pairs and a hot value is one row. Values are
-    compared as text. NULLs count as rows only.
+    Every frame is read once. Grouping sets count the values of each column as they are, with partial sums in each task;
+    only values that were counted become text, as which they are compared, and meet once: a row per value holds its count
+    in each column and which dimensions know it, so one pass settles all pairs and a hot value is one row. NULLs count
+    as rows only.
     """
     tags = [(fact, column) for fact, (_, columns) in facts.items() for column in columns]
     names = list(dimensions)
 
-    def tagged(df: DataFrame, columns: dict[int, str]) -> DataFrame:
-        entries = [F.struct(F.lit(tag).alias("tag"), F.col(column).cast("string").alias("value"))
-                   for tag, column in columns.items()]
-        return df.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
-
-    parts = [tagged(df, {tags.index((fact, column)): column for column in columns})
-             for fact, (df, columns) in facts.items() if columns]
-    parts += [tagged(df, {len(tags) + k: key}) for k, (df, key) in enumerate(dimensions.values())]
-    counted = _all(parts).groupBy("value", "tag").agg(F.count("*").alias("n"))
-    per_value = counted.groupBy("value").agg(F.collect_list(F.struct("tag", "n")).alias("counts"))  # one entry per tag
-    known = [_has_tag(len(tags) + k) for k in range(len(names))]
-    spread = per_value.select("value", F.array(*known).alias("known"), F.inline("counts")).filter(F.col("tag") < len(tags))
-    cells = spread.select("tag", "n", "value", F.posexplode("known").alias("dim", "is_known"))
-    is_known = F.col("is_known") & F.col("value").isNotNull()
+    def counted(fact: str, df: DataFrame, columns: list[str]) -> DataFrame:
+        sets = df.groupingSets([[column] for column in columns], *columns).agg(
+            F.grouping_id().alias("_set"), F.count("*").alias("n"))
+        last = len(columns) - 1
+        tag = F.coalesce(*[F.when(F.col("_set") == (2 << last) - 1 - (1 << last - k), F.lit(tags.index((fact, column))))
+                           for k, column in enumerate(columns)])
+        return sets.select(F.coalesce(*[F.col(column).cast("string") for column in columns]).alias("value"), tag.alias("tag"), "n")
+
+    def known(number: int, df: DataFrame, key: str) -> DataFrame:
+        values = df.filter(F.col(key).isNotNull()).select(key).distinct()
+        return values.select(F.col(key).cast("string").alias("value"), F.lit(len(tags) + number).alias("tag"),
+                             F.lit(1).cast("long").alias("n"))
+
+    parts = [counted(fact, df, columns) for fact, (df, columns) in facts.items() if columns]
+    parts += [known(k, df, key) for k, (df, key) in enumerate(dimensions.values())]
+    per_value = _all(parts).groupBy("value").agg(
+        *[F.max(F.col("tag") == len(tags) + k).alias(f"known{k}") for k in range(len(names))],
+        *[F.sum(F.when(F.col("tag") == t, F.col("n"))).alias(f"n{t}") for t in range(len(tags))])
+    # A row for each set of dimensions that know the same values, however many values there are.
+    kinds = per_value.groupBy(F.col("value").isNotNull().alias("given"), *[f"known{k}" for k in range(len(names))]).agg(
+        *[F.struct(F.lit(t).alias("tag"), F.coalesce(F.sum(f"n{t}"), F.lit(0)).alias("rows"),
+                   F.count(f"n{t}").alias("values")).alias(f"counts{t}") for t in range(len(tags))])
+    cells = kinds.select("given", F.array(*[f"known{k}" for k in range(len(names))]).alias("known"),
+                         F.inline(F.array(*[f"counts{t}" for t in range(len(tags))]))).select(
+        "given", "tag", "rows", "values", F.posexplode("known").alias("dim", "is_known"))
     stats = cells.groupBy("tag", "dim").agg(
-        F.sum("n").alias("num_rows"), F.count("value").alias("num_values"),
-        F.coalesce(F.sum(F.when(is_known, F.col("n"))), F.lit(0)).alias("matched_rows"),
-        F.count_if(is_known).alias("matched_values"))
+        F.sum("rows").alias("num_rows"), F.sum(F.when(F.col("given"), F.col("values"))).alias("num_values"),
+        F.sum(F.when(F.col("is_known"), F.col("rows"))).alias("matched_rows"),
+        F.sum(F.when(F.col("is_known"), F.col("values"))).alias("matched_values"))
     cell = list(itertools.product(range(len(tags)), range(len(names))))
     grid = stats.sparkSession.createDataFrame(
         [(t, d, *tags[t], names[d]) for t, d in cell],
@@ -105,10 +116,6 @@ def inclusions(facts: dict[str, tuple[DataFrame, list[str]]], dimensions: dict[s
             "num_rows", "num_values", "matched_rows", "matched_values")])
 
 
-def _has_tag(tag: int) -> Column:
-    return F.exists("counts", lambda entry: entry["tag"] == tag)
-
-
 def copies_agree(left: DataFrame, right: DataFrame, key: str, column: str) -> DataFrame:
     """Compare two copies of a column over an inner join on `key`; `right` is unique on it.
 

@@ -29,13 +29,20 @@ class Lake:
         self.source = cache(lambda name: source_view(spark, folder, name))
         self.bronze = cache(lambda name: flag(self.source(name), SPECS[name]))
         self.silver = cache(lambda name: silver.silver(name, self.bronze(name)))
+        self._held: dict[str, DataFrame] = {}
+
+    def held(self, name: str, *columns: str) -> DataFrame:
+        """Columns of a silver table, all its dates among them, stored once; the calendar reads its dates from there."""
+        if name not in self._held:
+            self._held[name] = self.stored(self.silver(name).select(*columns), f"silver-{name}")
+        return self._held[name]
 
     @cached_property
     def years(self) -> DataFrame:
         """First and last day of the calendar years of all silver dates, as one row."""
         ends = None
         for name in SPECS:
-            df = self.silver(name)
+            df = self._held[name] if name in self._held else self.silver(name)
             dates = [column for column, kind in df.dtypes if kind == "date"]
             if dates:
                 pair = df.agg(F.array(*[end(column) for column in dates for end in (F.min, F.max)]).alias("day"))

@@ -665,17 +665,23 @@ def region_two_ways(lake):
 
 
 def _keyed_facts(lake: Lake) -> dict[str, tuple[DataFrame, dict[str, str]]]:
+    """The tables made by grouping lines or events are stored, as both their fact and the calendar read them; of
+    inventory, the longest, only the keys.
+    """
     orders = lake.silver("orders")
+    shipments = lake.held("shipments", "order_id", "ship_date", "delivery_date", "shipping_fee")
+    inventory = lake.held("inventory", "snapshot_date", "product_id").toDF("date_key", "product_key")
+    traffic = lake.held("web_traffic", *SPECS["web_traffic"].names)
     dated = {"dim_date": "date_key"}
     buyer, product = {"dim_customer": "customer_key"}, {"dim_product": "product_key"}
     return {
         "fact_order_items": (lake.fact, {**dated, **buyer, **product, "dim_promotion": "promo_key"}),
         "fact_payments": (facts.fact_payments(lake.silver("payments"), orders), {**dated, **buyer}),
-        "fact_shipments": (facts.fact_shipments(lake.silver("shipments"), orders), {**dated, **buyer}),
+        "fact_shipments": (facts.fact_shipments(shipments, orders), {**dated, **buyer}),
         "fact_returns": (facts.fact_returns(lake.silver("returns"), orders), {**dated, **buyer, **product}),
         "fact_reviews": (facts.fact_reviews(lake.silver("reviews")), {**dated, **buyer, **product}),
-        "fact_inventory": (facts.fact_inventory(lake.silver("inventory")), {**dated, **product}),
-        "fact_web_traffic": (facts.fact_web_traffic(lake.silver("web_traffic")), dated),
+        "fact_inventory": (inventory, {**dated, **product}),
+        "fact_web_traffic": (facts.fact_web_traffic(traffic), dated),
     }
 
 

@@ -195,6 +195,34 @@ def test_inclusions(spark):
     assert [tuple(r)[3:] for r in empty] == [(0, 0, 0, 0)] * 2
 
 
+def test_inclusions_count_by_value_before_text(spark):
+    """Against a plain count; and rows are counted by grouping sets, not as one text per row and column."""
+    day = DAY(2020, 1, 1)
+    first = [(1, day, "1"), (1, day, "2"), (2, None, "2020-01-01"), (None, DAY(2020, 1, 2), None)] * 3
+    second = [(1,), (7,), (None,)]
+    frames = {"f": (spark.createDataFrame(first, "x_key long, d_key date, s_key string"), ["x_key", "d_key", "s_key"]),
+              "g": (spark.createDataFrame(second, "x_key int"), ["x_key"])}
+    members = {"number": [1, 1, 7, None], "day": [day, None]}
+    dims = {"number": (spark.createDataFrame([(m,) for m in members["number"]], "k long"), "k"),
+            "day": (spark.createDataFrame([(m,) for m in members["day"]], "k date"), "k")}
+    found = inclusions(frames, dims)
+    expected = set()
+    for fact, rows in (("f", first), ("g", second)):
+        for at, column in enumerate(frames[fact][1]):
+            values = [None if row[at] is None else str(row[at]) for row in rows]
+            for dim, keys in members.items():
+                hit = [v for v in values if v is not None and v in {str(key) for key in keys if key is not None}]
+                expected.add((fact, column, dim, len(values), len(set(values) - {None}), len(hit), len(set(hit))))
+    assert set(map(tuple, found.collect())) == expected
+    assert "Expand" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_bus_matrix_groups_lines_once(spark, folder):
+    """Shipments and inventory are stored; the query itself reads the lines for order lines and returns."""
+    plan = registry.run("bus_matrix", spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet [l_") == 2
+
+
 def _scans(df) -> int:
     return df._jdf.queryExecution().executedPlan().toString().count("FileScan parquet")
 
