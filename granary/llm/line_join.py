@@ -24,8 +24,6 @@ A null text counts as empty. A null doc_id comes after all others. Rows that
 share a doc_id count as one document: equal lines at the same place stay in each.
 """
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,14 +52,15 @@ def _one(number: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), number.bitwiseAND(F.lit(63)).cast("int"))
 
 
-def _one_if_odd(number: Column) -> Column:
-    """The bit that the low six bits name, if the seventh is set."""
-    odd = F.shiftright(number, 6).bitwiseAND(F.lit(1).cast("long"))
-    return F.call_function("shiftleft", odd, number.bitwiseAND(F.lit(63)).cast("int"))
+def _marks(upper: bool) -> Column:
+    """For each number of seven bits: the bit that its low six name if the seventh is as said, else 0."""
+    bits = [1 << (number & 63) if (number >= 64) == upper else 0 for number in range(128)]
+    return F.array(*[F.lit(bit - (bit >> 63 << 64)).cast("long") for bit in bits])
 
 
-def _parity(hashes: str, bit: Callable[[Column], Column]) -> Column:
-    return F.aggregate(hashes, F.lit(0).cast("long"), lambda seen, h: seen.bitwiseXOR(bit(h)))
+def _parity(hashes: str, marks: Column) -> Column:
+    return F.aggregate(hashes, F.lit(0).cast("long"),
+                       lambda seen, h: seen.bitwiseXOR(F.get(marks, h.bitwiseAND(F.lit(127)).cast("int"))))
 
 
 def _dense(counts: DataFrame, size: int, value: Column, kind: str) -> Column:
@@ -82,28 +81,33 @@ def _lines(keyed: DataFrame) -> DataFrame:
     return rows.filter(F.regexp_like("line", F.lit(WORD)))
 
 
-def rarities(lines: DataFrame) -> Column:
-    """A constant array with the level of rarity of each bucket of words, 0 to 127."""
-    words = lines.select(F.explode(_pieces(F.col("line"))).alias("w"))
-    counts = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(RARITY_BUCKETS)).alias("slot")).agg(F.count("*").alias("n"))
-    return _dense(counts, RARITY_BUCKETS, F.least(F.lit(127), F.floor(5 * F.log2(F.col("n") + 1))), "tinyint")
+def rarities(keyed: DataFrame) -> Column:
+    """A constant array with the level of rarity of each bucket of words, 0 to 127, in the highest byte.
+
+    Words are counted in the whole texts, which need not be cut into lines for that.
+    """
+    words = keyed.select(F.explode(_pieces(F.col("text"))).alias("w"))
+    counts = words.groupBy(F.xxhash64("w").bitwiseAND(F.lit(RARITY_BUCKETS - 1)).alias("slot")).agg(F.count("*").alias("n"))
+    level = F.least(F.lit(127), F.floor(5 * F.log2(F.col("n") + 1))).cast("long")
+    return _dense(counts, RARITY_BUCKETS, F.shiftleft(level, 56), "long")
 
 
-def first_lines(lines: DataFrame, similarity: float) -> DataFrame:
+def first_lines(keyed: DataFrame, similarity: float) -> DataFrame:
     """Each distinct line at its first place, stored: id, line_no, line_hash, n words, the parities, prefix.
 
     What a join needs is worked out before lines are combined, so no text is shuffled. Here words are told apart by
     64-bit hashes.
     """
     def ordered(h: Column) -> Column:
-        rank = F.element_at(F.col("rarity"), (F.pmod(h, F.lit(RARITY_BUCKETS)) + 1).cast("int"))
-        return F.shiftleft(rank.cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
+        # The coalesce never applies; it tells that there are no nulls, so that the words are sorted as plain numbers.
+        rank = F.coalesce(F.get(F.col("rarity"), h.bitwiseAND(F.lit(RARITY_BUCKETS - 1)).cast("int")), F.lit(0).cast("long"))
+        return rank.bitwiseOR(F.shiftrightunsigned(h, 8))
 
     hashes = F.array_distinct(F.transform(F.array_remove(_pieces(F.col("line")), ""), lambda w: F.xxhash64(w)))
     # The parities come between, so that the last step takes the table of rarities as it is instead of a copy per row.
-    sets = lines.select("id", "line_no", "line", hashes.alias("hashes")).select(
-        "*", _parity("hashes", lambda h: _one_if_odd(F.bitwise_not(h))).alias("parity"),
-        _parity("hashes", _one_if_odd).alias("parity2"), rarities(lines).alias("rarity"))
+    sets = _lines(keyed).select("id", "line_no", "line", hashes.alias("hashes")).select(
+        "*", _parity("hashes", _marks(False)).alias("parity"), _parity("hashes", _marks(True)).alias("parity2"),
+        rarities(keyed).alias("rarity"))
     words = F.sort_array(F.transform("hashes", ordered))
     n = F.size("hashes")
     kept = n - F.ceil(n * similarity - 1e-9).cast("int") + 1
@@ -199,7 +203,7 @@ def kept_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     Lines without words are not listed, they always stay. What repeats an
     earlier line is in neither list.
     """
-    firsts = first_lines(_lines(_keyed(docs)), similarity)
+    firsts = first_lines(_keyed(docs), similarity)
     near = resembling_lines(docs, firsts, similarity).withColumn("near", F.lit(True))
     marked = firsts.select("id", "line_no", "line_hash").join(near, ["id", "line_no", "line_hash"], "left")
     numbers = lambda keep: F.sort_array(F.collect_list(F.when(keep, F.struct("line_no", "line_hash"))))

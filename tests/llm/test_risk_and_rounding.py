@@ -7,7 +7,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from granary.llm import mixing, quality_pu
+from granary.llm import line_join, mixing, quality_pu
 from granary.llm.common import table
 
 
@@ -156,3 +156,20 @@ def test_line_dedup_sql_has_the_rows_of_the_query(spark):
     got = QUERIES["op7_line_join"](spark, folder).select("doc_id", "n_lines", "n_near", "kept_lines").collect()
     assert table(spark, folder, "documents").count() == len(got)
     assert sorted(map(tuple, got)) == sorted(expected)
+
+
+def test_first_lines_from_whole_texts(spark):
+    """Words are counted in the texts as they are, not line by line; each flips one bit, the rarest come first."""
+    texts = ["alpha\nalpha beta\tgamma\n\n \nbeta beta", "alpha delta\r\nalpha", None]
+    keyed = line_join._keyed(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    plan = spark.range(1).select(line_join.rarities(keyed))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate") == 1
+    lines = {(r.id, r.line_no): r for r in line_join.first_lines(keyed, 0.8).collect()}
+    assert {place: r.n for place, r in lines.items()} == {(0, 0): 1, (0, 1): 3, (0, 4): 1, (1, 0): 2}
+    for r in lines.values():
+        bits = sum((r[name] & (1 << 64) - 1).bit_count() for name in line_join.PARITIES)
+        assert bits <= r.n and (r.n - bits) % 2 == 0
+        assert r.prefix == sorted(r.prefix) and len(r.prefix) == 1
+    alpha, delta = (spark.sql(f"select shiftrightunsigned(xxhash64('{word}'), 8)").first()[0] for word in ("alpha", "delta"))
+    low = (1 << 56) - 1
+    assert (lines[0, 0].prefix[0] & low, lines[1, 0].prefix[0] & low) == (alpha, delta)
