@@ -24,6 +24,8 @@ A null text counts as empty. A null doc_id comes after all others. Rows that
 share a doc_id count as one document: equal lines at the same place stay in each.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,12 +37,16 @@ FILTER_WORDS = 1 << 16
 LAST = (1 << 63) - 1
 PARITIES = ("parity", "parity2")
 WORD = "[^\\x20\\x09-\\x0D]"
-ODD_BLANKS = "[\\x09-\\x0D]"
+ODD_BLANKS = "\t\n\x0b\x0c\r"
 
 
 def _pieces(line: Column) -> Column:
-    """The words with their repeats, and empty strings where blanks meet; a split at one character needs no regex."""
-    return F.split(F.regexp_replace(line, ODD_BLANKS, " "), " ")
+    """The words with their repeats, and empty strings where blanks meet; a split at one character needs no regex.
+
+    Few lines hold other blanks than spaces, and to look for them costs less than to replace them.
+    """
+    odd = reduce(Column.__or__, [F.contains(line, F.lit(blank)) for blank in ODD_BLANKS])
+    return F.split(F.when(odd, F.regexp_replace(line, f"[{ODD_BLANKS}]", " ")).otherwise(line), " ")
 
 
 def words_of(line: Column) -> Column:
@@ -86,7 +92,8 @@ def rarities(keyed: DataFrame) -> Column:
 
     Words are counted in the whole texts, which need not be cut into lines for that.
     """
-    words = keyed.select(F.explode(_pieces(F.col("text"))).alias("w"))
+    texts = keyed.select(F.replace("text", F.lit("\n"), F.lit(" ")).alias("text"))
+    words = texts.select(F.explode(_pieces(F.col("text"))).alias("w"))
     counts = words.groupBy(F.xxhash64("w").bitwiseAND(F.lit(RARITY_BUCKETS - 1)).alias("slot")).agg(F.count("*").alias("n"))
     level = F.least(F.lit(127), F.floor(5 * F.log2(F.col("n") + 1))).cast("long")
     return _dense(counts, RARITY_BUCKETS, F.shiftleft(level, 56), "long")
@@ -103,7 +110,7 @@ def first_lines(keyed: DataFrame, similarity: float) -> DataFrame:
         rank = F.coalesce(F.get(F.col("rarity"), h.bitwiseAND(F.lit(RARITY_BUCKETS - 1)).cast("int")), F.lit(0).cast("long"))
         return rank.bitwiseOR(F.shiftrightunsigned(h, 8))
 
-    hashes = F.array_distinct(F.transform(F.array_remove(_pieces(F.col("line")), ""), lambda w: F.xxhash64(w)))
+    hashes = F.array_remove(F.array_distinct(F.transform(_pieces(F.col("line")), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
     # The parities come between, so that the last step takes the table of rarities as it is instead of a copy per row.
     sets = _lines(keyed).select("id", "line_no", "line", hashes.alias("hashes")).select(
         "*", _parity("hashes", _marks(False)).alias("parity"), _parity("hashes", _marks(True)).alias("parity2"),
@@ -140,24 +147,45 @@ def _places(joined: DataFrame) -> DataFrame:
 def earliest_candidates(firsts: DataFrame, similarity: float) -> DataFrame:
     """Places (id, line_no, id2, line_no2) of lines and the earliest line of one of their key groups, if it may be similar.
 
-    The prefix that lines of one length need is enough here.
+    The prefix that lines of one length need is enough here. Rows are shuffled once, for the groups and for the join,
+    which hashes the groups: one row per key, and none for keys of one row.
     """
     needed = F.col("n") - F.ceil(F.col("n") * (2 * similarity / (1 + similarity)) - 1e-9).cast("int") + 1
-    rows = firsts.withColumn("prefix", F.slice("prefix", F.lit(1), needed)).select(
+    # None of these is null. The join would ask for that on its side only, and the rows would be shuffled twice.
+    present = reduce(Column.__and__, [F.col(name).isNotNull() for name in ("n", *PARITIES)])
+    rows = firsts.filter(present).withColumn("prefix", F.slice("prefix", F.lit(1), needed)).select(
         "id", "line_no", "n", *PARITIES, F.posexplode("prefix").alias("at", "key")).select(
-        "key", *PARITIES, "id", "line_no", "n", _reach(F.col("n"), F.col("at")).alias("reach"))
+        "key", *PARITIES, "id", "line_no", "n", _reach(F.col("n"), F.col("at")).alias("reach")).repartition("key")
     groups = rows.groupBy("key").agg(F.min(F.struct("id", "line_no", "n", *PARITIES, "reach")).alias("p"),
                                      F.count("*").alias("rows")).filter("rows > 1").select("key", "p.*")
-    return _places(groups.alias("a").join(rows.alias("b"), _alike(similarity)))
+    return _places(groups.hint("shuffle_hash").alias("a").join(rows.alias("b"), _alike(similarity)))
+
+
+def _seen(rows: DataFrame, wanted: DataFrame, *key: str) -> DataFrame:
+    """The rows with `seen`: whether their key occurs in `wanted`, true for a few others; a bit table of fixed size tells."""
+    slot = F.pmod(F.xxhash64(*key), F.lit(FILTER_WORDS * 64))
+    word = F.shiftright(slot, 6)
+    marks = wanted.groupBy(word.alias("slot")).agg(F.bit_or(_one(slot)).alias("bits"))
+    seen = F.element_at(F.col("table"), (word + 1).cast("int")).bitwiseAND(_one(slot)) != 0
+    return rows.withColumn("table", _dense(marks, FILTER_WORDS, F.col("bits"), "long")).withColumn("seen", seen).drop("table")
+
+
+def _sifted(rows: DataFrame, wanted: DataFrame, *key: str) -> DataFrame:
+    """The rows whose key occurs in `wanted`, and a few others."""
+    return _seen(rows, wanted, *key).filter("seen").drop("seen")
 
 
 def open_candidates(firsts: DataFrame, closed: DataFrame, similarity: float) -> DataFrame:
     """Places (id, line_no, id2, line_no2) of each line that is not closed and all earlier ones that may be similar.
 
     The reach of closed lines is negative, so they are found but do not search;
-    both sides of the join stay the same rows, which are shuffled once.
+    both sides of the join stay the same rows, which are shuffled once. Most lines are not closed, and a bit table says
+    so for nearly all of them; only the others are shuffled with their prefixes to be joined with the closed ones.
     """
-    flagged = firsts.join(closed.withColumn("closed", F.lit(True)), ["id", "line_no", "line_hash"], "left")
+    place = ["id", "line_no", "line_hash"]
+    marked = _seen(firsts, closed, *place)
+    found = marked.filter("seen").join(closed.withColumn("closed", F.lit(True)), place, "left")
+    flagged = marked.filter("not seen").withColumn("closed", F.lit(None).cast("boolean")).unionByName(found)
     rows = flagged.select("id", "line_no", "n", *PARITIES, "closed", F.posexplode("prefix").alias("at", "key"))
     reach = _reach(F.col("n"), F.col("at"))
     rows = rows.select("key", *PARITIES, "id", "line_no", "n",
@@ -165,24 +193,15 @@ def open_candidates(firsts: DataFrame, closed: DataFrame, similarity: float) ->
     return _places(rows.alias("a").join(rows.alias("b"), _alike(similarity)))
 
 
-def _sifted(rows: DataFrame, wanted: DataFrame, *key: str) -> DataFrame:
-    """The rows whose key occurs in `wanted`, and a few others: a bit table of fixed size tells which."""
-    slot = F.pmod(F.xxhash64(*key), F.lit(FILTER_WORDS * 64))
-    word = F.shiftright(slot, 6)
-    marks = wanted.groupBy(word.alias("slot")).agg(F.bit_or(_one(slot)).alias("bits"))
-    seen = F.element_at(F.col("table"), (word + 1).cast("int")).bitwiseAND(_one(slot)) != 0
-    return rows.withColumn("table", _dense(marks, FILTER_WORDS, F.col("bits"), "long")).filter(seen).drop("table")
-
-
 def verified(pairs: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
     """(id, line_no, line_hash) of the later lines of pairs whose words are similar, stored.
 
-    Only documents that occur in a pair are cut into lines, and only the text of lines that do is shuffled. What
-    sifts them may let others pass; the joins then decide exactly.
+    Only documents that occur in a pair are cut into lines, and only the text of lines that do is stored, for both
+    sides of the pairs. What sifts them may let others pass; the joins then decide exactly.
     """
     places = pairs.select("id", "line_no").union(pairs.select("id2", "line_no2"))
     texts = _sifted(_lines(_sifted(_keyed(docs), places, "id")), places, "id", "line_no")
-    sized = texts.withColumn("n", F.size(words_of(F.col("line"))))
+    sized = stored(texts.withColumn("n", F.size(words_of(F.col("line")))), "line-texts")
     other = sized.toDF("id2", "line_no2", "line2", "n2")
     both = pairs.join(sized, ["id", "line_no"]).select("id2", "line_no2", "line", "n").join(other, ["id2", "line_no2"])
     common = F.size(F.array_intersect(F.array_remove(_pieces(F.col("line")), ""), _pieces(F.col("line2"))))

@@ -173,3 +173,26 @@ def test_first_lines_from_whole_texts(spark):
     alpha, delta = (spark.sql(f"select shiftrightunsigned(xxhash64('{word}'), 8)").first()[0] for word in ("alpha", "delta"))
     low = (1 << 56) - 1
     assert (lines[0, 0].prefix[0] & low, lines[1, 0].prefix[0] & low) == (alpha, delta)
+
+
+def test_line_searches_shuffle_prefix_rows_once(spark):
+    """Both sides of each search read one shuffle; only lines that may be closed are joined with the closed ones."""
+    base = " ".join(f"w{k}" for k in range(30))
+    texts = ["\n".join([base.replace("w3 ", f"x{k}\t\x0b "), f"only {k}  here\f", base.replace("w5", "y\r")]) for k in range(4)]
+    keyed = line_join._keyed(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    firsts = line_join.first_lines(keyed, 0.8)
+    assert {(r.id, r.line_no): r.n for r in firsts.collect()} == {
+        (0, 2): 30, **{(k, 0): 30 for k in range(4)}, **{(k, 1): 3 for k in range(4)}}
+    place = ["id", "line_no", "line_hash"]
+    closed = firsts.filter("id in (1, 2) and line_no = 0").select(*place)
+    assert line_join._seen(firsts, closed, *place).filter("seen").count() == 2
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for found in (line_join.earliest_candidates(firsts, 0.8), line_join.open_candidates(firsts, closed, 0.8)):
+            assert "ReusedExchange" in found._jdf.queryExecution().executedPlan().toString()
+        assert {(r.id2, r.line_no2) for r in line_join.open_candidates(firsts, closed, 0.8).collect()} == {(3, 0), (0, 2)}
+        assert {(r.id2, r.line_no2) for r in line_join.open_candidates(firsts, closed.limit(0), 0.8).collect()} == {
+            (1, 0), (2, 0), (3, 0), (0, 2)}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
